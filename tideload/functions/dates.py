@@ -12,7 +12,7 @@ def trunc_second(ts: Column) -> Column:
     Stays ``timestamp_ntz`` for such input, which ``date_trunc`` does not, so the
     value never passes through the session time zone.
     """
-    fraction = F.date_part(F.lit("SECOND"), ts) % 1
+    fraction = F.date_part(F.lit("SECOND"), ts) - F.second(ts)
     return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction)
 
 

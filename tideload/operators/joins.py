@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideload.operators.merge import same_key
-from tideload.session import broadcast_limit, plan_bytes
+from tideload.session import broadcast_limit, plan_bytes, splits_skewed_joins
 
 HOT_SHARE = 0.001
 
@@ -25,26 +25,30 @@ def hot_keys(fact: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) ->
     return counts.where(F.col("_rows") > total * share).select(*keys)
 
 
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    small: bool | None = None,
-    share: float = HOT_SHARE,
-) -> DataFrame:
+def lookup_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join ``fact`` to a table that is unique on ``keys`` (``inner`` or ``left``).
 
-    A table within the broadcast limit joins without an exchange of ``fact``. A
-    larger one is joined by exchange for ordinary keys only; the rows of hot keys
-    meet their few table rows by broadcast, so no task receives a hot group.
+    Catalyst broadcasts a table whose size estimate is within the session's limit.
+    Beyond it the session splits hot partitions at run time; where that is switched
+    off, the hot keys are split off here.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
+    if splits_skewed_joins(fact.sparkSession) or fits_broadcast(dim):
+        return fact.join(dim, list(keys), how)
+    return split_hot_join(fact, dim, keys, how)
+
+
+def split_hot_join(
+    fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", share: float = HOT_SHARE
+) -> DataFrame:
+    """The join of :func:`lookup_join` with hot keys kept out of the exchange.
+
+    Rows of ordinary keys meet the table by exchange. Rows of hot keys meet their few
+    table rows by broadcast: there are at most ``1 / share`` hot keys, so the
+    broadcasts are small whatever the data.
+    """
     keys = list(keys)
-    if fits_broadcast(dim) if small is None else small:
-        return fact.join(dim, keys, how)
-    # Bounded by 1/share keys, so the three broadcasts below are small whatever the data.
     hot = F.broadcast(hot_keys(fact, keys, share))
     on_hot = same_key("l", "r", keys)
     hot_rows = fact.alias("l").join(hot.alias("r"), on_hot, "left_semi")
@@ -93,13 +97,16 @@ def expand_up_to(df: DataFrame, steps: DataFrame, number: str, last: DataFrame)
 
 
 def without_match(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` with no partner in ``other``."""
-    return df.join(other.select(*keys), list(keys), "left_anti")
+    """Rows of ``df`` with no partner in ``other``.
+
+    Repeated keys of ``other`` are dropped before its exchange, so a hot one costs nothing.
+    """
+    return df.join(other.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def with_match(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` with a partner in ``other``, each once."""
-    return df.join(other.select(*keys), list(keys), "left_semi")
+    return df.join(other.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
@@ -114,5 +121,5 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFra
     ).select(F.struct("_rows", "_values")).scalar()
     rows, values = facts.getField("_rows"), facts.getField("_values")
     decided = (rows == 0) | ((rows == values) & F.col(key).isNotNull())
-    known = other.where(F.col(other_key).isNotNull()).select(F.col(other_key).alias("_known"))
+    known = other.where(F.col(other_key).isNotNull()).select(F.col(other_key).alias("_known")).distinct()
     return df.where(decided).join(known, F.col(key) == F.col("_known"), "left_anti")

@@ -4,17 +4,23 @@ A change table holds full rows. With operations, a row is an INSERT, UPDATE,
 DELETE or BEFOREIMAGE; anything that is neither DELETE nor BEFOREIMAGE writes the
 row. Without operations, the newest row of a key wins.
 
-Both merges know two forms with the same result:
+Both merges first reduce the changes to one row per key, and know three forms with
+the same result:
 
-``window``
-    Union, rank per key, keep the first. One exchange of base and changes.
 ``lookup``
-    Reduce the changes to one row per key, then take the beaten rows out of the
-    base by an anti join. When the reduced changes are small enough to broadcast,
-    the base is read once and never shuffled. Needs a base with unique keys.
+    Take the beaten rows out of the base by an anti join and add the winning changes.
+    Where the reduced changes are small enough to broadcast, the base is never
+    shuffled. Needs a base with unique keys.
+``join``
+    Full outer join of base and reduced changes. The base is exchanged and sorted
+    once; a base bucketed by its key is not exchanged at all. Needs unique keys too.
+``window``
+    Union, rank per key, keep the first. Also right for a base with repeated keys, of
+    which only one row is kept.
 
-``auto`` takes ``lookup`` where Catalyst's size estimate of the change rows is
-within the session's broadcast limit, else ``window``.
+``auto`` takes ``lookup`` where Catalyst's size estimate of the change rows is within
+the session's broadcast limit and ``join`` beyond it, and ``window`` for a base whose
+keys may repeat.
 """
 
 from __future__ import annotations
@@ -39,7 +45,7 @@ BEFORE_IMAGE = "BEFOREIMAGE"
 # Fixed value: the age every stored row is given when operations are merged into it.
 STORED_SINCE = "1900-01-01"
 
-_FORMS = ("auto", "window", "lookup")
+_FORMS = ("auto", "lookup", "join", "window")
 
 
 def stored_since() -> Column:
@@ -89,18 +95,49 @@ def _pick_form(form: str, changes: DataFrame, unique_base: bool) -> str:
     if form not in _FORMS:
         raise ValueError(f"form must be one of {_FORMS}")
     if not unique_base:
-        if form == "lookup":
-            raise ValueError("the lookup form needs a base with unique keys")
+        if form not in ("auto", "window"):
+            raise ValueError(f"the {form} form needs a base with unique keys")
         return "window"
     if form != "auto":
         return form
-    return "lookup" if plan_bytes(changes) <= broadcast_limit(changes) else "window"
+    return "lookup" if plan_bytes(changes) <= broadcast_limit(changes) else "join"
 
 
 def _anti(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
     return left.alias("l").join(right.alias("r"), condition, "left_anti")
 
 
+def _full_join(
+    stored: DataFrame, newest: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """The winning row of each key by one full outer join, with its operation if there is one."""
+    matched = reduce(lambda a, b: a & b, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys])
+    joined = stored.alias("l").join(newest.alias("r"), matched, "full")
+    # A struct compares field by field with NULL lowest, like the ranking does.
+    stored_newer = F.struct(*[f"l.{c}" for c in order]) > F.struct(*[f"r.{c}" for c in order])
+    take = F.col("r._change").isNotNull() & (F.col("l._change").isNull() | ~stored_newer)
+    return joined.select(*[F.when(take, F.col(f"r.{c}")).otherwise(F.col(f"l.{c}")).alias(c) for c in columns])
+
+
+def _newest_rows(
+    stored: DataFrame,
+    newest: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    tiebreak: Sequence[str],
+) -> DataFrame:
+    """The winning row of each key: a join for whole keys, a ranking for keys with a NULL part.
+
+    Plain equality keeps the key's own hash partitioning, which NULL-safe equality does
+    not. Parquet statistics let the scan for NULL keys skip files that have none.
+    """
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    joined = _full_join(stored.where(whole), newest.where(whole), keys, columns, ["_age", *tiebreak])
+    partial = stored.where(~whole).unionByName(newest.where(~whole))
+    ranked = latest_per_key(partial, keys, _newest_first("_ts", tiebreak, columns))
+    return joined.unionByName(ranked.select(*columns))
+
+
 def compact_changes(
     changes: DataFrame,
     keys: Sequence[str],
@@ -135,19 +172,23 @@ def merge_changes(
     ``STORED_SINCE``; at that very second a change still wins.
     """
     columns = _key_first(base, keys, columns)
-    if _pick_form(form, changes, unique_base) == "window":
-        stored = _with_order(base.select(*columns), columns, op, stored_since(), tiebreak, 0)
+    form = _pick_form(form, changes, unique_base)
+    stored = _with_order(base.select(*columns), columns, op, stored_since(), tiebreak, 0)
+    if form == "window":
         incoming = _with_order(effective_changes(changes, op), columns, op, F.col(ts), tiebreak, 1)
         ranked = latest_per_key(stored.unionByName(incoming), keys, _newest_first("_ts", tiebreak, columns))
         # The delete filter stays above the ranking: a delete must hide older rows.
         return ranked.where(F.col("_op") != DELETE).select(*columns)
 
     newest = compact_changes(changes, keys, columns, op, ts, tiebreak)
+    if form == "join":
+        rows = _newest_rows(stored, newest, keys, [*columns, "_op"], tiebreak)
+        return rows.where(F.col("_op") != DELETE).select(*columns)
+
     wins = F.col("_age") >= stored_since()
     beating = newest.where(wins)
     weak = newest.where(~F.coalesce(wins, F.lit(False)))
-    stored = base.select(*columns)
-    kept = _anti(stored, beating.select(*keys), same_key("l", "r", keys)).select(*columns)
+    kept = _anti(base.select(*columns), beating.select(*keys), same_key("l", "r", keys))
     # Changes dated before STORED_SINCE, or not dated, only write keys the base lacks.
     known = stored.select(*keys).alias("l").join(
         weak.select(*keys).alias("r"), same_key("l", "r", keys), "left_semi"
@@ -173,13 +214,16 @@ def merge_latest(
     """
     columns = _key_first(base, keys, columns)
     stored = _with_order(base, columns, None, F.col(ts), tiebreak, 0)
-    if _pick_form(form, changes, unique_base) == "window":
+    form = _pick_form(form, changes, unique_base)
+    if form == "window":
         incoming = _with_order(changes, columns, None, F.col(ts), tiebreak, 1)
         union = stored.unionByName(incoming)
         return latest_per_key(union, keys, _newest_first("_ts", tiebreak, columns)).select(*columns)
 
     newest = compact_changes(changes, keys, columns, None, ts, tiebreak)
-    # A struct compares field by field with NULL lowest, like the ranking does.
+    if form == "join":
+        return _newest_rows(stored, newest, keys, columns, tiebreak)
+
     order = ["_age", *tiebreak]
     narrow = [*keys, *[c for c in order if c not in keys]]
     matched = same_key("l", "r", keys)
@@ -198,7 +242,7 @@ def _key_first(base: DataFrame, keys: Sequence[str], columns: Sequence[str] | No
 
 def apply_deletes(target: DataFrame, deletes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target without the rows whose key occurs in ``deletes``."""
-    return _anti(target, deletes.select(*keys), same_key("l", "r", keys)).select(*target.columns)
+    return _anti(target, deletes.select(*keys).distinct(), same_key("l", "r", keys)).select(*target.columns)
 
 
 def apply_puts(target: DataFrame, puts: DataFrame, keys: Sequence[str]) -> DataFrame:

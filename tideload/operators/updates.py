@@ -11,14 +11,14 @@ from tideload.operators.joins import lookup_join
 
 
 def update_from(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], assign: Mapping[str, str], small: bool | None = None
+    target: DataFrame, source: DataFrame, keys: Sequence[str], assign: Mapping[str, str]
 ) -> DataFrame:
     """Set ``target`` columns from the matching ``source`` row (``assign``: target -> source column).
 
     ``source`` is unique on ``keys``. A matched NULL overwrites; an unmatched row keeps its values.
     """
     values = source.select(*keys, F.struct(*[F.col(s).alias(t) for t, s in assign.items()]).alias("_new"))
-    joined = lookup_join(target, values, keys, "left", small)
+    joined = lookup_join(target, values, keys, "left")
     matched = F.col("_new").isNotNull()
     return joined.select(
         *[

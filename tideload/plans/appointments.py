@@ -21,7 +21,7 @@ def diary_slots(diary: DataFrame) -> DataFrame:
 def dated_slots(slots: DataFrame, days: DataFrame) -> DataFrame:
     """The weekly slots of a doctor on each of the given ``(doctor_id, day)`` with their start time."""
     named = days.withColumn("weekday", weekday_name(F.col("day")))
-    return named.join(slots, ["doctor_id", "weekday"]).withColumn(
+    return lookup_join(named, slots, ["doctor_id", "weekday"]).withColumn(
         "start_time", at_time(F.col("day"), F.col("slot_second"))
     )
 

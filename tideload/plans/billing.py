@@ -14,6 +14,7 @@ from tideload.operators.joins import attach_one_row, choose_key, expand_up_to, l
 from tideload.operators.latest import latest_per_key
 from tideload.operators.numbering import dense_number
 from tideload.operators.updates import update_from
+from tideload.sources.inline import inline_rows
 
 # Hours from the order to each stage.
 LAB_STAGE_HOURS = {
@@ -64,14 +65,15 @@ INVOICE_AMOUNTS = (
 
 
 def reference_ranges(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(REFERENCE_RANGES),
+    return inline_rows(
+        spark,
+        REFERENCE_RANGES,
         "service string, normal_min int, normal_max int, critical_min int, critical_max int",
     )
 
 
 def complaint_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(COMPLAINT_CODES), "complaint string, icd_code string")
+    return inline_rows(spark, COMPLAINT_CODES, "complaint string, icd_code string")
 
 
 def price_services(

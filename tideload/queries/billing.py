@@ -33,6 +33,7 @@ from tideload.plans.billing import (
     stage_audit,
 )
 from tideload.queries.registry import Tables, query
+from tideload.sources.inline import inline_rows
 
 PATIENT_CLASS = 2
 
@@ -67,7 +68,7 @@ def sponsors(t: Tables) -> DataFrame:
 
 def sequences(t: Tables) -> DataFrame:
     rows = [("INV", "OAD", "A", True), ("INV", "OLD", "Z", False), ("OPR", "RCP", "B", True)]
-    return t.spark.createDataFrame(rows, "sequence_code string, prefix string, suffix string, is_active boolean")
+    return inline_rows(t.spark, rows, "sequence_code string, prefix string, suffix string, is_active boolean")
 
 
 def priced_lines(t: Tables) -> DataFrame:
@@ -266,8 +267,8 @@ def _consultation_services(t: Tables) -> DataFrame:
         F.col("o_orderpriority").alias("consultation_type_id"),
         (F.col("o_orderstatus") == "F").alias("is_first"),
     )
-    followups = t.spark.createDataFrame(
-        _PRIORITIES, "consultation_type_id string, first_service_id bigint, second_service_id bigint"
+    followups = inline_rows(
+        t.spark, _PRIORITIES, "consultation_type_id string, first_service_id bigint, second_service_id bigint"
     )
     services = t.part.select(F.col("p_partkey").alias("service_id"), "p_name")
     return consultation_services(appointments, followups, services).select(
@@ -303,7 +304,7 @@ _STAGES_SQL = "(VALUES (1, 'Arrival'), (2, 'Attend'), (3, 'Result'), (4, 'Authen
 
 
 def stages(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame(_STAGES, "stage_id int, stage_name string")
+    return inline_rows(t.spark, _STAGES, "stage_id int, stage_name string")
 
 
 @query(
@@ -362,7 +363,7 @@ JOIN (VALUES {', '.join(str(r) for r in REFERENCE_RANGES)})
   AS r(service, normal_min, normal_max, critical_min, critical_max) USING (service)""",
 )
 def _reference_range(t: Tables) -> DataFrame:
-    tests = t.spark.createDataFrame(_TESTS, "event_type string, service string")
+    tests = inline_rows(t.spark, _TESTS, "event_type string, service string")
     results = t.events.select("event_id", "event_type", "value").join(tests, "event_type").drop("event_type")
     return classify_results(results, reference_ranges(t.spark))
 

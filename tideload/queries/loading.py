@@ -30,6 +30,7 @@ from tideload.queries.merging import (
 from tideload.queries.registry import TABLES, Tables, query
 from tideload.sources.delimited import change_rows, read_changes, read_snapshot, write_snapshot
 from tideload.sources.extract import extract_full, extract_since, land, parquet_reader
+from tideload.sources.inline import inline_rows
 from tideload.sources.metadata import (
     discover_metadata,
     discover_metadata_by_constraint,
@@ -368,5 +369,5 @@ def _run_all_tables(t: Tables) -> DataFrame:
 )
 def _inline_values(t: Tables) -> DataFrame:
     rows = [(1, "F", "Confirmed"), (2, "O", "Tentative"), (3, "P", "Arrived")]
-    status = t.spark.createDataFrame(rows, "status_id int, o_orderstatus string, status_name string")
+    status = inline_rows(t.spark, rows, "status_id int, o_orderstatus string, status_name string")
     return t.orders.join(status, "o_orderstatus").select(*ORDER_COLUMNS, "status_id", "status_name")

@@ -102,6 +102,16 @@ def _merge_changes_window(t: Tables) -> DataFrame:
     return merge_changes(t.orders, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="window")
 
 
+@query("merge_changes_join", ORDER_MERGE_SQL)
+def _merge_changes_join(t: Tables) -> DataFrame:
+    return merge_changes(t.orders, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="join")
+
+
+@query("merge_changes_lookup", ORDER_MERGE_SQL)
+def _merge_changes_lookup(t: Tables) -> DataFrame:
+    return merge_changes(t.orders, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="lookup")
+
+
 @query("merge_bucketed", ORDER_MERGE_SQL)
 def _merge_bucketed(t: Tables) -> DataFrame:
     path = t.scratch("bucketed")
@@ -209,6 +219,12 @@ def _merge_latest_window(t: Tables) -> DataFrame:
     return merge_latest(base, changes, ["c_custkey"], tiebreak=["c_acctbal", "c_mktsegment"], form="window")
 
 
+@query("merge_latest_join", MERGE_LATEST_SQL)
+def _merge_latest_join(t: Tables) -> DataFrame:
+    base, changes = _customer_versions(t)
+    return merge_latest(base, changes, ["c_custkey"], tiebreak=["c_acctbal", "c_mktsegment"], form="join")
+
+
 # Every event twice within one microsecond, so that seconds hold ties.
 _USER_OPS = {"signup": "INSERT", "purchase": "UPDATE", "click": "UPDATE", "view": "BEFOREIMAGE", "error": "DELETE"}
 

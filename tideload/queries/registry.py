@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideload.session import fresh_dir
+from tideload.session import fresh_dir, prepare
 
 TABLES = (
     "region",
@@ -34,13 +34,17 @@ class Tables:
     """The given tables of one folder as attributes."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+        self.spark = prepare(spark)
         self.folder = folder
+        self._schemas = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     def scratch(self, label: str) -> str:
         return fresh_dir(self.spark, label)

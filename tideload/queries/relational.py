@@ -14,6 +14,7 @@ from tideload.operators.updates import update_from, update_when, update_where_in
 from tideload.plans.billing import code_complaints, complaint_codes
 from tideload.queries.merging import ORDER_CHANGES_SQL, ORDER_COLUMNS, order_changes
 from tideload.queries.registry import Tables, query
+from tideload.sources.inline import inline_rows
 
 _ORDERS = ", ".join(ORDER_COLUMNS)
 
@@ -179,7 +180,7 @@ def _join_not_in(t: Tables) -> DataFrame:
     f"SELECT {_ORDERS}, 'INV' AS prefix, 'A' AS suffix FROM orders",
 )
 def _join_cross_onerow(t: Tables) -> DataFrame:
-    one = t.spark.createDataFrame([("INV", "A")], "prefix string, suffix string")
+    one = inline_rows(t.spark, [("INV", "A")], "prefix string, suffix string")
     return attach_one_row(t.orders, one, {"prefix": "prefix", "suffix": "suffix"})
 
 
@@ -219,7 +220,7 @@ JOIN (VALUES ('R07.9', 'Chest Pain'), ('R10', 'Abdominal Pain'), ('R06.8', 'Brea
   OR (lower(complaint) = 'breathing difficulty' AND icd_code = 'R06.8')""",
 )
 def _join_mapping_table(t: Tables) -> DataFrame:
-    named = t.spark.createDataFrame(_COMPLAINTS, "event_type string, complaint string")
+    named = inline_rows(t.spark, _COMPLAINTS, "event_type string, complaint string")
     rows = t.events.select("event_id", "event_type").join(named, "event_type")
     return code_complaints(rows, complaint_codes(t.spark)).select("event_id", "complaint", "icd_code")
 
@@ -381,7 +382,7 @@ def _subquery_correlated_top1(t: Tables) -> DataFrame:
   ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""",
 )
 def _update_from_join(t: Tables) -> DataFrame:
-    names = t.spark.createDataFrame([("F", "Confirmed"), ("O", "Tentative")], "o_orderstatus string, name string")
+    names = inline_rows(t.spark, [("F", "Confirmed"), ("O", "Tentative")], "o_orderstatus string, name string")
     return update_from(t.orders, names, ["o_orderstatus"], {"o_orderstatus": "name"}).select(*ORDER_COLUMNS)
 
 

@@ -9,6 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# Partitions that hold a hot key are split when a join reads them, even where that
+# costs one more exchange after the join.
+ADAPTIVE_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
 _local_roots: dict[str, str] = {}
 
 
@@ -17,20 +25,24 @@ def build_session(app: str = "tideload", master: str | None = None, **settings:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    defaults = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        # A skewed join is split even where that costs one more exchange downstream.
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.sources.partitionOverwriteMode": "static",
-        "spark.ui.enabled": "false",
-    }
+    defaults = {"spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false", **ADAPTIVE_SETTINGS}
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Give an existing session the run-time settings the jobs rely on."""
+    for key, value in ADAPTIVE_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def splits_skewed_joins(spark: SparkSession) -> bool:
+    """Whether the session splits the hot partitions of a join at run time."""
+    return all(spark.conf.get(key, "false") == "true" for key in ADAPTIVE_SETTINGS)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

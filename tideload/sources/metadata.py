@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideload.functions.casting import source_type, spark_type
+from tideload.operators.joins import lookup_join
 
 # Header line of a metadata file.
 HEADER = ("FieldName", "DataType", "IsPrimary")
@@ -144,9 +145,8 @@ def discover_metadata(
     are left out. Rows come sorted by table, key columns first, then by name.
     """
     first_index = index_columns.where(F.col("index_id") == 1)
-    keyed = columns.join(types, "user_type_id").join(
-        first_index, ["object_id", "column_id"], "left"
-    )
+    typed = lookup_join(columns, types, ["user_type_id"])
+    keyed = typed.join(first_index, ["object_id", "column_id"], "left")
     flagged = keyed.join(indexes.where(F.col("index_id") == 1), ["object_id", "index_id"], "left").select(
         "object_id",
         F.col("column_name").alias("field_name"),
