@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideload.operators.merge import merge_changes
@@ -31,6 +31,11 @@ def complete_folders(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if fs.exists(path_of(f"{path}/{n}/_SUCCESS"))]
 
 
+def _file_names(spark: SparkSession, path: str) -> set[str]:
+    fs, folder = _file_system(spark, path)
+    return {s.getPath().getName() for s in fs.listStatus(folder)} if fs.exists(folder) else set()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
@@ -93,13 +98,29 @@ def truncate_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE {name}")
 
 
-def full_load(source: DataFrame, name: str, location: str | None = None) -> None:
-    """Drop the target and recreate it from the source."""
-    drop_table(source.sparkSession, name)
-    writer = source.write.mode("overwrite").format("parquet")
+def save_table(
+    df: DataFrame, name: str, keys: Sequence[str] = (), buckets: int | None = None, location: str | None = None
+) -> None:
+    """Write a new Parquet table, bucketed by its key if ``buckets`` is given.
+
+    The ``join`` form of a merge reads a bucketed base without exchanging it.
+    """
+    if buckets:
+        # One task per bucket, so that a bucket is one file and not one per task.
+        writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    else:
+        writer = df.write
     if location:
         writer = writer.option("path", location)
-    writer.saveAsTable(name)
+    writer.mode("overwrite").format("parquet").saveAsTable(name)
+
+
+def full_load(
+    source: DataFrame, name: str, keys: Sequence[str] = (), buckets: int | None = None, location: str | None = None
+) -> None:
+    """Drop the target and recreate it from the source."""
+    drop_table(source.sparkSession, name)
+    save_table(source, name, keys, buckets, location)
 
 
 def publish_swap(spark: SparkSession, staging: str, final: str) -> None:
@@ -148,16 +169,17 @@ def merge_into_buckets(
     columns = [c for c in stored.columns if c != BUCKET]
     base = stored.where(F.col(BUCKET).isin(touched)).select(*columns)
     merged = with_bucket(merge_changes(base, changes, keys, columns, **merge_options), keys, buckets)
-    seen = Observation()
+    folders = [f"{path}/{BUCKET}={bucket}" for bucket in touched]
+    before = {folder: _file_names(spark, folder) for folder in folders}
     (
-        merged.observe(seen, F.collect_set(BUCKET).alias("filled"))
-        .repartition(BUCKET)
+        merged.repartition(BUCKET)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
         .parquet(path)
     )
-    # A bucket that lost its last row has no output, so its old folder is still there.
-    for bucket in set(touched) - set(seen.get["filled"]):
-        remove_folder(spark, f"{path}/{BUCKET}={bucket}")
+    # A bucket that lost its last row has no output, so its old files are still there.
+    for folder in folders:
+        if before[folder] and _file_names(spark, folder) == before[folder]:
+            remove_folder(spark, folder)
     return touched

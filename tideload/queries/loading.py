@@ -12,10 +12,12 @@ from tideload.operators.merge import OPERATION, TIMESTAMP, merge_changes
 from tideload.operators.publish import (
     VersionedTable,
     append_rows,
+    bucket_count,
     drop_table,
     ensure_table,
     full_load,
     publish_swap,
+    save_table,
     truncate_table,
 )
 from tideload.plans.loads import LoadSpec, run_all, run_full, run_incremental
@@ -313,7 +315,19 @@ def _publish_swap(t: Tables) -> DataFrame:
     full_load(t.orders, final)
     drop_table(t.spark, staging)
     merged = merge_changes(t.spark.table(final), order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK)
-    merged.write.format("parquet").saveAsTable(staging)
+    save_table(merged, staging)
+    publish_swap(t.spark, staging, final)
+    return t.spark.table(final)
+
+
+@query("merge_cobucketed", ORDER_MERGE_SQL)
+def _merge_cobucketed(t: Tables) -> DataFrame:
+    """The final table is bucketed by its key, so the merge exchanges the changes only."""
+    database, buckets = t.database(), bucket_count(t.orders)
+    final, staging = f"{database}.orders_final", f"{database}.orders_stg"
+    full_load(t.orders, final, ORDER_KEY, buckets)
+    merged = merge_changes(t.spark.table(final), order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="join")
+    save_table(merged, staging, ORDER_KEY, buckets)
     publish_swap(t.spark, staging, final)
     return t.spark.table(final)
 
