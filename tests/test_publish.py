@@ -88,3 +88,25 @@ def test_a_bucket_that_loses_its_last_row_is_emptied(spark, scratch):
         merge_into_buckets(spark, path, feed, ["k"], 64)
         assert rows(spark.read.parquet(path), "k", "v") == [(1, "a"), (3, "c")]
     assert merge_into_buckets(spark, path, feed.limit(0), ["k"], 64) == []
+
+
+def test_a_merge_keeps_the_buckets_without_moving_the_base(spark):
+    from conftest import plan_of
+    from tideload.operators.merge import merge_changes
+
+    base = spark.range(1000).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("b"), "id").alias("v"))
+    save_table(base, "placed_base", ["k"], 8)
+    feed = changes(spark, (5, "five", "UPDATE"), (7, "", "DELETE"), (5000, "new", "INSERT"))
+    merged = merge_changes(spark.table("placed_base"), feed, ["k"], form="join")
+    save_table(merged, "placed_next", ["k"], 8, placed=True)
+    location = spark.sql("DESCRIBE EXTENDED placed_next").where("col_name = 'Location'").first().data_type
+    files = [f for f in os.listdir(location.removeprefix("file:")) if f.endswith(".parquet")]
+    assert len(files) == 8
+    both = spark.table("placed_next").join(spark.table("placed_next").withColumnRenamed("v", "w"), "k")
+    assert "Exchange hashpartitioning" not in plan_of(both.hint("merge"))
+    got = dict(rows(spark.table("placed_next")))
+    assert got[5] == "five" and 7 not in got and got[5000] == "new" and len(got) == 1000
+    # Rows are found by bucket, so each lies in the bucket of its key.
+    assert spark.table("placed_next").where("k = 5000").count() == 1
+    for name in ("placed_base", "placed_next"):
+        spark.sql(f"DROP TABLE {name}")

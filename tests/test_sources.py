@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tideload.functions.casting import spark_type
 from tideload.operators.audit import advance_watermark, count_mismatches, init_watermark, key_check
-from tideload.operators.cells import from_cells, to_cells
+from tideload.operators.cells import encode_cells, from_cells, to_cells
 from tideload.plans.loads import LoadSpec
 from tideload.sources.delimited import read_changes, read_snapshot, read_snapshot_checked, write_snapshot
 from tideload.sources.extract import extract_since, jdbc_reader, land
@@ -180,6 +180,7 @@ def test_cells(spark):
         ("2_", "flag", "0"),
         ("2_", "name", ""),
     ]
+    assert encode_cells(cells).where("rowkey = X'315F61'").count() == 2
     assert rows(from_cells(cells, ["name", "flag"])) == [("1_a", "x", "1"), ("2_", "", "0")]
 
 

@@ -35,6 +35,11 @@ def to_cells(df: DataFrame, keys: Sequence[str], family: str = FAMILY) -> DataFr
     )
 
 
+def encode_cells(cells: DataFrame) -> DataFrame:
+    """Cells as UTF-8 bytes, the form a wide-column store takes."""
+    return cells.select(*[F.encode(c, "UTF-8").alias(c) for c in cells.columns])
+
+
 def from_cells(cells: DataFrame, qualifiers: Sequence[str]) -> DataFrame:
     """Cells turned back into one row of text columns per row key."""
     picks = [F.max(F.when(F.col("qualifier") == q, F.col("value"))).alias(q) for q in qualifiers]

@@ -99,20 +99,27 @@ def truncate_table(spark: SparkSession, name: str) -> None:
 
 
 def save_table(
-    df: DataFrame, name: str, keys: Sequence[str] = (), buckets: int | None = None, location: str | None = None
+    df: DataFrame,
+    name: str,
+    keys: Sequence[str] = (),
+    buckets: int | None = None,
+    placed: bool = False,
+    location: str | None = None,
 ) -> None:
     """Write a new Parquet table, bucketed by its key if ``buckets`` is given.
 
-    The ``join`` form of a merge reads a bucketed base without exchanging it.
+    The ``join`` form of a merge reads a bucketed base without exchanging it, and its
+    rows are ``placed``: they lie by bucket already and are written without an exchange
+    too. Other rows are moved first, so that a bucket is one file and not one per task.
     """
+    if buckets and not placed:
+        df = df.repartition(buckets, *keys)
+    writer = df.write.mode("overwrite").format("parquet")
     if buckets:
-        # One task per bucket, so that a bucket is one file and not one per task.
-        writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
-    else:
-        writer = df.write
+        writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
     if location:
         writer = writer.option("path", location)
-    writer.mode("overwrite").format("parquet").saveAsTable(name)
+    writer.saveAsTable(name)
 
 
 def full_load(
@@ -120,7 +127,7 @@ def full_load(
 ) -> None:
     """Drop the target and recreate it from the source."""
     drop_table(source.sparkSession, name)
-    save_table(source, name, keys, buckets, location)
+    save_table(source, name, keys, buckets, location=location)
 
 
 def publish_swap(spark: SparkSession, staging: str, final: str) -> None:

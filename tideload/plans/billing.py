@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideload.functions.dates import shift
+from tideload.functions.dates import age_unit, age_value, shift
 from tideload.functions.numbers import dispensed_quantity
 from tideload.functions.text import numbered_label
 from tideload.operators.joins import attach_one_row, choose_key, expand_up_to, lookup_join, with_match, without_match
@@ -113,6 +113,24 @@ def price_services(
     )
 
 
+def price_by_agreement(
+    lines: DataFrame, tariff: DataFrame, agreements: DataFrame, patient_class: int
+) -> DataFrame:
+    """Invoice lines of sponsored orders: the package tariff of the institute, or else the ordinary one.
+
+    Lines carry the ``institute_id`` of their invoice; a service without any tariff stays, unpriced.
+    """
+    own = agreements.where(F.col("is_active") & (F.col("patient_class_id") == patient_class)).select(
+        "service_id", "institute_id", "package_tariff"
+    )
+    base = tariff.where(F.col("is_active") & (F.col("patient_class_id") == patient_class)).select(
+        "service_id", "service_tariff"
+    )
+    priced = lookup_join(lookup_join(lines, own, ["service_id", "institute_id"], "left"), base, ["service_id"], "left")
+    amount = F.coalesce("package_tariff", "service_tariff")
+    return priced.select(*lines.columns, amount.alias("service_amount"), amount.alias("patient_gross_amount"))
+
+
 def price_products(order_products: DataFrame, stock: DataFrame, stock_batches: DataFrame, products: DataFrame) -> DataFrame:
     """Invoice lines for issued products: quantity times the selling price of the issued batch."""
     placed = lookup_join(order_products, stock, ["warehouse_id", "product_id"])
@@ -219,6 +237,22 @@ def stage_times(ordered: Column, hours: Mapping[str, int]) -> list[Column]:
     return [shift(ordered, hours=h).alias(stage) for stage, h in hours.items()]
 
 
+def laboratory_records(
+    lines: DataFrame, panels: DataFrame, investigations: DataFrame, patients: DataFrame, as_of: Column
+) -> DataFrame:
+    """Laboratory records: panels taken apart, investigated services kept, stage times and patient age added."""
+    single = explode_panels(lines, panels)
+    tested = lookup_join(single, investigations.select("service_id", "result_type"), ["service_id"])
+    born = lookup_join(tested, patients.select("patient_id", "birth_date"), ["patient_id"])
+    return born.select(
+        *lines.columns,
+        "result_type",
+        *stage_times(F.col("order_date"), LAB_STAGE_HOURS),
+        age_value(F.col("birth_date"), as_of).alias("patient_age"),
+        age_unit(F.col("birth_date"), as_of).alias("age_unit"),
+    )
+
+
 def radiology_records(lines: DataFrame, examinations: DataFrame, templates: DataFrame) -> DataFrame:
     """Radiology records of ordered examinations with stage times and the first active template of the service."""
     active = templates.where("is_active").select("service_id", "template_id", "template")
@@ -259,18 +293,14 @@ def code_complaints(rows: DataFrame, codes: DataFrame) -> DataFrame:
     return lookup_join(rows.withColumn("_complaint", F.lower("complaint")), folded, ["_complaint"]).drop("_complaint")
 
 
-def allocate_prescriptions(
-    medications: DataFrame, stock: DataFrame, stock_batches: DataFrame, warehouse_id: int
-) -> DataFrame:
-    """Prescribed products that a warehouse has in stock, with the quantity to issue and the first batch."""
-    held = stock.where(F.col("warehouse_id") == warehouse_id).select("product_id", "stock_id")
+def allocate_prescriptions(medications: DataFrame, stock: DataFrame, stock_batches: DataFrame) -> DataFrame:
+    """Prescribed products that their warehouse has in stock, with the quantity to issue and the first batch."""
+    place = ["warehouse_id", "product_id"]
     first_batch = (
-        lookup_join(stock_batches.select("stock_id", "batch_number"), held, ["stock_id"])
-        .groupBy("product_id")
+        lookup_join(stock_batches.select("stock_id", "batch_number"), stock.select(*place, "stock_id"), ["stock_id"])
+        .groupBy(*place)
         .agg(F.min("batch_number").alias("batch_number"))
     )
     quantity = dispensed_quantity(F.col("units"), F.col("dosage"), F.col("days"))
     needed = medications.withColumn("quantity", quantity)
-    return lookup_join(needed, first_batch, ["product_id"]).select(
-        *medications.columns, "quantity", F.lit(warehouse_id).alias("warehouse_id"), "batch_number"
-    )
+    return lookup_join(needed, first_batch, place).select(*medications.columns, "quantity", "batch_number")

@@ -15,6 +15,7 @@ from tideload.functions.numbers import money
 from tideload.operators.joins import lookup_join
 from tideload.plans.appointments import dated_slots, diary_slots, free_slots, full_starts, mark_overbooked
 from tideload.plans.billing import (
+    LAB_STAGE_HOURS,
     RADIOLOGY_STAGE_HOURS,
     REFERENCE_RANGES,
     allocate_prescriptions,
@@ -24,7 +25,9 @@ from tideload.plans.billing import (
     explode_panels,
     fill_header_totals,
     invoice_headers,
+    laboratory_records,
     map_receipts,
+    price_by_agreement,
     price_products,
     price_services,
     radiology_records,
@@ -111,6 +114,38 @@ def _invoice_pricing(t: Tables) -> DataFrame:
     return priced_lines(t)
 
 
+@query(
+    "invoice_pricing_agreed",
+    """
+SELECT l_orderkey AS order_id, l_linenumber, l_partkey AS service_id, l_suppkey AS institute_id,
+  coalesce(package, CASE WHEN p_type <> 'SMALL' THEN CAST(p_retailprice AS DECIMAL(18,2)) END) AS service_amount,
+  coalesce(package, CASE WHEN p_type <> 'SMALL' THEN CAST(p_retailprice AS DECIMAL(18,2)) END) AS patient_gross_amount
+FROM lineitem LEFT JOIN part ON p_partkey = l_partkey
+LEFT JOIN (SELECT l_partkey AS part, l_suppkey AS institute, min(CAST(l_extendedprice AS DECIMAL(18,2))) AS package
+           FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1, 2) AS a ON part = l_partkey AND institute = l_suppkey""",
+)
+def _invoice_pricing_agreed(t: Tables) -> DataFrame:
+    lines = t.lineitem.select(
+        F.col("l_orderkey").alias("order_id"),
+        "l_linenumber",
+        F.col("l_partkey").alias("service_id"),
+        F.col("l_suppkey").alias("institute_id"),
+    )
+    tariff = t.part.select(
+        F.col("p_partkey").alias("service_id"),
+        F.lit(PATIENT_CLASS).alias("patient_class_id"),
+        money(F.col("p_retailprice")).alias("service_tariff"),
+        (F.col("p_type") != "SMALL").alias("is_active"),
+    )
+    agreements = (
+        t.lineitem.where("l_returnflag = 'N'")
+        .groupBy(F.col("l_partkey").alias("service_id"), F.col("l_suppkey").alias("institute_id"))
+        .agg(F.min(money(F.col("l_extendedprice"))).alias("package_tariff"))
+        .select("*", F.lit(PATIENT_CLASS).alias("patient_class_id"), F.lit(True).alias("is_active"))
+    )
+    return price_by_agreement(lines, tariff, agreements, PATIENT_CLASS)
+
+
 HEADERS_SQL = """
 SELECT row_number() OVER (ORDER BY o_orderkey) AS invoice_id,
   'OAD-' || CAST(row_number() OVER (ORDER BY o_orderkey) AS VARCHAR) || '-A' AS invoice_number,
@@ -139,8 +174,7 @@ FROM ({HEADERS_SQL}) AS h JOIN (
   FROM ({PRICED_SQL}) AS p GROUP BY order_id) AS s USING (order_id)"""
 
 
-def filled_headers(t: Tables) -> DataFrame:
-    headers = open_headers(t)
+def filled_headers(t: Tables, headers: DataFrame) -> DataFrame:
     details = lookup_join(priced_lines(t), headers.select("order_id", "invoice_id"), ["order_id"])
     return fill_header_totals(headers, details)
 
@@ -148,7 +182,7 @@ def filled_headers(t: Tables) -> DataFrame:
 @query("update_from_agg", FILLED_SQL)
 def _update_from_agg(t: Tables) -> DataFrame:
     amounts = ["invoice_amount", "settled_amount", "patient_gross_amount", "sponsor_gross_amount"]
-    return filled_headers(t).select(*_HEADER_COLUMNS, *amounts)
+    return filled_headers(t, open_headers(t)).select(*_HEADER_COLUMNS, *amounts)
 
 
 RECEIPTS_SQL = f"""
@@ -159,9 +193,13 @@ FROM ({FILLED_SQL}) AS f
 WHERE patient_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'AUTOMOBILE')"""
 
 
+def paid_receipts(t: Tables, headers: DataFrame) -> DataFrame:
+    return receipts(filled_headers(t, headers), sponsors(t), line_orders(t), sequences(t), "OPR")
+
+
 @query("receipts_unsponsored", RECEIPTS_SQL)
 def _receipts_unsponsored(t: Tables) -> DataFrame:
-    return receipts(filled_headers(t), sponsors(t), line_orders(t), sequences(t), "OPR")
+    return paid_receipts(t, open_headers(t))
 
 
 @query(
@@ -170,9 +208,8 @@ def _receipts_unsponsored(t: Tables) -> DataFrame:
 FROM ({RECEIPTS_SQL}) AS r JOIN ({HEADERS_SQL}) AS h USING (order_id)""",
 )
 def _receipt_invoice_map(t: Tables) -> DataFrame:
-    headers = filled_headers(t)
-    paid = receipts(headers, sponsors(t), line_orders(t), sequences(t), "OPR")
-    return map_receipts(paid, headers, line_orders(t))
+    headers = open_headers(t)
+    return map_receipts(paid_receipts(t, headers), headers, line_orders(t))
 
 
 @query(
@@ -181,13 +218,12 @@ def _receipt_invoice_map(t: Tables) -> DataFrame:
 FROM ({RECEIPTS_SQL}) AS r JOIN ({HEADERS_SQL}) AS h USING (order_id)""",
 )
 def _cash_payments(t: Tables) -> DataFrame:
-    headers = filled_headers(t)
-    paid = receipts(headers, sponsors(t), line_orders(t), sequences(t), "OPR")
-    return cash_payments(paid, headers, line_orders(t), 2)
+    headers = open_headers(t)
+    return cash_payments(paid_receipts(t, headers), headers, line_orders(t), 2)
 
 
-def _stock_rows(t: Tables) -> DataFrame:
-    return t.lineitem.select(
+def stock_rows(lines: DataFrame) -> DataFrame:
+    return lines.select(
         F.col("l_suppkey").alias("warehouse_id"),
         F.col("l_partkey").alias("product_id"),
         F.concat_ws("-", F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string")).alias("stock_id"),
@@ -219,7 +255,7 @@ def _invoice_product_lines(t: Tables) -> DataFrame:
         F.col("l_returnflag").alias("batch_number"),
         F.col("l_quantity").cast("int").alias("issued_quantity"),
     )
-    rows = _stock_rows(t)
+    rows = stock_rows(t.lineitem)
     stock = rows.select("warehouse_id", "product_id", "stock_id").distinct()
     batches = rows.groupBy("stock_id", "batch_number").agg(
         F.min("price").alias("cost_price"), F.max("price").alias("selling_price")
@@ -230,24 +266,27 @@ def _invoice_product_lines(t: Tables) -> DataFrame:
 @query(
     "prescription_alloc",
     """
-WITH first_batch AS (SELECT l_partkey, min(l_returnflag) AS batch_number FROM lineitem WHERE l_suppkey = 1 GROUP BY 1)
-SELECT l_orderkey AS medication_id, l_linenumber AS days, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS dosage,
-  CAST(2 AS INTEGER) AS units, CAST(2 * CAST(l_quantity AS BIGINT) * l_linenumber AS BIGINT) AS quantity,
-  1 AS warehouse_id, batch_number
-FROM lineitem JOIN first_batch USING (l_partkey)""",
+WITH first_batch AS (SELECT l_suppkey, l_partkey, min(l_returnflag) AS batch_number FROM lineitem
+                     WHERE l_linestatus = 'O' GROUP BY 1, 2)
+SELECT l_orderkey AS medication_id, l_linenumber AS days, l_partkey AS product_id, l_suppkey AS warehouse_id,
+  CAST(l_quantity AS INTEGER) AS dosage, CAST(0.5 AS DECIMAL(2,1)) AS units,
+  CAST(ceil(0.5 * CAST(l_quantity AS BIGINT) * l_linenumber) AS BIGINT) AS quantity, batch_number
+FROM lineitem JOIN first_batch USING (l_suppkey, l_partkey)""",
 )
 def _prescription_alloc(t: Tables) -> DataFrame:
+    """Lines still open are what the warehouses hold."""
     medications = t.lineitem.select(
         F.col("l_orderkey").alias("medication_id"),
         F.col("l_linenumber").alias("days"),
         F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("warehouse_id"),
         F.col("l_quantity").cast("int").alias("dosage"),
-        F.lit(2).alias("units"),
+        F.lit("0.5").cast("decimal(2,1)").alias("units"),
     )
-    rows = _stock_rows(t)
+    rows = stock_rows(t.lineitem.where("l_linestatus = 'O'"))
     stock = rows.select("warehouse_id", "product_id", "stock_id").distinct()
     batches = rows.select("stock_id", "batch_number").distinct()
-    return allocate_prescriptions(medications, stock, batches, 1)
+    return allocate_prescriptions(medications, stock, batches).withColumn("quantity", F.col("quantity").cast("bigint"))
 
 
 _PRIORITIES = [("1-URGENT", 1, 2), ("2-HIGH", 3, 4), ("3-MEDIUM", 5, 6), ("5-LOW", 7, 8)]
@@ -276,29 +315,60 @@ def _consultation_services(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "join_coalesce_key",
-    """
-WITH panels AS (SELECT p_partkey AS panel, p_partkey + step AS component FROM part, (VALUES (1), (2)) AS s(step)
-                WHERE p_type = 'PROMO' AND p_size > 25)
-SELECT l_orderkey AS order_id, l_linenumber, p_partkey AS service_id, p_name
-FROM lineitem LEFT JOIN panels ON panel = l_partkey JOIN part ON p_partkey = coalesce(component, l_partkey)""",
-)
-def _join_coalesce_key(t: Tables) -> DataFrame:
-    panels = t.part.select(
+PANELS_SQL = """
+SELECT p_partkey AS panel, p_partkey + step AS component FROM part, (VALUES (1), (2)) AS s(step)
+WHERE p_type = 'PROMO' AND p_size > 25"""
+
+
+def panels(t: Tables) -> DataFrame:
+    return t.part.select(
         F.col("p_partkey").alias("panel_id"),
         F.explode(F.array(F.col("p_partkey") + 1, F.col("p_partkey") + 2)).alias("component_id"),
         ((F.col("p_type") == "PROMO") & (F.col("p_size") > 25)).alias("is_active"),
     )
+
+
+@query(
+    "join_coalesce_key",
+    f"""SELECT l_orderkey AS order_id, l_linenumber, p_partkey AS service_id, p_name
+FROM lineitem LEFT JOIN ({PANELS_SQL}) AS panels ON panel = l_partkey
+JOIN part ON p_partkey = coalesce(component, l_partkey)""",
+)
+def _join_coalesce_key(t: Tables) -> DataFrame:
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("order_id"), "l_linenumber", F.col("l_partkey").alias("service_id")
     )
     services = t.part.select(F.col("p_partkey").alias("service_id"), "p_name")
-    return lookup_join(explode_panels(lines, panels), services, ["service_id"]).select(
+    return lookup_join(explode_panels(lines, panels(t)), services, ["service_id"]).select(
         "order_id", "l_linenumber", "service_id", "p_name"
     )
 
 
+@query(
+    "laboratory_records",
+    f"""
+WITH births AS (SELECT o_custkey, min(o_orderdate) AS born FROM orders GROUP BY 1)
+SELECT l_orderkey AS order_id, l_linenumber, p_partkey AS service_id, o.o_custkey AS patient_id, o_orderdate AS order_date,
+  p_brand AS result_type, {', '.join(f'o_orderdate + INTERVAL {h} HOUR AS {stage}' for stage, h in LAB_STAGE_HOURS.items())},
+  CAST(CASE WHEN date_diff('month', born, TIMESTAMP '2001-08-01') < 1 THEN date_diff('day', born, TIMESTAMP '2001-08-01')
+    WHEN date_diff('year', born, TIMESTAMP '2001-08-01') < 1 THEN date_diff('month', born, TIMESTAMP '2001-08-01')
+    ELSE date_diff('year', born, TIMESTAMP '2001-08-01') END AS INTEGER) AS patient_age,
+  CASE WHEN date_diff('month', born, TIMESTAMP '2001-08-01') < 1 THEN 'DAYS'
+    WHEN date_diff('year', born, TIMESTAMP '2001-08-01') < 1 THEN 'MONTHS' ELSE 'YEARS' END AS age_unit
+FROM lineitem JOIN orders o ON o_orderkey = l_orderkey LEFT JOIN ({PANELS_SQL}) AS panels ON panel = l_partkey
+JOIN part ON p_partkey = coalesce(component, l_partkey) AND p_type <> 'LARGE'
+JOIN births ON births.o_custkey = o.o_custkey""",
+)
+def _laboratory_records(t: Tables) -> DataFrame:
+    """A customer's first order stands for the birth date."""
+    investigations = t.part.where("p_type <> 'LARGE'").select(
+        F.col("p_partkey").alias("service_id"), F.col("p_brand").alias("result_type")
+    )
+    patients = t.orders.groupBy(F.col("o_custkey").alias("patient_id")).agg(F.min("o_orderdate").alias("birth_date"))
+    as_of = F.lit("2001-08-01").cast("timestamp_ntz")
+    return laboratory_records(order_lines(t), panels(t), investigations, patients, as_of)
+
+
 _STAGES = [(1, "Arrival"), (2, "Attend"), (3, "Result"), (4, "Authentication"), (5, "Issue")]
 _STAGES_SQL = "(VALUES (1, 'Arrival'), (2, 'Attend'), (3, 'Result'), (4, 'Authentication'), (5, 'Issue')) AS s(stage_id, stage_name)"
 

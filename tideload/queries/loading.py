@@ -322,12 +322,12 @@ def _publish_swap(t: Tables) -> DataFrame:
 
 @query("merge_cobucketed", ORDER_MERGE_SQL)
 def _merge_cobucketed(t: Tables) -> DataFrame:
-    """The final table is bucketed by its key, so the merge exchanges the changes only."""
+    """The final table is bucketed by its key, so merge and write exchange the changes only."""
     database, buckets = t.database(), bucket_count(t.orders)
     final, staging = f"{database}.orders_final", f"{database}.orders_stg"
     full_load(t.orders, final, ORDER_KEY, buckets)
     merged = merge_changes(t.spark.table(final), order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="join")
-    save_table(merged, staging, ORDER_KEY, buckets)
+    save_table(merged, staging, ORDER_KEY, buckets, placed=True)
     publish_swap(t.spark, staging, final)
     return t.spark.table(final)
 

@@ -193,18 +193,16 @@ def _empty_like(t: Tables) -> DataFrame:
 
 @query(
     "join_or_case_key",
-    """SELECT o_orderkey, p_partkey, p_name FROM orders JOIN part
-ON (p_partkey = o_custkey AND o_orderstatus = 'F') OR (p_partkey = o_orderkey % 1000 AND o_orderstatus = 'O')""",
+    """SELECT l_orderkey, l_linenumber, p_partkey, p_name FROM lineitem JOIN part
+ON (p_partkey = l_partkey AND l_returnflag = 'R') OR (p_partkey = l_suppkey AND l_returnflag = 'A')""",
 )
 def _join_or_case_key(t: Tables) -> DataFrame:
     key = choose_key(
-        (F.col("o_orderstatus") == "F", F.col("o_custkey")),
-        (F.col("o_orderstatus") == "O", F.col("o_orderkey") % 1000),
-    )
-    keyed = t.orders.select("o_orderkey", key.alias("p_partkey"))
-    return lookup_join(keyed, t.part.select("p_partkey", "p_name"), ["p_partkey"]).select(
-        "o_orderkey", "p_partkey", "p_name"
+        (F.col("l_returnflag") == "R", F.col("l_partkey")),
+        (F.col("l_returnflag") == "A", F.col("l_suppkey")),
     )
+    keyed = t.lineitem.select("l_orderkey", "l_linenumber", key.alias("p_partkey"))
+    return lookup_join(keyed, t.part.select("p_partkey", "p_name"), ["p_partkey"])
 
 
 _COMPLAINTS = [("click", "chest pain"), ("error", "ABDOMINAL PAIN"), ("view", "Breathing Difficulty"), ("signup", "Fever")]
