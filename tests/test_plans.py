@@ -52,8 +52,8 @@ def test_join_form_reads_a_bucketed_base_without_exchange(spark, t):
     save_table(t.orders, "plan_orders", ORDER_KEY, 8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = merge_changes(spark.table("plan_orders"), order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK)
-        plan = plan_of(df)
+        base = spark.table("plan_orders")
+        plan = plan_of(merge_changes(base, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="join"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     join = plan[plan.index("SortMergeJoin") :]
@@ -62,15 +62,20 @@ def test_join_form_reads_a_bucketed_base_without_exchange(spark, t):
     spark.sql("DROP TABLE plan_orders")
 
 
-def test_auto_form_follows_the_size_limit(spark, t):
+def test_auto_form_follows_the_sizes(spark, t):
     args = (t.orders, order_changes(t), ORDER_KEY)
     assert "LeftAnti" in plan_of(merge_changes(*args, tiebreak=ORDER_TIEBREAK))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
     try:
-        plan = plan_of(merge_changes(*args, tiebreak=ORDER_TIEBREAK))
+        more_changes = plan_of(merge_changes(*args, tiebreak=ORDER_TIEBREAK))
+        more_base = t.orders
+        for _ in range(5):
+            more_base = more_base.unionByName(more_base)
+        fewer_changes = plan_of(merge_changes(more_base, *args[1:], tiebreak=ORDER_TIEBREAK))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "FullOuter" in plan and "LeftAnti" not in plan
+    assert "FullOuter" not in more_changes and "LeftAnti" not in more_changes
+    assert "FullOuter" in fewer_changes and "LeftAnti" not in fewer_changes
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -57,7 +57,7 @@ def shift(ts: Column, days: int = 0, hours: int = 0, minutes: int = 0) -> Column
 def at_time(day: Column, seconds_of_day: Column) -> Column:
     """A calendar day joined with a time of day given in seconds since midnight."""
     midnight = day.cast("date").cast("timestamp_ntz")
-    return midnight + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds_of_day)
+    return F.timestamp_add("SECOND", seconds_of_day, midnight)
 
 
 def seconds_of_day(ts: Column) -> Column:

@@ -18,9 +18,10 @@ the same result:
     Union, rank per key, keep the first. Also right for a base with repeated keys, of
     which only one row is kept.
 
-``auto`` takes ``lookup`` where Catalyst's size estimate of the change rows is within
-the session's broadcast limit and ``join`` beyond it, and ``window`` for a base whose
-keys may repeat.
+``auto`` goes by Catalyst's size estimates: ``lookup`` for changes within the session's
+broadcast limit, ``join`` for larger ones as long as the base is larger still, and
+``window``, which sorts base rows before their exchange, for the rest and for a base
+whose keys may repeat.
 """
 
 from __future__ import annotations
@@ -91,7 +92,7 @@ def _with_order(
     )
 
 
-def _pick_form(form: str, changes: DataFrame, unique_base: bool) -> str:
+def _pick_form(form: str, base: DataFrame, changes: DataFrame, unique_base: bool) -> str:
     if form not in _FORMS:
         raise ValueError(f"form must be one of {_FORMS}")
     if not unique_base:
@@ -100,7 +101,10 @@ def _pick_form(form: str, changes: DataFrame, unique_base: bool) -> str:
         return "window"
     if form != "auto":
         return form
-    return "lookup" if plan_bytes(changes) <= broadcast_limit(changes) else "join"
+    size = plan_bytes(changes)
+    if size <= broadcast_limit(changes):
+        return "lookup"
+    return "join" if size < plan_bytes(base) else "window"
 
 
 def _anti(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
@@ -172,7 +176,7 @@ def merge_changes(
     ``STORED_SINCE``; at that very second a change still wins.
     """
     columns = _key_first(base, keys, columns)
-    form = _pick_form(form, changes, unique_base)
+    form = _pick_form(form, base, changes, unique_base)
     stored = _with_order(base.select(*columns), columns, op, stored_since(), tiebreak, 0)
     if form == "window":
         incoming = _with_order(effective_changes(changes, op), columns, op, F.col(ts), tiebreak, 1)
@@ -214,7 +218,7 @@ def merge_latest(
     """
     columns = _key_first(base, keys, columns)
     stored = _with_order(base, columns, None, F.col(ts), tiebreak, 0)
-    form = _pick_form(form, changes, unique_base)
+    form = _pick_form(form, base, changes, unique_base)
     if form == "window":
         incoming = _with_order(changes, columns, None, F.col(ts), tiebreak, 1)
         union = stored.unionByName(incoming)

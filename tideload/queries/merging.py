@@ -49,9 +49,7 @@ def order_changes(t: Tables) -> DataFrame:
         F.col("l_shipdate").alias("o_orderdate"),
         F.col("l_returnflag").alias("o_orderpriority"),
         line_operation().alias(OPERATION),
-        (F.col("l_shipdate") + F.make_dt_interval(secs=F.col("l_linenumber") * F.lit(0.3).cast("decimal(2,1)"))).alias(
-            TIMESTAMP
-        ),
+        F.timestamp_add("MILLISECOND", F.col("l_linenumber") * 300, F.col("l_shipdate")).alias(TIMESTAMP),
         F.col("l_linenumber").alias("seq_line"),
         F.col("l_partkey").alias("seq_part"),
     )
