@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tideload.files import file_names
 from tideload.operators.numbering import dense_number, with_load_time, with_surrogate
+from tideload.session import clear_staged, fresh_dir
 
 
 @pytest.mark.parametrize("partitions", [1, 13])
@@ -39,3 +41,12 @@ def test_load_time(spark):
     fixed = with_load_time(spark.range(1), F.lit("2024-01-01").cast("timestamp_ntz"), "Asia/Kolkata")
     assert str(fixed.first().lastmodifieddate) == "2024-01-01 05:30:00"
     assert dict(with_load_time(spark.range(1)).dtypes)["lastmodifieddate"] == "timestamp_ntz"
+
+
+def test_staged_data_lies_in_the_shared_folder_and_can_be_cleared(spark):
+    path = fresh_dir(spark, "x")
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
+    spark.range(3).write.parquet(path)
+    assert file_names(spark, path)
+    clear_staged(spark)
+    assert not file_names(spark, path)

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideload.files import complete_folders, file_names, remove_folder
 from tideload.operators.merge import merge_changes
 from tideload.session import plan_bytes
 
@@ -15,32 +16,6 @@ _VERSION = re.compile(r"^v=(\d+)$")
 BUCKET = "_bucket"
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
-def complete_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders below ``path`` that a write job has finished."""
-    fs, root = _file_system(spark, path)
-    if not fs.exists(root):
-        return []
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-    return [n for n in names if fs.exists(path_of(f"{path}/{n}/_SUCCESS"))]
-
-
-def _file_names(spark: SparkSession, path: str) -> set[str]:
-    fs, folder = _file_system(spark, path)
-    return {s.getPath().getName() for s in fs.listStatus(folder)} if fs.exists(folder) else set()
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    fs, target = _file_system(spark, path)
-    fs.delete(target, True)
-
-
 class VersionedTable:
     """A table kept as numbered full versions; readers see the newest finished one.
 
@@ -177,7 +152,7 @@ def merge_into_buckets(
     base = stored.where(F.col(BUCKET).isin(touched)).select(*columns)
     merged = with_bucket(merge_changes(base, changes, keys, columns, **merge_options), keys, buckets)
     folders = [f"{path}/{BUCKET}={bucket}" for bucket in touched]
-    before = {folder: _file_names(spark, folder) for folder in folders}
+    before = {folder: file_names(spark, folder) for folder in folders}
     (
         merged.repartition(BUCKET)
         .write.mode("overwrite")
@@ -187,6 +162,6 @@ def merge_into_buckets(
     )
     # A bucket that lost its last row has no output, so its old files are still there.
     for folder in folders:
-        if before[folder] and _file_names(spark, folder) == before[folder]:
+        if before[folder] and file_names(spark, folder) == before[folder]:
             remove_folder(spark, folder)
     return touched

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tideload.files import remove_folder
+
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 # Partitions that hold a hot key are split when a join reads them, even where that
@@ -60,9 +62,18 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app_id]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tideload/{spark.sparkContext.applicationId}"
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused folder below the shared one."""
-    return f"{scratch_root(spark)}/tideload/{label}-{uuid.uuid4().hex}"
+    """A new, unused folder of this application below the shared one."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; call it when its results have been written."""
+    remove_folder(spark, _own_folder(spark))
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

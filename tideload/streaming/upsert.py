@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tideload.files import complete_folders, remove_folder
 from tideload.operators.merge import DELETE, INSERT, OPERATION, TIMESTAMP, compact_changes, merge_latest, stored_since
-from tideload.operators.publish import complete_folders, remove_folder
 
 _BASE = re.compile(r"^upto=(-?\d+)$")
 _BATCH = re.compile(r"^batch=(\d+)$")
