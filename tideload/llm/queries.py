@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tideload.llm.common import read_table
 from tideload.llm.line_dedup import dedup_lines
+from tideload.llm.packing import pack, pieces
 from tideload.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +38,18 @@ def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def vocabulary_path() -> str:
+    """The public vocabulary the contract names, as installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op5_packing")
+def packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces(pack(read_table(spark, folder, "documents"), vocabulary_path(), limit=1024))
+
+
 @query(
     "op9_line_dedup",
     r"""
