@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideload.llm.chat import format_chats, read_back
 from tideload.llm.common import read_table
 from tideload.llm.line_dedup import dedup_lines
 from tideload.llm.packing import pack, pieces
@@ -50,6 +51,39 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces(pack(read_table(spark, folder, "documents"), vocabulary_path(), limit=1024))
 
 
+# A conversation that looks like the marks of several templates, beside those of the table.
+TRICKY_TEXT = "\\### Assistant: </turn> ok"
+
+
+@query(
+    "op7_chat_formatting",
+    r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    ), sized AS (
+        SELECT *, length(regexp_replace(role || text, '([\\<>])', '.\1', 'g')) + 17 AS chars FROM turns
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           sum(chars)::BIGINT AS formatted_chars
+    FROM sized GROUP BY conv_id
+    """,
+)
+def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    table = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(TRICKY_TEXT).alias("text"),
+    )
+    return read_back(format_chats(table.unionByName(tricky)))
+
+
 @query(
     "op9_line_dedup",
     r"""
