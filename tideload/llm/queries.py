@@ -11,7 +11,10 @@ from tideload.llm.chat import format_chats, read_back
 from tideload.llm.common import read_table
 from tideload.llm.line_dedup import dedup_lines
 from tideload.llm.packing import pack, pieces
+from tideload.llm.sharding import fill_table, place
 from tideload.llm.simhash import simhash_components
+from tideload.llm.warc import read_archives, write_archives
+from tideload.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +42,42 @@ def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "op4_warc_writer",
+    r"""
+    WITH page AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+    ), held AS (
+        SELECT *, min(page_id) OVER (PARTITION BY hex) AS holder FROM page
+    )
+    SELECT page_id, payload_bytes,
+           array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               ((('0x' || substr(hex, (i // 4 * 5 + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)), '')
+               AS payload_digest,
+           CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> holder THEN holder END AS refers_to
+    FROM held
+    """,
+)
+def warc_writer(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages")
+    path = fresh_dir(spark, "archives")
+    write_archives(pages, path, min_bytes=0)
+    found = read_archives(spark, path, with_payload=False)
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SHARDS = [f"shard-{i:03d}" for i in range(48)]
+
+
+@query("op6_sharding")
+def sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """The shard of every document, and the one it has once the last shard is gone."""
+    fewer = SHARDS[:-1]
+    tables = {"shard": (SHARDS, fill_table(SHARDS)), "shard_after_loss": (fewer, fill_table(fewer))}
+    return place(read_table(spark, folder, "documents").select("doc_id"), ["doc_id"], tables)
+
+
 def vocabulary_path() -> str:
     """The public vocabulary the contract names, as installed on every machine."""
     import public_tokenizers
