@@ -13,6 +13,7 @@ from tideload.llm.line_dedup import dedup_lines
 from tideload.llm.packing import pack, pieces
 from tideload.llm.sharding import fill_table, place
 from tideload.llm.simhash import simhash_components
+from tideload.llm.toxicity import fit, fold, score
 from tideload.llm.warc import read_archives, write_archives
 from tideload.session import fresh_dir
 
@@ -32,6 +33,14 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_toxicity")
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    model = fit(docs, read_table(spark, folder, "labels"))
+    scored = score(docs, model, threshold=0.7)
+    return scored.select("doc_id", (fold("doc_id") == 1).alias("held_out"), "score", "predicted")
+
+
 @query("op3_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_components(read_table(spark, folder, "documents"))
