@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tideload.llm.chat import format_chats, read_back
 from tideload.llm.common import read_table
+from tideload.llm.decontamination import UNITS, contaminated
 from tideload.llm.line_dedup import dedup_lines
 from tideload.llm.packing import pack, pieces
 from tideload.llm.sharding import fill_table, place
@@ -33,6 +34,68 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query(
+    "op1_decontamination",
+    r"""
+    WITH plain AS (
+        SELECT 'doc' AS side, doc_id AS id, trim(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}]+', ' ', 'g')) AS plain
+        FROM documents
+        UNION ALL
+        SELECT 'item', min(item_id), trim(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}]+', ' ', 'g')) AS plain
+        FROM benchmark GROUP BY plain
+    ), word AS (
+        SELECT side, id, string_split(plain, ' ') AS raw,
+               string_split(regexp_replace(replace(regexp_replace(replace(regexp_replace(plain,
+                   '(^| )\p{N}[^ ]*', '\1#', 'g'), ' ', '  '),
+                   '#  (UNITS)( |$)', '#  %\2', 'g'), '  ', ' '), '(^| )\p{Lu}[^ ]*', '\1@', 'g'), ' ') AS canon
+        FROM plain WHERE plain <> ''
+    ), item AS (
+        SELECT id AS item_id, len(raw) AS words, least(len(raw), 8) AS length, raw, canon FROM word WHERE side = 'item'
+    ), item_window AS (
+        SELECT item_id, words, length, place,
+               canon[place + 1 : place + length] AS template, raw[place + 1 : place + length] AS theirs
+        FROM (SELECT *, unnest(list_distinct(list_append(range(0, words - length + 1, 4), words - length))) AS place FROM item)
+    ), telling AS (
+        SELECT * FROM item_window WHERE len(list_filter(template, lambda w: w NOT IN ('#', '%', '@'))) >= 5
+    ), doc_window AS (
+        SELECT id AS doc_id, pos, length, canon[pos + 1 : pos + length] AS template, raw[pos + 1 : pos + length] AS ours
+        FROM (
+            SELECT *, unnest(range(0, len(raw) - length + 1)) AS pos
+            FROM word, (SELECT DISTINCT length FROM telling) WHERE side = 'doc' AND len(raw) >= length
+        )
+    ), matched AS (
+        SELECT DISTINCT doc_id, item_id, words, length, place, pos - place AS diagonal, template, theirs, ours
+        FROM doc_window JOIN telling USING (length, template)
+    ), slot AS (
+        SELECT doc_id, item_id, diagonal, kind, a, b, count(*) AS n
+        FROM (
+            SELECT doc_id, item_id, diagonal, unnest(template) AS kind, unnest(theirs) AS a, unnest(ours) AS b FROM matched
+        ) WHERE kind IN ('#', '%', '@') GROUP BY ALL
+    ), unlike AS (
+        SELECT doc_id, item_id, diagonal
+        FROM (SELECT doc_id, item_id, diagonal, kind, a, sum(n) AS n, max(n) AS most FROM slot GROUP BY ALL)
+        GROUP BY ALL HAVING sum(most) / sum(n) < 0.8
+        UNION
+        SELECT doc_id, item_id, diagonal
+        FROM (SELECT doc_id, item_id, diagonal, kind, b, sum(n) AS n, max(n) AS most FROM slot GROUP BY ALL)
+        GROUP BY ALL HAVING sum(most) / sum(n) < 0.8
+    ), covered AS (
+        SELECT doc_id, item_id, words, count(DISTINCT pos) AS covered
+        FROM (
+            SELECT doc_id, item_id, words, unnest(range(place, place + length)) AS pos
+            FROM matched ANTI JOIN unlike USING (doc_id, item_id, diagonal)
+        ) GROUP BY ALL
+    )
+    SELECT doc_id, item_id, covered::INT AS covered_words, words::INT AS item_words
+    FROM covered WHERE covered >= least(12, words)
+    """.replace("UNITS", UNITS.replace(" ", "|")),
+)
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents in which benchmark items are found, and the items."""
+    found = contaminated(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
 @query("op2_toxicity")
 def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
