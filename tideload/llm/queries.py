@@ -14,6 +14,7 @@ from tideload.llm.line_dedup import dedup_lines
 from tideload.llm.packing import pack, pieces
 from tideload.llm.sharding import fill_table, place
 from tideload.llm.simhash import simhash_components
+from tideload.llm.topk import top_k
 from tideload.llm.toxicity import fit, fold, score
 from tideload.llm.warc import read_archives, write_archives
 from tideload.session import fresh_dir
@@ -221,3 +222,23 @@ def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = dedup_lines(read_table(spark, folder, "documents"), min_chars=10, batches=4, fanout=2)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query(
+    "op10_top_k_search",
+    """
+    WITH vector AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS numbers FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), pair AS (
+        SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.numbers, b.numbers)::BIGINT AS score
+        FROM vector a JOIN vector b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id
+    )
+    SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score
+    FROM pair
+    WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+    QUALIFY row_number() OVER best <= 10
+    """,
+)
+def top_k_search(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
