@@ -12,6 +12,7 @@ from tideload.llm.common import read_table
 from tideload.llm.decontamination import UNITS, contaminated
 from tideload.llm.line_dedup import dedup_lines
 from tideload.llm.packing import pack, pieces
+from tideload.llm.passages import shared_passages
 from tideload.llm.sharding import fill_table, place
 from tideload.llm.simhash import simhash_components
 from tideload.llm.topk import top_k
@@ -196,6 +197,13 @@ def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return read_back(format_chats(table.unionByName(tricky)))
 
 
+@query("op8_substring_dedup")
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = shared_passages(read_table(spark, folder, "documents"))
+    return found.withColumnsRenamed({"doc": "doc_id", "holder": "source_doc_id", "start": "start_word", "end": "end_word",
+                                     "holder_start": "source_start_word", "holder_end": "source_end_word"})
+
+
 @query(
     "op9_line_dedup",
     r"""
