@@ -41,7 +41,7 @@ RADIUS = 3
 # Variants a task holds at once.
 PASS_VARIANTS = 8_000_000
 # Rows a prefix may have before it is given more bits, and how many it gets.
-PREFIX_ROWS = 20_000
+PREFIX_ROWS = 250_000
 FIRST_BITS = 8
 MORE_BITS = 8
 
@@ -195,7 +195,6 @@ def _met(fps: np.ndarray, used: np.ndarray, low_bits: int) -> tuple[np.ndarray,
 def fingerprint_links(nodes: DataFrame) -> DataFrame:
     """``u, v`` links of nodes (``node`` number, distinct ``fp``) that imply all pairs within three bits."""
     rows = _spread(nodes.select("node", "fp", F.lit(0).alias("used")), 0, FIRST_BITS, "prefix")
-    rows = staged(rows, "variants")
     # One row per prefix: at most 2**FIRST_BITS.
     hot = [r[0] for r in rows.groupBy("prefix").count().where(F.col("count") > PREFIX_ROWS).select("prefix").collect()]
     is_hot = F.col("prefix").isin(hot) if hot else F.lit(False)
