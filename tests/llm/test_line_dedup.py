@@ -2,6 +2,7 @@ import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from llm_fixtures import docs_of  # noqa: F401
 
 from tideload.llm.line_dedup import SPACE, dedup_lines
 

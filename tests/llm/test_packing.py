@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
+from llm_fixtures import docs_of  # noqa: F401
 
 from tideload.llm.encoding import PATTERN, encode, load_encoder
 from tideload.llm.packing import SEQUENCE_COST, best_cuts, cut_candidates, pack, pieces

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from llm_fixtures import docs_of  # noqa: F401
 
 from tideload.llm import simhash
 from tideload.llm.components import components
