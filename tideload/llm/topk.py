@@ -15,6 +15,7 @@ exact whenever it stops. Shards answer by themselves, and their answers are merg
 Defined cases: vectors that are null, or hold null or non-finite components, and rows without an
 id take no part; shorter vectors end in zeros; an empty vector has score 0 with all; ties go to
 the smaller id; fully repeated rows count once; an empty table gives an empty result.
+Scores must fit a long.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ SHARD_ROWS = 8192
 QUERY_BLOCK = 2048
 SEGMENT_ROWS = 256
 # Rows that may still reach the answer, as a share of the shard, at which they are scored exactly.
-FEW = 0.02
+FEW = 0.1
 
 
 def whole_numbers(vector: Column, scale: int) -> Column:
@@ -63,11 +64,13 @@ class ShardIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         rows, width = vectors.shape
-        self.order = np.argsort(-vectors, axis=0, kind="stable").T.astype(np.int32)  # per component
+        order = np.argsort(-vectors, axis=0, kind="stable").T
         at = np.arange(0, rows, SEGMENT_ROWS)
         ends = np.minimum(at + SEGMENT_ROWS, rows) - 1
-        ranked = np.take_along_axis(vectors.T, self.order, axis=1)
-        self.starts, self.ends = at, ends + 1
+        ranked = np.take_along_axis(vectors.T, order, axis=1)
+        # Component x segment x row; the last segment is filled up with a row that does not exist.
+        filled = np.pad(order, ((0, 0), (0, -rows % SEGMENT_ROWS)), constant_values=rows)
+        self.segments = filled.reshape(width, len(at), SEGMENT_ROWS).astype(np.int32)
         self.highest, self.lowest = ranked[:, at], ranked[:, ends]  # component x segment
         self.largest = int(np.abs(vectors).max(initial=0))
 
@@ -86,7 +89,8 @@ class ShardIndex:
         component, segment = np.unravel_index(by_impact, impact.shape)
         sorted_impact = impact.ravel()[by_impact]
         # Segments of a component come in descending impact, so the next one is its frontier.
-        acc = np.zeros(rows, dtype=kind)
+        all_acc = np.zeros(rows + 1, dtype=kind)
+        acc = all_acc[:rows]
         least, few = None, max(4 * k, int(FEW * rows))
         candidates = np.arange(rows)
         wave = max(1, len(by_impact) // 12)
@@ -96,8 +100,12 @@ class ShardIndex:
             return self._scored(np.flatnonzero(other), query, kind)
         for begun in range(0, len(by_impact), wave):
             done = min(begun + wave, len(by_impact))
-            for c, s, value in zip(component[begun:done], segment[begun:done], sorted_impact[begun:done], strict=True):
-                acc[self.order[use[c], self.starts[s] : self.ends[s]]] += value
+            touched = self.segments[use[component[begun:done]], segment[begun:done]].ravel()
+            added = np.repeat(sorted_impact[begun:done], SEGMENT_ROWS)
+            if exact:
+                all_acc += np.bincount(touched, added, minlength=rows + 1)
+            else:
+                np.add.at(all_acc, touched, added)
             open_positive = sorted_impact[done:] > 0
             if open_positive.any():
                 frontier = np.zeros(len(use), dtype=kind)
