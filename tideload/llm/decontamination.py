@@ -9,7 +9,7 @@ than ``min_literals`` words that are no placeholders says too little and is left
 Matching windows of a document and an item on one diagonal (place in the document less place in
 the item) are one alignment. In it the placeholders' values must be consistent: a value of the
 item always becomes the same value, and no two values the same, in at least ``min_agreement`` of
-the places. An item is found where the consistent windows cover ``min_covered`` of its words, or
+the places of each kind. An item is found where the consistent windows cover ``min_covered`` of its words, or
 all of a shorter one.
 
 Everything is DataFrame functions. The benchmark's windows are broadcast up to
@@ -156,9 +156,9 @@ def matched_windows(docs: DataFrame, text_col: str, windows: DataFrame) -> DataF
 
 
 def _agreement(counts: DataFrame, alignment: list[str], of: str) -> DataFrame:
-    """The share of an alignment's slots that hold the most frequent partner of their value."""
+    """For each kind, the share of an alignment's slots that hold the most frequent partner of their value."""
     per_value = counts.groupBy(*alignment, "kind", of).agg(F.sum("n").alias("n"), F.max("n").alias("most"))
-    return per_value.groupBy(*alignment).agg((F.sum("most") / F.sum("n")).alias("share"))
+    return per_value.groupBy(*alignment, "kind").agg((F.sum("most") / F.sum("n")).alias("share"))
 
 
 def contaminated_texts(

@@ -76,11 +76,11 @@ def query(name: str, sql: str | None = None):
     ), unlike AS (
         SELECT doc_id, item_id, diagonal
         FROM (SELECT doc_id, item_id, diagonal, kind, a, sum(n) AS n, max(n) AS most FROM slot GROUP BY ALL)
-        GROUP BY ALL HAVING sum(most) / sum(n) < 0.8
+        GROUP BY doc_id, item_id, diagonal, kind HAVING sum(most) / sum(n) < 0.8
         UNION
         SELECT doc_id, item_id, diagonal
         FROM (SELECT doc_id, item_id, diagonal, kind, b, sum(n) AS n, max(n) AS most FROM slot GROUP BY ALL)
-        GROUP BY ALL HAVING sum(most) / sum(n) < 0.8
+        GROUP BY doc_id, item_id, diagonal, kind HAVING sum(most) / sum(n) < 0.8
     ), covered AS (
         SELECT doc_id, item_id, words, count(DISTINCT pos) AS covered
         FROM (
