@@ -132,12 +132,40 @@ def test_composite_key_with_null_part(spark, form):
     assert got == sorted([(1, "x", 10), (1, None, 21), (2, None, 22)], key=str)
 
 
-def test_repeated_base_keys_need_the_window(spark):
-    base = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], BASE)
-    changes = spark.createDataFrame([], CHANGES)
-    assert rows(merge_changes(base, changes, ["k"], unique_base=False)) == [(1, "a"), (2, "b")]
-    with pytest.raises(ValueError, match="unique"):
-        merge_changes(base, changes, ["k"], form="lookup", unique_base=False)
+@pytest.mark.parametrize("limit", ["-1", "1", "10485760"])
+def test_repeated_base_keys_give_one_answer(spark, limit):
+    """Whatever the form and the broadcast limit: repeated keys, the sentinel second, NULL keys."""
+    sentinel = datetime(1900, 1, 1)
+    b = spark.createDataFrame([(1, "a", 5), (1, "b", 9), (2, "c", 1), (3, "d", 9), (None, "e", 1), (None, "f", 2)], "k int, v string, n int")
+    c = spark.createDataFrame(
+        [(2, "C", 7, "UPDATE", at(0)), (3, "D", 3, "UPDATE", sentinel), (4, "E", 1, "INSERT", sentinel), (None, "N", 0, "UPDATE", None)],
+        "k int, v string, n int, header__operation string, header__timestamp timestamp_ntz",
+    )
+    newer = c.where("header__timestamp IS NOT NULL").select("k", "v", "n", F.col("header__timestamp").alias("lastmodifieddate"))
+    dated = b.withColumn("lastmodifieddate", F.lit(sentinel))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, limit)
+    try:
+        got = {f: rows(merge_changes(b, c, ["k"], tiebreak=["n"], form=f)) for f in ["auto", *FORMS]}
+        latest = {f: rows(merge_latest(dated, newer, ["k"], tiebreak=["n"], form=f), "k", "v") for f in ["auto", *FORMS]}
+    finally:
+        spark.conf.unset(key)
+    want = sorted([(1, "b", 9), (2, "C", 7), (3, "d", 9), (4, "E", 1), (None, "f", 2)], key=str)
+    assert all(g == want for g in got.values()), got
+    assert all(g == sorted([w[:2] for w in want], key=str) for g in latest.values()), latest
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_the_word_that_keys_are_unique_changes_nothing_where_it_is_true(spark, form):
+    base = [(k, f"b{k}") for k in range(25)]
+    changes = random_changes(random.Random(6), 200)
+    b, c = spark.createDataFrame(base, BASE), spark.createDataFrame(changes, CHANGES)
+    got = [
+        rows(merge_changes(b, c, ["k"], tiebreak=["seq"], form=form, unique_base=u, key_partitioned=p))
+        for u in (False, True)
+        for p in (False, True)
+    ]
+    assert all(g == by_hand(base, changes) for g in got)
 
 
 def test_without_tiebreak_runs_agree(spark):

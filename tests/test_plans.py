@@ -42,7 +42,7 @@ def test_window_form_has_one_exchange_and_a_map_side_limit(t):
 
 
 def test_lookup_form_does_not_exchange_the_base(t):
-    plan = plan_of(merge_changes(t.orders, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="lookup"))
+    plan = plan_of(merge_changes(t.orders, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="lookup", unique_base=True))
     assert "NestedLoop" not in plan and "SortMergeJoin" not in plan
     first = plan[: plan.index("BroadcastExchange")]
     assert "o_orderkey" in first and "Exchange hashpartitioning" not in first
@@ -53,7 +53,11 @@ def test_join_form_reads_a_bucketed_base_without_exchange(spark, t):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         base = spark.table("plan_orders")
-        plan = plan_of(merge_changes(base, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="join"))
+        plan = plan_of(
+            merge_changes(
+                base, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="join", unique_base=True, key_partitioned=True
+            )
+        )
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     join = plan[plan.index("SortMergeJoin") :]
@@ -64,14 +68,14 @@ def test_join_form_reads_a_bucketed_base_without_exchange(spark, t):
 
 def test_auto_form_follows_the_sizes(spark, t):
     args = (t.orders, order_changes(t), ORDER_KEY)
-    assert "LeftAnti" in plan_of(merge_changes(*args, tiebreak=ORDER_TIEBREAK))
+    assert "LeftAnti" in plan_of(merge_changes(*args, tiebreak=ORDER_TIEBREAK, unique_base=True))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
     try:
-        more_changes = plan_of(merge_changes(*args, tiebreak=ORDER_TIEBREAK))
+        more_changes = plan_of(merge_changes(*args, tiebreak=ORDER_TIEBREAK, unique_base=True))
         more_base = t.orders
         for _ in range(5):
             more_base = more_base.unionByName(more_base)
-        fewer_changes = plan_of(merge_changes(more_base, *args[1:], tiebreak=ORDER_TIEBREAK))
+        fewer_changes = plan_of(merge_changes(more_base, *args[1:], tiebreak=ORDER_TIEBREAK, unique_base=True))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "FullOuter" not in more_changes and "LeftAnti" not in more_changes

@@ -97,7 +97,7 @@ def test_a_merge_keeps_the_buckets_without_moving_the_base(spark):
     base = spark.range(1000).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("b"), "id").alias("v"))
     save_table(base, "placed_base", ["k"], 8)
     feed = changes(spark, (5, "five", "UPDATE"), (7, "", "DELETE"), (5000, "new", "INSERT"))
-    merged = merge_changes(spark.table("placed_base"), feed, ["k"], form="join")
+    merged = merge_changes(spark.table("placed_base"), feed, ["k"], form="join", unique_base=True, key_partitioned=True)
     save_table(merged, "placed_next", ["k"], 8, placed=True)
     location = spark.sql("DESCRIBE EXTENDED placed_next").where("col_name = 'Location'").first().data_type
     files = [f for f in os.listdir(location.removeprefix("file:")) if f.endswith(".parquet")]

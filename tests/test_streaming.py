@@ -71,7 +71,7 @@ def test_no_new_files_means_no_batch(spark, scratch, table):
     write_file(f"{scratch}/in", "a.csv", line(3, "three", "INSERT", "10:00:00", 1))
     run(spark, scratch, table)
     run(spark, scratch, table)
-    assert table._pending() == [0]
+    assert table._log().keys() == {0}
 
 
 def test_replayed_batches_count_once(spark, table):
@@ -119,3 +119,66 @@ def test_values_with_quotes_and_bad_numbers(spark):
     )
     assert rows(parse_values(values, META), "k", "v") == [(7, 'a, "b"'), (None, "y")]
     assert rows(rejected_values(values, META), "k") == [("x",)]
+
+
+def feed_of(spark, *rows):
+    """(k, v, operation, second) rows as changes."""
+    text = [(k, v, op, f"2024-01-01 00:00:{s:02d}", f"{s:05d}") for k, v, op, s in rows]
+    frame = spark.createDataFrame(text, "k int, v string, header__operation string, ts string, h5 string")
+    return frame.selectExpr("k", "v", "header__operation", "cast(ts as timestamp_ntz) header__timestamp", "h5")
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_sources_do_not_meet(spark, table, compacted):
+    table.apply_batch(feed_of(spark, (1, "first", "UPDATE", 1)), 0, "a")
+    if compacted:
+        table.compact()
+        table.vacuum()
+    table.apply_batch(feed_of(spark, (3, "second", "INSERT", 2)), 0, "b")
+    assert rows(table.read()) == [(1, "first"), (2, "two"), (3, "second")]
+    table.apply_batch(feed_of(spark, (9, "replayed", "INSERT", 2)), 0, "b")
+    assert rows(table.read()) == [(1, "first"), (2, "two"), (9, "replayed")]
+    table.apply_batch(feed_of(spark, (1, "first", "UPDATE", 1)), 0, "a")
+    table.compact()
+    table.apply_batch(feed_of(spark, (7, "late replay", "INSERT", 2)), 0, "a")
+    assert rows(table.read()) == [(1, "first"), (2, "two"), (9, "replayed")]
+    with pytest.raises(ValueError, match="source"):
+        table.apply_batch(feed_of(spark), 0, "../a")
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_new_checkpoint_neither_skips_nor_overwrites(spark, scratch, table, compacted):
+    write_file(f"{scratch}/in", "a.csv", line(1, "new", "UPDATE", "10:00:05", 5))
+    run(spark, scratch, table)
+    if compacted:
+        table.compact()
+        table.vacuum()
+    write_file(f"{scratch}/more", "b.csv", line(3, "three", "INSERT", "10:00:06", 6))
+    stream = change_folder(spark, f"{scratch}/more", META)
+    start_upsert(stream, table, f"{scratch}/other checkpoint").awaitTermination()
+    assert rows(table.read()) == [(1, "new"), (2, "two"), (3, "three")]
+
+
+def test_the_log_is_compacted_as_the_stream_runs(spark, scratch, table):
+    for i in range(7):
+        write_file(f"{scratch}/in", f"{i}.csv", line(10 + i, f"v{i}", "INSERT", f"10:00:{i:02d}", i))
+    stream = change_folder(spark, f"{scratch}/in", META, maxFilesPerTrigger="1")
+    start_upsert(stream, table, f"{scratch}/checkpoint", compact_every=3).awaitTermination()
+    assert len(table._pending()) < 3 and len(table._versions()) == 2
+    assert len(rows(table.read())) == 9
+
+
+def test_one_second_trigger(spark, scratch, table):
+    import time
+
+    write_file(f"{scratch}/in", "a.csv", line(3, "three", "INSERT", "10:00:00", 1))
+    running = start_upsert(change_folder(spark, f"{scratch}/in", META), table, f"{scratch}/checkpoint", processingTime="1 second")
+    try:
+        for i, wanted in enumerate(([1, 2, 3], [1, 2, 3, 4])):
+            deadline = time.time() + 60
+            while [r[0] for r in rows(table.read(), "k")] != wanted and time.time() < deadline:
+                time.sleep(0.3)
+            assert [r[0] for r in rows(table.read(), "k")] == wanted
+            write_file(f"{scratch}/in", f"more{i}.csv", line(4, "four", "INSERT", "10:00:01", 2))
+    finally:
+        running.stop()

@@ -4,24 +4,25 @@ A change table holds full rows. With operations, a row is an INSERT, UPDATE,
 DELETE or BEFOREIMAGE; anything that is neither DELETE nor BEFOREIMAGE writes the
 row. Without operations, the newest row of a key wins.
 
-Both merges first reduce the changes to one row per key, and know three forms with
-the same result:
+A base may hold a key more than once; only its first row by the merge's order counts.
+``unique_base=True`` is the caller's word that it does not, and spares that step. Both merges
+first reduce the changes to one row per key, and know three forms with the same result:
 
+``window``
+    Union, rank per key, keep the first.
 ``lookup``
     Take the beaten rows out of the base by an anti join and add the winning changes.
-    Where the reduced changes are small enough to broadcast, the base is never
-    shuffled. Needs a base with unique keys.
+    The reduced changes are written once; where they are small enough to broadcast, a base
+    with unique keys is scanned once and never shuffled.
 ``join``
-    Full outer join of base and reduced changes. The base is exchanged and sorted
-    once; a base bucketed by its key is not exchanged at all. Needs unique keys too.
-``window``
-    Union, rank per key, keep the first. Also right for a base with repeated keys, of
-    which only one row is kept.
-
-``auto`` goes by Catalyst's size estimates: ``lookup`` for changes within the session's
-broadcast limit, ``join`` for larger ones as long as the base is larger still, and
-``window``, which sorts base rows before their exchange, for the rest and for a base
-whose keys may repeat.
+    One full outer join of base and reduced changes, NULL keys included. With
+    ``key_partitioned`` keys are compared plainly, so that a base bucketed by its key is not
+    exchanged at all, and NULL keys are ranked beside the join.
+
+``auto`` takes ``window`` unless the base is unique. For a unique base it goes by Catalyst's
+size estimates: ``lookup`` for changes within the session's broadcast limit, ``join`` for
+larger ones as long as the base is larger still, and ``window``, which sorts base rows before
+their exchange, for the rest.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tideload.functions.dates import trunc_second
 from tideload.operators.latest import latest_per_key
-from tideload.session import broadcast_limit, plan_bytes
+from tideload.session import broadcast_limit, plan_bytes, staged
 
 OPERATION = "header__operation"
 TIMESTAMP = "header__timestamp"
@@ -95,12 +96,10 @@ def _with_order(
 def _pick_form(form: str, base: DataFrame, changes: DataFrame, unique_base: bool) -> str:
     if form not in _FORMS:
         raise ValueError(f"form must be one of {_FORMS}")
-    if not unique_base:
-        if form not in ("auto", "window"):
-            raise ValueError(f"the {form} form needs a base with unique keys")
-        return "window"
     if form != "auto":
         return form
+    if not unique_base:
+        return "window"
     size = plan_bytes(changes)
     if size <= broadcast_limit(changes):
         return "lookup"
@@ -111,11 +110,17 @@ def _anti(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
     return left.alias("l").join(right.alias("r"), condition, "left_anti")
 
 
+def _one_per_key(
+    stored: DataFrame, keys: Sequence[str], columns: Sequence[str], tiebreak: Sequence[str], unique_base: bool
+) -> DataFrame:
+    """The row of each stored key that counts."""
+    return stored if unique_base else latest_per_key(stored, keys, _newest_first("_ts", tiebreak, columns))
+
+
 def _full_join(
-    stored: DataFrame, newest: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str]
+    stored: DataFrame, newest: DataFrame, matched: Column, columns: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """The winning row of each key by one full outer join, with its operation if there is one."""
-    matched = reduce(lambda a, b: a & b, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys])
     joined = stored.alias("l").join(newest.alias("r"), matched, "full")
     # A struct compares field by field with NULL lowest, like the ranking does.
     stored_newer = F.struct(*[f"l.{c}" for c in order]) > F.struct(*[f"r.{c}" for c in order])
@@ -129,14 +134,20 @@ def _newest_rows(
     keys: Sequence[str],
     columns: Sequence[str],
     tiebreak: Sequence[str],
+    key_partitioned: bool,
 ) -> DataFrame:
-    """The winning row of each key: a join for whole keys, a ranking for keys with a NULL part.
+    """The winning row of each key by one join, NULL keys included.
 
-    Plain equality keeps the key's own hash partitioning, which NULL-safe equality does
-    not. Parquet statistics let the scan for NULL keys skip files that have none.
+    NULL-safe equality does not keep the key's own hash partitioning. Where the base has it,
+    whole keys are compared plainly and keys with a NULL part ranked beside the join; Parquet
+    statistics let the scan for NULL keys skip files that have none.
     """
+    order = ["_age", *tiebreak]
+    if not key_partitioned:
+        return _full_join(stored, newest, same_key("l", "r", keys), columns, order)
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    joined = _full_join(stored.where(whole), newest.where(whole), keys, columns, ["_age", *tiebreak])
+    equal = reduce(lambda a, b: a & b, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys])
+    joined = _full_join(stored.where(whole), newest.where(whole), equal, columns, order)
     partial = stored.where(~whole).unionByName(newest.where(~whole))
     ranked = latest_per_key(partial, keys, _newest_first("_ts", tiebreak, columns))
     return joined.unionByName(ranked.select(*columns))
@@ -166,14 +177,15 @@ def merge_changes(
     ts: str = TIMESTAMP,
     tiebreak: Sequence[str] = (),
     form: str = "auto",
-    unique_base: bool = True,
+    unique_base: bool = False,
+    key_partitioned: bool = False,
 ) -> DataFrame:
     """Apply a change table with operations; returns the key columns first, then the others.
 
     Timestamps count to the second. Within one second ``tiebreak`` columns decide,
     highest first; without any, the full timestamp does and then a hash of the row,
     so that a second run gives the same rows. Stored rows count as inserted at
-    ``STORED_SINCE``; at that very second a change still wins.
+    ``STORED_SINCE``; at that very second the tiebreak decides, and then the change wins.
     """
     columns = _key_first(base, keys, columns)
     form = _pick_form(form, base, changes, unique_base)
@@ -184,22 +196,33 @@ def merge_changes(
         # The delete filter stays above the ranking: a delete must hide older rows.
         return ranked.where(F.col("_op") != DELETE).select(*columns)
 
+    stored = _one_per_key(stored, keys, columns, tiebreak, unique_base)
     newest = compact_changes(changes, keys, columns, op, ts, tiebreak)
     if form == "join":
-        rows = _newest_rows(stored, newest, keys, [*columns, "_op"], tiebreak)
+        rows = _newest_rows(stored, newest, keys, [*columns, "_op"], tiebreak, key_partitioned)
         return rows.where(F.col("_op") != DELETE).select(*columns)
 
-    wins = F.col("_age") >= stored_since()
-    beating = newest.where(wins)
-    weak = newest.where(~F.coalesce(wins, F.lit(False)))
-    kept = _anti(base.select(*columns), beating.select(*keys), same_key("l", "r", keys))
-    # Changes dated before STORED_SINCE, or not dated, only write keys the base lacks.
-    known = stored.select(*keys).alias("l").join(
-        weak.select(*keys).alias("r"), same_key("l", "r", keys), "left_semi"
-    )
-    new_weak = _anti(weak, known, same_key("l", "r", keys))
-    written = beating.unionByName(new_weak.select(*beating.columns))
-    return kept.unionByName(written.where(F.col("_op") != DELETE).select(*columns))
+    # Written, since several branches read them and they are one small row per key.
+    newest = staged(newest, "changes")
+    matched = same_key("l", "r", keys)
+    wins = F.coalesce(F.col("_age") > stored_since(), F.lit(False))
+    weak = newest.where(~wins)
+    winners = newest.where(wins)
+    if not weak.isEmpty():
+        # Changes from before STORED_SINCE, of that very second or undated: rare, and may lose.
+        held = _held(stored, weak, keys, ["_age", *tiebreak])
+        winners = winners.unionByName(_anti(weak, held, matched).select(*winners.columns))
+    kept = _anti(stored, winners.select(*keys), matched).select(*columns)
+    return kept.unionByName(winners.where(F.col("_op") != DELETE).select(*columns))
+
+
+def _held(stored: DataFrame, newest: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Keys whose stored row is newer than the change."""
+    narrow = [*keys, *[c for c in order if c not in keys]]
+    stored_newer = F.struct(*[f"l.{c}" for c in order]) > F.struct(*[f"r.{c}" for c in order])
+    matched = same_key("l", "r", keys) & stored_newer
+    held = stored.select(*narrow).alias("l").join(newest.select(*narrow).alias("r"), matched, "left_semi")
+    return held.select(*keys)
 
 
 def merge_latest(
@@ -210,7 +233,8 @@ def merge_latest(
     ts: str = "lastmodifieddate",
     tiebreak: Sequence[str] = (),
     form: str = "auto",
-    unique_base: bool = True,
+    unique_base: bool = False,
+    key_partitioned: bool = False,
 ) -> DataFrame:
     """Merge full rows without operations: the newest ``ts`` per key wins, nothing is deleted.
 
@@ -224,18 +248,16 @@ def merge_latest(
         union = stored.unionByName(incoming)
         return latest_per_key(union, keys, _newest_first("_ts", tiebreak, columns)).select(*columns)
 
+    stored = _one_per_key(stored, keys, columns, tiebreak, unique_base)
     newest = compact_changes(changes, keys, columns, None, ts, tiebreak)
     if form == "join":
-        return _newest_rows(stored, newest, keys, columns, tiebreak)
+        return _newest_rows(stored, newest, keys, columns, tiebreak, key_partitioned)
 
-    order = ["_age", *tiebreak]
-    narrow = [*keys, *[c for c in order if c not in keys]]
+    newest = staged(newest, "changes")
     matched = same_key("l", "r", keys)
-    stored_newer = F.struct(*[f"l.{c}" for c in order]) > F.struct(*[f"r.{c}" for c in order])
-    kept = _anti(stored, newest.select(*narrow), matched & ~stored_newer).select(*columns)
-    held = stored.select(*narrow).alias("l").join(newest.select(*narrow).alias("r"), matched & stored_newer, "left_semi")
-    written = _anti(newest, held.select(*keys), matched).select(*columns)
-    return kept.unionByName(written)
+    winners = _anti(newest, _held(stored, newest, keys, ["_age", *tiebreak]), matched)
+    kept = _anti(stored, winners.select(*keys), matched).select(*columns)
+    return kept.unionByName(winners.select(*columns))
 
 
 def _key_first(base: DataFrame, keys: Sequence[str], columns: Sequence[str] | None) -> list[str]:

@@ -326,7 +326,7 @@ def _merge_cobucketed(t: Tables) -> DataFrame:
     database, buckets = t.database(), bucket_count(t.orders)
     final, staging = f"{database}.orders_final", f"{database}.orders_stg"
     full_load(t.orders, final, ORDER_KEY, buckets)
-    merged = merge_changes(t.spark.table(final), order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="join")
+    merged = merge_changes(t.spark.table(final), order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="join", unique_base=True, key_partitioned=True)
     save_table(merged, staging, ORDER_KEY, buckets, placed=True)
     publish_swap(t.spark, staging, final)
     return t.spark.table(final)

@@ -92,7 +92,7 @@ ORDER_MERGE_SQL = merge_sql(ORDER_CHANGES_SQL)
 
 @query("merge_changes", ORDER_MERGE_SQL)
 def _merge_changes(t: Tables) -> DataFrame:
-    return merge_changes(t.orders, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK)
+    return merge_changes(t.orders, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, unique_base=True)
 
 
 @query("merge_changes_window", ORDER_MERGE_SQL)
@@ -102,12 +102,12 @@ def _merge_changes_window(t: Tables) -> DataFrame:
 
 @query("merge_changes_join", ORDER_MERGE_SQL)
 def _merge_changes_join(t: Tables) -> DataFrame:
-    return merge_changes(t.orders, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="join")
+    return merge_changes(t.orders, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="join", unique_base=True)
 
 
 @query("merge_changes_lookup", ORDER_MERGE_SQL)
 def _merge_changes_lookup(t: Tables) -> DataFrame:
-    return merge_changes(t.orders, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="lookup")
+    return merge_changes(t.orders, order_changes(t), ORDER_KEY, tiebreak=ORDER_TIEBREAK, form="lookup", unique_base=True)
 
 
 @query("merge_bucketed", ORDER_MERGE_SQL)
@@ -119,6 +119,51 @@ def _merge_bucketed(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select(*ORDER_COLUMNS)
 
 
+# Orders by customer: a base in which most keys repeat.
+REPEATED_KEY = ["o_custkey"]
+REPEATED_TIEBREAK = ["seq_line", "seq_part", "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus"]
+REPEATED_SQL = f"""
+SELECT {_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY
+      date_trunc('second', header__timestamp) DESC NULLS LAST, seq_line DESC NULLS LAST,
+      seq_part DESC NULLS LAST, o_orderkey DESC, o_totalprice DESC, o_orderdate DESC, o_orderpriority DESC,
+      o_orderstatus DESC) AS rnk
+  FROM (
+    SELECT {_COLS}, 'INSERT' AS header__operation, TIMESTAMP '1900-01-01' AS header__timestamp,
+           NULL AS seq_line, NULL AS seq_part
+    FROM orders
+    UNION ALL
+    SELECT {_COLS}, header__operation, header__timestamp, seq_line, seq_part
+    FROM ({ORDER_CHANGES_SQL}) AS c WHERE header__operation <> 'BEFOREIMAGE'
+  ) AS u
+) AS a WHERE rnk = 1 AND header__operation <> 'DELETE'"""
+
+
+def _merge_repeated(t: Tables, form: str) -> DataFrame:
+    merged = merge_changes(t.orders, order_changes(t), REPEATED_KEY, tiebreak=REPEATED_TIEBREAK, form=form)
+    return merged.select(*ORDER_COLUMNS)
+
+
+@query("merge_repeated_base", REPEATED_SQL)
+def _merge_repeated_base(t: Tables) -> DataFrame:
+    return _merge_repeated(t, "auto")
+
+
+@query("merge_repeated_base_join", REPEATED_SQL)
+def _merge_repeated_base_join(t: Tables) -> DataFrame:
+    return _merge_repeated(t, "join")
+
+
+# A tenth of the orders change: few changes on a large base.
+FEW_CHANGES_SQL = f"SELECT * FROM ({ORDER_CHANGES_SQL}) AS c WHERE seq_line = 7"
+
+
+@query("merge_few_changes", merge_sql(FEW_CHANGES_SQL))
+def _merge_few_changes(t: Tables) -> DataFrame:
+    few = order_changes(t).where("seq_line = 7")
+    return merge_changes(t.orders, few, ORDER_KEY, tiebreak=ORDER_TIEBREAK, unique_base=True)
+
+
 REINSERT_SQL = f"""{ORDER_CHANGES_SQL}
 UNION ALL
 SELECT {_COLS}, 'INSERT', TIMESTAMP '2030-01-01', 100, 0 FROM orders WHERE o_orderstatus = 'P'"""
