@@ -66,6 +66,21 @@ def test_malformed_rows_are_rejected_not_lost(spark, scratch):
     good, bad = read_snapshot_checked(spark, path, META)
     assert [r.RoomId for r in good.collect()] == [1]
     assert sorted(r.RoomId for r in bad.collect()) == ["3", "x"]
+    path = text_file(scratch, "1,a,1,5,1.0\n2,a,1,5,1.0,2024-01-02 00:00:00,x,more\n3,a,1,5,1.0,,x\n", "other.csv")
+    good, bad = read_snapshot_checked(spark, path, META)
+    assert [r.RoomId for r in good.select("RoomId").collect()] == [3]
+    assert [r.reason for r in bad.select("reason").collect()] == ["number of fields"] * 2
+
+
+def test_line_breaks_and_backslashes_survive_by_default(spark, scratch):
+    hard = ["two\nlines", "\r\n", "back\\slash", "\\n", "\\\n\\\\n", "\\N", "\\", "", None, 'quote " , and \n break']
+    df = spark.createDataFrame(list(enumerate(hard)), "id int, a string")
+    meta = meta_of("t", df.schema, ["id"])
+    write_snapshot(df, f"{scratch}/out")
+    good, bad = read_snapshot_checked(spark, f"{scratch}/out", meta)
+    assert rows(good) == rows(df) and bad.count() == 0
+    path = text_file(scratch, "1,C:\\new\n")
+    assert read_snapshot(spark, path, meta, escaped=False).first().a == "C:\\new"
 
 
 def test_empty_and_missing_text_survive(spark, scratch):

@@ -117,7 +117,7 @@ def test_values_with_quotes_and_bad_numbers(spark):
     values = spark.createDataFrame(
         [('0,0,0,0,UPDATE,00001,2024-01-01 10:00:00.5,7,"a, ""b"""',), ("0,0,0,0,UPDATE,1,2024-01-01,x,y",)], "value string"
     )
-    assert rows(parse_values(values, META), "k", "v") == [(7, 'a, "b"'), (None, "y")]
+    assert rows(parse_values(values, META), "k", "v") == [(7, 'a, "b"')]
     assert rows(rejected_values(values, META), "k") == [("x",)]
 
 
@@ -182,3 +182,46 @@ def test_one_second_trigger(spark, scratch, table):
             write_file(f"{scratch}/in", f"more{i}.csv", line(4, "four", "INSERT", "10:00:01", 2))
     finally:
         running.stop()
+
+
+GOOD = "0,0,0,0,UPDATE,00001,2024-01-01 10:00:00,7,seven"
+BAD = {
+    "0,0,0,0,UPDATE,00001,2024-01-01 10:00:00,1": "number of fields",
+    "0,0,0,0,UPDATE,00001,2024-01-01 10:00:00,1,x,y": "number of fields",
+    "0,0,0,0,UPDATE,00001,2024-01-01 10:00:00,one,x": "malformed field",
+    "0,0,0,0,UPDATE,00001,noon,1,x": "malformed field",
+    r"0,0,0,0,UPDATE,00001,2024-01-01 10:00:00,\N,x": "missing value",
+    r"0,0,0,0,\N,00001,2024-01-01 10:00:00,1,x": "missing value",
+    r"0,0,0,0,UPDATE,00001,\N,1,x": "missing value",
+}
+
+
+def test_bad_changes_are_rejected_everywhere(spark, scratch, table):
+    from tideload.sources.delimited import read_changes_checked
+    from tideload.streaming.changes import change_folder_checked, parse_values_checked
+
+    lines = [GOOD, *BAD]
+    write_file(f"{scratch}/in", "a.csv", *[f"{x}\n" for x in lines])
+    values = spark.createDataFrame([(x,) for x in lines], "value string")
+    for good, bad in (parse_values_checked(values, META), read_changes_checked(spark, f"{scratch}/in", META)):
+        assert rows(good, "k", "v") == [(7, "seven")] and rows(good, "k") == [(7,)]
+        assert sorted(r.reason for r in bad.collect()) == sorted(BAD.values())
+        assert bad.select("reason").count() == len(BAD)
+    good, bad = change_folder_checked(spark, f"{scratch}/in", META)
+    start_upsert(good, table, f"{scratch}/checkpoint").awaitTermination()
+    append_stream(bad, f"{scratch}/rejects", f"{scratch}/checkpoint2").awaitTermination()
+    assert rows(table.read()) == [(1, "one"), (2, "two"), (7, "seven")]
+    assert sorted(r.reason for r in spark.read.parquet(f"{scratch}/rejects").collect()) == sorted(BAD.values())
+
+
+def test_topic_options_and_message_text(spark):
+    from tideload.streaming.changes import message_text, topic_options
+
+    options = topic_options("a:9092,b:9092", "orders", "earliest", "loader", 1000)
+    assert options["kafka.bootstrap.servers"] == "a:9092,b:9092" and options["subscribe"] == "orders"
+    assert options["startingOffsets"] == "earliest" and options["kafka.group.id"] == "loader"
+    assert options["maxOffsetsPerTrigger"] == "1000"
+    assert "kafka.group.id" not in topic_options("a:9092", "orders")
+    messages = spark.createDataFrame([(None, bytearray(GOOD.encode())), (None, None)], "key binary, value binary")
+    assert rows(parse_values(message_text(messages), META), "k") == [(7,)]
+    assert rejected_values(message_text(messages), META).count() == 1
