@@ -59,10 +59,17 @@ def init_watermark(control: DataFrame, table: str, run_time: Column) -> DataFram
 
 
 def advance_watermark(control: DataFrame, extract: DataFrame, ts: str, table: str) -> DataFrame:
-    """The control table with the newest ``ts`` of the extract; an empty extract moves nothing."""
+    """The control table with the newest ``ts`` of the extract; an empty extract moves nothing.
+
+    A table the control does not know yet gets its row. Give the landed rows, not the query
+    that read them: rows that reach the source in between would be passed over for ever.
+    """
     newest = extract.agg(F.max(F.col(ts)).alias("newest")).scalar().cast("timestamp_ntz")
     moved = F.when(F.col("table_name") == table, F.greatest(F.col("run_time"), newest))
-    return control.withColumn("run_time", F.coalesce(moved, F.col("run_time")))
+    known = control.withColumn("run_time", F.coalesce(moved, F.col("run_time")))
+    first = control.sparkSession.range(1).select(F.lit(table).alias("table_name"), newest.alias("run_time"))
+    new = first.join(control.select("table_name"), "table_name", "left_anti").where(F.col("run_time").isNotNull())
+    return known.unionByName(new, allowMissingColumns=True)
 
 
 def key_check(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:

@@ -20,6 +20,7 @@ from tideload.operators.publish import (
     save_table,
     truncate_table,
 )
+from tideload.plans.extracts import control_of, landed_rows, run_extracts
 from tideload.plans.loads import LoadSpec, run_all, run_full, run_incremental
 from tideload.queries.merging import (
     ORDER_CHANGES_SQL,
@@ -30,10 +31,12 @@ from tideload.queries.merging import (
     order_changes,
 )
 from tideload.queries.registry import TABLES, Tables, query
-from tideload.sources.delimited import change_rows, read_changes, read_snapshot, write_snapshot
+from tideload.sources.delimited import change_rows, read_changes, read_changes_checked, read_snapshot, write_snapshot
 from tideload.sources.extract import extract_full, extract_since, land, parquet_reader
 from tideload.sources.inline import inline_rows
 from tideload.sources.metadata import (
+    Field,
+    TableMeta,
     discover_metadata,
     discover_metadata_by_constraint,
     meta_of,
@@ -248,6 +251,42 @@ def _land(t: Tables) -> DataFrame:
     return t.spark.read.parquet(folder)
 
 
+@query(
+    "run_extracts",
+    """
+SELECT 'orders' AS kind, CAST(o_orderkey AS BIGINT) AS id, o_orderdate AS at FROM orders
+UNION ALL SELECT 'lineitem', l_orderkey, l_shipdate FROM lineitem
+UNION ALL SELECT 'control orders', NULL, max(o_orderdate) FROM orders
+UNION ALL SELECT 'control lineitem', NULL, max(l_shipdate) FROM lineitem""",
+)
+def _run_extracts(t: Tables) -> DataFrame:
+    """A first run on what the tables held by a day, a run on the rest, and that run once more."""
+    control, landing = t.scratch("control"), t.scratch("landing")
+    times = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
+
+    def until(day: str | None):
+        def read(table: str) -> DataFrame:
+            rows = getattr(t, table)
+            return rows if day is None else rows.where(F.col(times[table]) <= F.lit(day).cast("timestamp_ntz"))
+
+        return read
+
+    run_extracts(t.spark, until("1997-06-01"), times, control, landing, "first")
+    for _ in range(2):
+        run_extracts(t.spark, until(None), times, control, landing, "second")
+    keys = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+    parts = [
+        landed_rows(t.spark, landing, name).select(
+            F.lit(name).alias("kind"), F.col(keys[name]).cast("bigint").alias("id"), F.col(ts).alias("at")
+        )
+        for name, ts in times.items()
+    ]
+    marks = control_of(VersionedTable(t.spark, control)).select(
+        F.concat(F.lit("control "), "table_name").alias("kind"), F.lit(None).cast("bigint").alias("id"), F.col("run_time").alias("at")
+    )
+    return parts[0].unionByName(parts[1]).unionByName(marks)
+
+
 @query(
     "rowkey_cells",
     " UNION ALL ".join(
@@ -385,3 +424,57 @@ def _inline_values(t: Tables) -> DataFrame:
     rows = [(1, "F", "Confirmed"), (2, "O", "Tentative"), (3, "P", "Arrived")]
     status = inline_rows(t.spark, rows, "status_id int, o_orderstatus string, status_name string")
     return t.orders.join(status, "o_orderstatus").select(*ORDER_COLUMNS, "status_id", "status_name")
+
+
+# Change lines of (k, v) made of the order lines; all but the first lines of an order are spoilt in one way.
+_PAIR_META = TableMeta("pair", (Field("k", "bigint", True), Field("v", "varchar", False)))
+_SPOILT = {2: "number of fields", 3: "number of fields", 4: "malformed field", 5: "missing value", 6: "missing value", 7: "missing value"}
+
+
+def _write_spoilt_changes(t: Tables, path: str) -> None:
+    line = F.col("l_linenumber")
+    key = F.col("l_orderkey").cast("string")
+    fields = [
+        F.concat_ws("-", key, line.cast("string"), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")),
+        *[F.lit("0")] * 3,
+        F.when(line == 6, "\\N").otherwise("UPDATE"),
+        F.lpad(F.col("l_partkey").cast("string"), 12, "0"),
+        F.when(line == 7, "\\N").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")),
+        F.when(line == 4, F.concat(F.lit("no. "), key)).when(line == 5, "\\N").otherwise(key),
+    ]
+    last = F.when(line == 2, "").when(line == 3, ",a,b").otherwise(F.concat(F.lit(","), "l_returnflag", "l_linestatus"))
+    t.lineitem.select(F.concat(F.concat_ws(",", *fields), last).alias("value")).write.text(path)
+
+
+@query(
+    "changes_rejects",
+    f"""
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
+           || '-' || CAST(l_suppkey AS VARCHAR) AS h0,
+       CASE {' '.join(f"WHEN l_linenumber = {n} THEN '{reason}'" for n, reason in _SPOILT.items())} END AS reason
+FROM lineitem WHERE l_linenumber > 1""",
+)
+def _changes_rejects(t: Tables) -> DataFrame:
+    path = t.scratch("spoilt")
+    _write_spoilt_changes(t, path)
+    return read_changes_checked(t.spark, path, _PAIR_META)[1].select("h0", "reason")
+
+
+@query(
+    "changes_checked_merge",
+    """
+SELECT k, v FROM (
+  SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY ts DESC, h5 DESC NULLS LAST, v DESC) AS rnk
+  FROM (
+    SELECT o_orderkey AS k, o_orderstatus AS v, TIMESTAMP '1900-01-01' AS ts, NULL AS h5 FROM orders
+    UNION ALL
+    SELECT l_orderkey, l_returnflag || l_linestatus, l_shipdate, lpad(CAST(l_partkey AS VARCHAR), 12, '0')
+    FROM lineitem WHERE l_linenumber = 1
+  ) AS u
+) AS r WHERE rnk = 1""",
+)
+def _changes_checked_merge(t: Tables) -> DataFrame:
+    path = t.scratch("spoilt")
+    _write_spoilt_changes(t, path)
+    base = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"))
+    return merge_changes(base, read_changes(t.spark, path, _PAIR_META), ["k"], tiebreak=["h5", "v"])

@@ -76,3 +76,17 @@ def _stream_replay_idempotent(t: Tables) -> DataFrame:
         table.compact()
         table.apply_batch(part, batch_id)
     return table.read()
+
+
+@query("stream_new_checkpoint", ORDER_MERGE_SQL)
+def _stream_new_checkpoint(t: Tables) -> DataFrame:
+    """The first part by one stream; after a compaction both parts by a stream with a new checkpoint."""
+    table, folder, meta = _upsert_table(t), t.scratch("change-files"), order_meta(t)
+    checkpoints = [t.scratch("checkpoint"), t.scratch("checkpoint")]
+
+    def run() -> None:
+        stream = change_folder(t.spark, folder, meta)
+        start_upsert(stream, table, checkpoints.pop(), compact_every=1).awaitTermination()
+
+    in_two_parts(t, folder, run)
+    return table.read()

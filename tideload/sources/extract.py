@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,15 +10,23 @@ from pyspark.sql import functions as F
 Reader = Callable[[str], DataFrame]
 
 
-def jdbc_reader(spark: SparkSession, options: Mapping[str, str], bounds: Mapping[str, Mapping] | None = None) -> Reader:
+def jdbc_reader(
+    spark: SparkSession,
+    options: Mapping[str, str],
+    bounds: Mapping[str, Mapping] | None = None,
+    small: Collection[str] = (),
+) -> Reader:
     """A table reader over JDBC. All connection settings come from the caller.
 
-    ``bounds`` gives per table the ``partitionColumn``, ``lowerBound``, ``upperBound``
-    and ``numPartitions`` for a parallel read; without them one task reads the table.
+    ``bounds`` gives per table the ``partitionColumn``, ``lowerBound``, ``upperBound`` and
+    ``numPartitions`` for a parallel read. A table without them would be read by one task
+    and is refused, unless the caller names it in ``small``.
     """
 
     def read(table: str) -> DataFrame:
         split = (bounds or {}).get(table, {})
+        if not split and table not in small:
+            raise ValueError(f"{table} has no bounds: one task would read all of it; name it as small if it is")
         return spark.read.format("jdbc").options(**options, **split, dbtable=table).load()
 
     return read
