@@ -59,6 +59,34 @@ def split_hot_join(
     return by_exchange.unionByName(by_broadcast)
 
 
+def fanout_join(
+    fact: DataFrame, many: DataFrame, keys: Sequence[str], how: str = "inner", pieces: int = 16
+) -> DataFrame:
+    """Join to a table that may hold a key more than once (``inner`` or ``left``).
+
+    The session splits hot partitions at run time. Where that is switched off, the fact rows
+    of hot keys are dealt to ``pieces`` parts by a hash of the row, and the rows of ``many``
+    with such a key go to every part; nothing but the keys themselves, at most
+    ``1 / HOT_SHARE`` of them, is broadcast.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    keys = list(keys)
+    if splits_skewed_joins(fact.sparkSession) or fits_broadcast(many):
+        return fact.join(many, keys, how)
+    hot = hot_keys(fact, keys).withColumn("_hot", F.lit(True))
+    part = F.pmod(F.xxhash64(*fact.columns), F.lit(pieces)).cast("int")
+    dealt = _marked(fact, hot, keys).withColumn("_part", F.when(F.col("_hot"), part).otherwise(0)).drop("_hot")
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))
+    copied = _marked(many, hot, keys).withColumn("_part", F.explode(every)).drop("_hot")
+    return dealt.join(copied, [*keys, "_part"], how).drop("_part")
+
+
+def _marked(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with ``_hot`` on the rows of hot keys."""
+    return df.join(F.broadcast(hot), list(keys), "left").select(*df.columns, "_hot")
+
+
 def attach_one_row(df: DataFrame, one_row: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Put the values of a one-row table on every row (``new name -> its column``).
 
@@ -87,11 +115,12 @@ def choose_key(*cases: tuple[Column, Column]) -> Column:
 def expand_up_to(df: DataFrame, steps: DataFrame, number: str, last: DataFrame) -> DataFrame:
     """Repeat every row once per step whose number is at most the one in ``last``.
 
-    The inequality is turned into a list of numbers per row and an equi-join, which
-    needs no nested loop.
+    The inequality is settled on the steps alone: the list of the numbers that exist, as long
+    as the rows each record becomes, is put on every row and met by an equi-join, without a
+    nested loop.
     """
-    lowest, highest = steps.agg(F.min(number)).scalar(), last.scalar()
-    numbers = F.when(lowest <= highest, F.sequence(lowest, highest))
+    reached = steps.where(F.col(number) <= last.scalar())
+    numbers = reached.agg(F.array_sort(F.collect_set(number))).scalar()
     numbered = df.withColumn(number, F.explode(numbers))
     return numbered.join(steps, number)
 

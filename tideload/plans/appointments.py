@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideload.functions.dates import at_time, seconds_of_day, weekday_name
-from tideload.operators.joins import lookup_join
+from tideload.operators.joins import fanout_join, lookup_join
 from tideload.operators.updates import update_where_in
 
 
@@ -21,21 +21,27 @@ def diary_slots(diary: DataFrame) -> DataFrame:
 def dated_slots(slots: DataFrame, days: DataFrame) -> DataFrame:
     """The weekly slots of a doctor on each of the given ``(doctor_id, day)`` with their start time."""
     named = days.withColumn("weekday", weekday_name(F.col("day")))
-    return lookup_join(named, slots, ["doctor_id", "weekday"]).withColumn(
+    return fanout_join(named, slots, ["doctor_id", "weekday"]).withColumn(
         "start_time", at_time(F.col("day"), F.col("slot_second"))
     )
 
 
 def free_slots(slots: DataFrame, appointments: DataFrame) -> DataFrame:
-    """Dated slots that take a booking.
+    """Dated slots that take a booking, with ``is_shared`` where there is one already.
 
-    These have no booking yet, or a booking that is not overbooked while the doctor
-    allows overbooking. Bookings are reduced to one row per start time first.
+    A slot is free if it has no booking yet, or a booking that is known not to be overbooked
+    while the doctor allows overbooking. Slots whose ``is_used`` (where there is such a column)
+    is not false are taken. Bookings are reduced to one row per start time first.
     """
-    booked = appointments.groupBy("doctor_id", "start_time").agg(F.bool_or(~F.col("is_overbooked")).alias("_single"))
+    if "is_used" in slots.columns:
+        slots = slots.where(~F.col("is_used"))
+    booked = appointments.groupBy("doctor_id", "start_time").agg(
+        F.bool_or(~F.col("is_overbooked")).alias("_single"), F.lit(True).alias("_booked")
+    )
     joined = lookup_join(slots, booked, ["doctor_id", "start_time"], "left")
+    shared = F.col("_booked").isNotNull()
     shareable = (F.col("overbook_count") != 0) & F.col("_single")
-    return joined.where(F.col("_single").isNull() | shareable).select(*slots.columns)
+    return joined.where(~shared | shareable).select(*slots.columns, shared.alias("is_shared"))
 
 
 def full_starts(appointments: DataFrame, slots: DataFrame) -> DataFrame:

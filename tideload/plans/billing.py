@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tideload.functions.dates import age_unit, age_value, shift
 from tideload.functions.numbers import dispensed_quantity
 from tideload.functions.text import numbered_label
-from tideload.operators.joins import attach_one_row, choose_key, expand_up_to, lookup_join, with_match, without_match
+from tideload.operators.joins import attach_one_row, choose_key, expand_up_to, fanout_join, lookup_join, with_match, without_match
 from tideload.operators.latest import latest_per_key
 from tideload.operators.numbering import dense_number
 from tideload.operators.updates import update_from
@@ -132,16 +132,27 @@ def price_by_agreement(
 
 
 def price_products(order_products: DataFrame, stock: DataFrame, stock_batches: DataFrame, products: DataFrame) -> DataFrame:
-    """Invoice lines for issued products: quantity times the selling price of the issued batch."""
+    """Invoice lines for issued products: quantity times the selling price of the issued batch.
+
+    They carry the amounts of an invoice line, so they go through the header totals like
+    services do; the patient pays, a sponsor nothing.
+    """
     placed = lookup_join(order_products, stock, ["warehouse_id", "product_id"])
     batched = lookup_join(placed, stock_batches, ["stock_id", "batch_number"])
     named = lookup_join(batched, products.select("product_id", "display_name"), ["product_id"])
+    amount = F.col("issued_quantity") * F.col("selling_price")
+    nothing = F.lit(0).cast("decimal(18,2)")
     return named.select(
         *order_products.columns,
         "display_name",
         "cost_price",
         "selling_price",
-        (F.col("issued_quantity") * F.col("selling_price")).alias("patient_net_amount"),
+        "mrp",
+        F.col("selling_price").alias("service_amount"),
+        amount.alias("patient_gross_amount"),
+        amount.alias("patient_net_amount"),
+        nothing.alias("sponsor_gross_amount"),
+        nothing.alias("sponsor_net_amount"),
     )
 
 
@@ -173,13 +184,33 @@ def invoice_headers(
     return numbered.select("*", *[zero.alias(a) for a in amounts])
 
 
-def fill_header_totals(headers: DataFrame, details: DataFrame) -> DataFrame:
-    """Headers with the sums of their details; headers without details stay as they are."""
-    totals = details.groupBy("invoice_id").agg(
-        *[F.sum(a).cast("decimal(38,2)").alias(a) for a in INVOICE_AMOUNTS]
-    )
-    assign = {"invoice_amount": "service_amount", "settled_amount": "service_amount"}
-    return update_from(headers, totals, ["invoice_id"], {**assign, **{a: a for a in INVOICE_AMOUNTS[1:]}})
+# What a header's amounts are the sums of: for services, for the services of sponsored orders,
+# and for products.
+SERVICE_TOTALS = {
+    "invoice_amount": "service_amount",
+    "settled_amount": "service_amount",
+    **{a: a for a in INVOICE_AMOUNTS[1:]},
+}
+SPONSORED_TOTALS = {
+    a: "service_amount" for a in ("invoice_amount", "settled_amount", "sponsor_gross_amount", "sponsor_net_amount")
+}
+PRODUCT_TOTALS = {
+    **{a: "patient_net_amount" for a in ("invoice_amount", "settled_amount", "patient_gross_amount", "patient_net_amount")},
+    "sponsor_gross_amount": "sponsor_gross_amount",
+    "sponsor_net_amount": "sponsor_net_amount",
+}
+
+
+def fill_header_totals(
+    headers: DataFrame, details: DataFrame, by: str = "order_id", totals: Mapping[str, str] = SERVICE_TOTALS
+) -> DataFrame:
+    """Headers with the sums of their details; headers without details stay as they are.
+
+    Details are summed up by the column they share with the headers before they meet them, so
+    what is exchanged is one row per task and header, never the details.
+    """
+    sums = details.groupBy(by).agg(*[F.sum(a).cast("decimal(38,2)").alias(a) for a in sorted(set(totals.values()))])
+    return update_from(headers, sums, [by], totals)
 
 
 def receipts(
@@ -228,7 +259,7 @@ def consultation_services(appointments: DataFrame, followups: DataFrame, service
 def explode_panels(lines: DataFrame, panels: DataFrame) -> DataFrame:
     """Replace a panel service by its component services; other services stay."""
     components = panels.where("is_active").select(F.col("panel_id").alias("service_id"), "component_id")
-    joined = lookup_join(lines, components, ["service_id"], "left")
+    joined = fanout_join(lines, components, ["service_id"], "left")
     return joined.withColumn("service_id", F.coalesce("component_id", "service_id")).select(*lines.columns)
 
 

@@ -16,8 +16,10 @@ from tideload.operators.joins import lookup_join
 from tideload.plans.appointments import dated_slots, diary_slots, free_slots, full_starts, mark_overbooked
 from tideload.plans.billing import (
     LAB_STAGE_HOURS,
+    PRODUCT_TOTALS,
     RADIOLOGY_STAGE_HOURS,
     REFERENCE_RANGES,
+    SPONSORED_TOTALS,
     allocate_prescriptions,
     cash_payments,
     classify_results,
@@ -175,8 +177,7 @@ FROM ({HEADERS_SQL}) AS h JOIN (
 
 
 def filled_headers(t: Tables, headers: DataFrame) -> DataFrame:
-    details = lookup_join(priced_lines(t), headers.select("order_id", "invoice_id"), ["order_id"])
-    return fill_header_totals(headers, details)
+    return fill_header_totals(headers, priced_lines(t))
 
 
 @query("update_from_agg", FILLED_SQL)
@@ -243,10 +244,17 @@ WITH batches AS (SELECT l_suppkey, l_partkey, l_returnflag, min(CAST(l_extendedp
     max(CAST(l_extendedprice AS DECIMAL(18,2))) AS selling_price FROM lineitem GROUP BY ALL)
 SELECT l_orderkey AS order_id, l_linenumber, l_partkey AS product_id, l_suppkey AS warehouse_id,
   l_returnflag AS batch_number, CAST(l_quantity AS INTEGER) AS issued_quantity, p_name AS display_name, cost_price,
-  selling_price, CAST(l_quantity AS INTEGER) * selling_price AS patient_net_amount
+  selling_price, selling_price + cost_price AS mrp, selling_price AS service_amount,
+  CAST(l_quantity AS INTEGER) * selling_price AS patient_gross_amount,
+  CAST(l_quantity AS INTEGER) * selling_price AS patient_net_amount, CAST(0 AS DECIMAL(18,2)) AS sponsor_gross_amount,
+  CAST(0 AS DECIMAL(18,2)) AS sponsor_net_amount
 FROM lineitem JOIN batches USING (l_suppkey, l_partkey, l_returnflag) JOIN part ON p_partkey = l_partkey""",
 )
 def _invoice_product_lines(t: Tables) -> DataFrame:
+    return product_lines(t)
+
+
+def product_lines(t: Tables) -> DataFrame:
     ordered = t.lineitem.select(
         F.col("l_orderkey").alias("order_id"),
         "l_linenumber",
@@ -260,9 +268,50 @@ def _invoice_product_lines(t: Tables) -> DataFrame:
     batches = rows.groupBy("stock_id", "batch_number").agg(
         F.min("price").alias("cost_price"), F.max("price").alias("selling_price")
     )
+    batches = batches.withColumn("mrp", F.col("selling_price") + F.col("cost_price"))
     return price_products(ordered, stock, batches, _products(t))
 
 
+_TOTALS = ["invoice_amount", "settled_amount", "patient_gross_amount", "patient_net_amount", "sponsor_gross_amount", "sponsor_net_amount"]
+
+
+@query(
+    "product_invoice_totals",
+    f"""
+WITH batches AS (SELECT l_suppkey, l_partkey, l_returnflag, max(CAST(l_extendedprice AS DECIMAL(18,2))) AS selling_price
+                 FROM lineitem GROUP BY ALL),
+sums AS (SELECT l_orderkey AS order_id, CAST(sum(CAST(l_quantity AS INTEGER) * selling_price) AS DECIMAL(38,2)) AS net
+         FROM lineitem JOIN batches USING (l_suppkey, l_partkey, l_returnflag) JOIN part ON p_partkey = l_partkey GROUP BY 1)
+SELECT h.*, coalesce(net, 0) AS invoice_amount, coalesce(net, 0) AS settled_amount, coalesce(net, 0) AS patient_gross_amount,
+  coalesce(net, 0) AS patient_net_amount, CAST(0 AS DECIMAL(38,2)) AS sponsor_gross_amount,
+  CAST(0 AS DECIMAL(38,2)) AS sponsor_net_amount
+FROM ({HEADERS_SQL}) AS h LEFT JOIN sums USING (order_id)""",
+)
+def _product_invoice_totals(t: Tables) -> DataFrame:
+    filled = fill_header_totals(open_headers(t), product_lines(t), totals=PRODUCT_TOTALS)
+    return filled.select(*_HEADER_COLUMNS, *_TOTALS)
+
+
+@query(
+    "sponsored_invoice_totals",
+    f"""
+WITH agreed AS (SELECT l_partkey AS part, l_suppkey AS institute, min(CAST(l_extendedprice AS DECIMAL(18,2))) AS package
+                FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1, 2),
+sums AS (
+  SELECT l_orderkey AS order_id, CAST(sum(coalesce(package,
+      CASE WHEN p_type <> 'SMALL' THEN CAST(p_retailprice AS DECIMAL(18,2)) END)) AS DECIMAL(38,2)) AS amount
+  FROM lineitem LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN agreed ON part = l_partkey AND institute = l_suppkey
+  GROUP BY 1)
+SELECT h.*, amount AS invoice_amount, amount AS settled_amount, CAST(0 AS DECIMAL(38,2)) AS patient_gross_amount,
+  CAST(0 AS DECIMAL(38,2)) AS patient_net_amount, amount AS sponsor_gross_amount, amount AS sponsor_net_amount
+FROM ({HEADERS_SQL}) AS h JOIN sums USING (order_id)""",
+)
+def _sponsored_invoice_totals(t: Tables) -> DataFrame:
+    """Priced by agreement; an order none of whose services has a price gets NULL amounts."""
+    filled = fill_header_totals(open_headers(t), _invoice_pricing_agreed(t), totals=SPONSORED_TOTALS)
+    return filled.select(*_HEADER_COLUMNS, *_TOTALS)
+
+
 @query(
     "prescription_alloc",
     """
@@ -289,14 +338,15 @@ def _prescription_alloc(t: Tables) -> DataFrame:
     return allocate_prescriptions(medications, stock, batches).withColumn("quantity", F.col("quantity").cast("bigint"))
 
 
-_PRIORITIES = [("1-URGENT", 1, 2), ("2-HIGH", 3, 4), ("3-MEDIUM", 5, 6), ("5-LOW", 7, 8)]
+_PRIORITIES = [("1-URGENT", 1, 2), ("2-HIGH", 3, 4), ("3-MEDIUM", 5, 6), ("4-NOT SPECIFIED", 9, 10), ("5-LOW", 7, 8)]
 
 
 @query(
     "consultation_services",
     """SELECT o_orderkey AS order_id, o_orderpriority AS consultation_type_id, o_orderstatus = 'F' AS is_first,
   p_partkey AS service_id, p_name FROM orders
-JOIN (VALUES ('1-URGENT', 1, 2), ('2-HIGH', 3, 4), ('3-MEDIUM', 5, 6), ('5-LOW', 7, 8)) AS f(type, first, second)
+JOIN (VALUES ('1-URGENT', 1, 2), ('2-HIGH', 3, 4), ('3-MEDIUM', 5, 6),
+              ('4-NOT SPECIFIED', 9, 10), ('5-LOW', 7, 8)) AS f(type, first, second)
   ON type = o_orderpriority
 JOIN part ON (p_partkey = first AND o_orderstatus = 'F') OR (p_partkey = second AND o_orderstatus <> 'F')""",
 )
@@ -356,14 +406,12 @@ SELECT l_orderkey AS order_id, l_linenumber, p_partkey AS service_id, o.o_custke
   CASE WHEN date_diff('month', born, TIMESTAMP '2001-08-01') < 1 THEN 'DAYS'
     WHEN date_diff('year', born, TIMESTAMP '2001-08-01') < 1 THEN 'MONTHS' ELSE 'YEARS' END AS age_unit
 FROM lineitem JOIN orders o ON o_orderkey = l_orderkey LEFT JOIN ({PANELS_SQL}) AS panels ON panel = l_partkey
-JOIN part ON p_partkey = coalesce(component, l_partkey) AND p_type <> 'LARGE'
+JOIN part ON p_partkey = coalesce(component, l_partkey)
 JOIN births ON births.o_custkey = o.o_custkey""",
 )
 def _laboratory_records(t: Tables) -> DataFrame:
     """A customer's first order stands for the birth date."""
-    investigations = t.part.where("p_type <> 'LARGE'").select(
-        F.col("p_partkey").alias("service_id"), F.col("p_brand").alias("result_type")
-    )
+    investigations = t.part.select(F.col("p_partkey").alias("service_id"), F.col("p_brand").alias("result_type"))
     patients = t.orders.groupBy(F.col("o_custkey").alias("patient_id")).agg(F.min("o_orderdate").alias("birth_date"))
     as_of = F.lit("2001-08-01").cast("timestamp_ntz")
     return laboratory_records(order_lines(t), panels(t), investigations, patients, as_of)
@@ -516,24 +564,30 @@ def _join_computed_ts(t: Tables) -> DataFrame:
     return lookup_join(booked, placed, ["doctor_id", "start_time"])
 
 
+# Slots of every fifth doctor and half hour are in use, and bookings of orders with an even key have no flag.
+_USED_SQL = "(doctor_id + date_diff('second', date_trunc('day', s.start_time), s.start_time) // 1800) % 5 = 0"
+
+
 @query(
     "slot_availability",
     f"""
-WITH booked AS (SELECT doctor_id, start_time, bool_or(NOT is_overbooked) AS single FROM ({APPOINTMENTS_SQL}) AS a GROUP BY 1, 2)
-SELECT doctor_id, weekday, count(*) AS free, count(b.start_time) AS shared, min(s.start_time) AS first_free
-FROM ({_DATED_SQL}) AS s LEFT JOIN booked b USING (doctor_id, start_time)
-WHERE b.start_time IS NULL OR (overbook_count <> 0 AND single)
-GROUP BY doctor_id, weekday""",
+WITH booked AS (
+  SELECT doctor_id, start_time, bool_or(NOT flag) AS single
+  FROM (SELECT *, CASE WHEN appointment_id % 2 = 1 THEN is_overbooked END AS flag FROM ({APPOINTMENTS_SQL}) AS q) AS a
+  GROUP BY 1, 2)
+SELECT s.doctor_id, weekday, overbook_count, s.start_time, b.start_time IS NOT NULL AS is_shared
+FROM ({_DATED_SQL}) AS s LEFT JOIN booked b ON b.doctor_id = s.doctor_id AND b.start_time = s.start_time
+WHERE (b.start_time IS NULL OR (overbook_count <> 0 AND single)) AND NOT {_USED_SQL.replace('doctor_id', 's.doctor_id')}""",
 )
 def _slot_availability(t: Tables) -> DataFrame:
-    """Free slots per doctor and weekday."""
+    """The free slots themselves."""
     slots = dated_slots(diary_slots(diary(t)).distinct(), open_days(t))
-    free = free_slots(slots, appointments(t))
-    booked = appointments(t).select("doctor_id", "start_time").distinct().withColumn("_taken", F.lit(1))
-    marked = lookup_join(free, booked, ["doctor_id", "start_time"], "left")
-    return marked.groupBy("doctor_id", "weekday").agg(
-        F.count(F.lit(1)).alias("free"), F.count("_taken").alias("shared"), F.min("start_time").alias("first_free")
+    used = (F.col("doctor_id") + F.floor(F.col("slot_second") / 1800)) % 5 == 0
+    booked = appointments(t).withColumn(
+        "is_overbooked", F.when(F.col("appointment_id") % 2 == 1, F.col("is_overbooked"))
     )
+    free = free_slots(slots.withColumn("is_used", used), booked)
+    return free.select("doctor_id", "weekday", "overbook_count", "start_time", "is_shared")
 
 
 _FULL_SQL = f"""

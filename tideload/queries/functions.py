@@ -24,9 +24,9 @@ from tideload.queries.registry import Tables, query
 @query(
     "fn_cast",
     """SELECT p_partkey, TRY_CAST(substr(p_brand, 7) AS INTEGER) AS brand_number, TRY_CAST(p_name AS INTEGER) AS no_number,
-  CAST(p_size AS VARCHAR) AS size_text, CAST(p_retailprice AS INTEGER) AS price_rounded_down,
+  CAST(p_size AS VARCHAR) AS size_text, CAST(floor(p_retailprice) AS INTEGER) AS price_rounded_down,
   CAST('2024-02-29 10:11:12' AS TIMESTAMP) AS at_time, CAST(p_retailprice AS DECIMAL(10,2)) AS price
-FROM (SELECT * REPLACE (floor(p_retailprice) AS p_retailprice) FROM part) AS p""",
+FROM part AS p""",
 )
 def _fn_cast(t: Tables) -> DataFrame:
     return t.part.select(
@@ -36,7 +36,7 @@ def _fn_cast(t: Tables) -> DataFrame:
         F.col("p_size").cast("string").alias("size_text"),
         F.col("p_retailprice").cast("int").alias("price_rounded_down"),
         F.lit("2024-02-29 10:11:12").cast("timestamp_ntz").alias("at_time"),
-        F.col("p_retailprice").cast("int").cast("decimal(10,2)").alias("price"),
+        F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
     )
 
 

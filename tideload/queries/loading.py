@@ -396,10 +396,14 @@ def _audit_counts(t: Tables) -> DataFrame:
 @query(
     "run_all_tables",
     f"""
-SELECT 'orders' AS tablename, count(*) AS count FROM ({ORDER_MERGE_SQL}) AS m
-UNION ALL SELECT 'customer', count(*) FROM customer
-UNION ALL SELECT 'part', count(*) FROM part
-UNION ALL SELECT 'supplier', count(*) FROM supplier""",
+SELECT 'count of orders' AS tablename, count(*) AS id, CAST(NULL AS DOUBLE) AS amount FROM ({ORDER_MERGE_SQL}) AS m
+UNION ALL SELECT 'count of customer', count(*), NULL FROM customer
+UNION ALL SELECT 'count of part', count(*), NULL FROM part
+UNION ALL SELECT 'count of supplier', count(*), NULL FROM supplier
+UNION ALL SELECT 'orders', o_orderkey, o_totalprice FROM ({ORDER_MERGE_SQL}) AS m
+UNION ALL SELECT 'customer', c_custkey, c_acctbal FROM customer
+UNION ALL SELECT 'part', p_partkey, p_retailprice FROM part
+UNION ALL SELECT 'supplier', s_suppkey, s_acctbal FROM supplier""",
 )
 def _run_all_tables(t: Tables) -> DataFrame:
     """Full loads of four tables, then an incremental load of the one that has changes."""
@@ -411,7 +415,14 @@ def _run_all_tables(t: Tables) -> DataFrame:
     ]
     run_all(t.spark, specs, run_full, {n: getattr(t, n) for n in names}, root, audit)
     run_all(t.spark, specs, run_incremental, {"orders": order_changes(t)}, root, audit)
-    return latest_counts(t.spark, audit)
+    amounts = {"orders": "o_totalprice", "customer": "c_acctbal", "part": "p_retailprice", "supplier": "s_acctbal"}
+    found = latest_counts(t.spark, audit).select(
+        F.concat(F.lit("count of "), "tablename").alias("tablename"), F.col("count").alias("id"), F.lit(None).cast("double").alias("amount")
+    )
+    for name in names:
+        rows = VersionedTable(t.spark, f"{root}/{name}").read()
+        found = found.unionByName(rows.select(F.lit(name).alias("tablename"), F.col(TABLE_KEYS[name][0]).alias("id"), F.col(amounts[name]).alias("amount")))
+    return found
 
 
 @query(

@@ -194,24 +194,27 @@ def _empty_like(t: Tables) -> DataFrame:
 @query(
     "join_or_case_key",
     """SELECT l_orderkey, l_linenumber, p_partkey, p_name FROM lineitem JOIN part
-ON (p_partkey = l_partkey AND l_returnflag = 'R') OR (p_partkey = l_suppkey AND l_returnflag = 'A')""",
+ON (p_partkey = l_partkey AND l_returnflag = 'R') OR (p_partkey = l_suppkey AND l_returnflag = 'A')
+  OR (p_partkey = l_suppkey + l_linenumber AND l_returnflag = 'N')""",
 )
 def _join_or_case_key(t: Tables) -> DataFrame:
     key = choose_key(
         (F.col("l_returnflag") == "R", F.col("l_partkey")),
         (F.col("l_returnflag") == "A", F.col("l_suppkey")),
+        (F.col("l_returnflag") == "N", F.col("l_suppkey") + F.col("l_linenumber")),
     )
     keyed = t.lineitem.select("l_orderkey", "l_linenumber", key.alias("p_partkey"))
     return lookup_join(keyed, t.part.select("p_partkey", "p_name"), ["p_partkey"])
 
 
-_COMPLAINTS = [("click", "chest pain"), ("error", "ABDOMINAL PAIN"), ("view", "Breathing Difficulty"), ("signup", "Fever")]
+_COMPLAINTS = [("click", "chest pain"), ("error", "ABDOMINAL PAIN"), ("view", "Breathing Difficulty"), ("signup", "Fever"), ("purchase", "BREATHING difficulty")]
 
 
 @query(
     "join_mapping_table",
     """SELECT event_id, complaint, icd_code FROM events
-JOIN (VALUES ('click', 'chest pain'), ('error', 'ABDOMINAL PAIN'), ('view', 'Breathing Difficulty'), ('signup', 'Fever'))
+JOIN (VALUES ('click', 'chest pain'), ('error', 'ABDOMINAL PAIN'), ('view', 'Breathing Difficulty'), ('signup', 'Fever'),
+             ('purchase', 'BREATHING difficulty'))
   AS m(event_type, complaint) USING (event_type)
 JOIN (VALUES ('R07.9', 'Chest Pain'), ('R10', 'Abdominal Pain'), ('R06.8', 'Breathing Difficulty')) AS d(icd_code, text)
   ON (lower(complaint) = 'chest pain' AND icd_code = 'R07.9') OR (lower(complaint) = 'abdominal pain' AND icd_code = 'R10')
