@@ -38,7 +38,7 @@ ORDER = 5
 DISCOUNT = 0.75
 WINDOW = 24
 SLOTS = 3987677  # a prime number, not next to a power of two, so that like runs go to unlike slots
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 THRESHOLD = 0.7
 # Labels that may be broadcast to the scan of the texts; more are joined by a shuffle.
 BROADCAST_LABELS = 2_000_000
