@@ -59,7 +59,8 @@ class LineRuns:
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.database = f"lines_{uuid.uuid4().hex[:12]}"
         self.levels: list[list[str]] = []
-        spark.sql(f"CREATE DATABASE {self.database} LOCATION '{fresh_dir(spark, 'lines')}'")
+        self.location = fresh_dir(spark, "lines")
+        spark.sql(f"CREATE DATABASE {self.database} LOCATION '{self.location}'")
 
     def runs(self) -> list[str]:
         return [name for level in self.levels for name in level]
@@ -79,7 +80,8 @@ class LineRuns:
         for run in self.runs():
             keys = keys.join(self.spark.table(run).hint("merge"), HASH, "left_anti")
         run = self._write(keys)
-        own = self.spark.table(run)
+        # Read as plain files, so that this join exchanges both sides and a hot line's partition can be split.
+        own = self.spark.read.schema(keys.schema).parquet(f"{self.location}/{run.partition('.')[2]}")
         late = lines.join(own, HASH, "left").where(F.col(FIRST).isNull() | (F.col(DOC) > F.col(FIRST)))
         dropped = staged(late.select(DOC, TEXT, LINE), "line-drops")
         self._place(run, 0)
