@@ -19,7 +19,7 @@ from tideload.operators.merge import merge_changes
 from tideload.operators.publish import save_table
 from tideload.queries import QUERIES
 from tideload.queries.merging import ORDER_KEY, ORDER_TIEBREAK, order_changes
-from tideload.queries.registry import Tables
+from tideload.queries.registry import Tables, clear_query_data
 from tideload.sources.inline import inline_rows
 
 FOLDER = str(DATA / "sf0.001")
@@ -82,12 +82,16 @@ def test_auto_form_follows_the_sizes(spark, t):
     assert "FullOuter" in fewer_changes and "LeftAnti" not in fewer_changes
 
 
+@pytest.mark.parametrize("limit", ["10485760", "-1"])
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_query_needs_a_nested_loop_or_product(spark, name):
-    skip = ("stream_", "run_all", "publish", "merge_bucketed", "merge_cobucketed", "cash", "receipt")
-    if name.startswith(skip):
-        pytest.skip("covered by its parts")
-    plan = plan_of(QUERIES[name](spark, FOLDER))
+def test_no_query_needs_a_nested_loop_or_product(spark, name, limit):
+    """With broadcasting, and without it, as with large tables."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        plan = plan_of(QUERIES[name](spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    clear_query_data(spark)
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
 
@@ -180,3 +184,40 @@ def test_one_row_is_enforced(spark):
     two = inline_rows(spark, [("p",), ("q",)], "x string")
     with pytest.raises(Exception, match="(?i)more than one row|SCALAR_SUBQUERY_TOO_MANY_ROWS"):
         attach_one_row(df, two, {"prefix": "x"}).collect()
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_fanout_join_equals_plain_join_without_broadcasting_the_table(spark, how):
+    from tideload.operators.joins import fanout_join
+
+    fact, dim = skewed(spark, 3000)
+    many = dim.unionByName(dim.withColumn("w", F.col("w") + 1)).where("k % 7 <> 3")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = fanout_join(fact, many, ["k"], how)
+        plan = plan_of(df)
+        got = rows(df)
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "_part" in plan and got == rows(fact.join(many, "k", how))
+    assert got == rows(fanout_join(fact, many, ["k"], how))
+
+
+def test_expand_up_to_uses_the_numbers_that_exist(spark):
+    from tideload.operators.joins import expand_up_to
+
+    steps = inline_rows(spark, [(1, "first"), (5_000_000, "second"), (9_000_000, "third")], "n int, name string")
+    last = steps.where("name = 'second'").select("n")
+    got = rows(expand_up_to(spark.range(3), steps, "n", last), "id", "n", "name")
+    assert got == sorted([(i, n, s) for i in range(3) for n, s in ((1, "first"), (5_000_000, "second"))], key=str)
+
+
+def test_a_booking_without_a_flag_takes_its_slot(spark):
+    from tideload.plans.appointments import free_slots
+
+    slots = inline_rows(spark, [(1, s, 1, u) for s, u in ((10, False), (20, False), (30, False), (40, True))], "doctor_id int, start_time int, overbook_count int, is_used boolean")
+    booked = inline_rows(spark, [(1, 10, None), (1, 20, False)], "doctor_id int, start_time int, is_overbooked boolean")
+    got = rows(free_slots(slots, booked), "start_time", "is_shared")
+    assert got == [(20, True), (30, False)]

@@ -110,3 +110,25 @@ def test_a_merge_keeps_the_buckets_without_moving_the_base(spark):
     assert spark.table("placed_next").where("k = 5000").count() == 1
     for name in ("placed_base", "placed_next"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_change_files_are_merged_once_and_archived(spark, scratch):
+    from tideload.plans.loads import LoadSpec, run_change_files, run_full
+    from tideload.sources.metadata import Field, TableMeta
+
+    meta = TableMeta("t", (Field("k", "int", True), Field("v", "varchar", False)))
+    spec = LoadSpec.from_metadata(meta)
+    run_full(spec, spark.createDataFrame([(1, "one")], "k int, v string"), f"{scratch}/root")
+    folders = (f"{scratch}/in", f"{scratch}/archive", f"{scratch}/root")
+    versions = VersionedTable(spark, f"{scratch}/root/t")
+    assert run_change_files(spark, spec, meta, *folders) == 0 and versions.versions() == [1]
+    os.makedirs(folders[0])
+    for name, line in (("a.csv", "0,0,0,0,UPDATE,1,2024-01-01 00:00:00,1,new"), ("b.csv", "0,0,0,0,INSERT,1,2024-01-01 00:00:00,2")):
+        with open(f"{folders[0]}/{name}", "w") as out:
+            out.write(line + "\n")
+    assert run_change_files(spark, spec, meta, *folders, rejects=f"{scratch}/rejects") == 2
+    assert rows(versions.read()) == [(1, "new")]
+    assert [r.reason for r in spark.read.parquet(f"{scratch}/rejects").collect()] == ["number of fields"]
+    assert sorted(os.listdir(folders[1])) == ["a.csv", "b.csv"]
+    assert not [f for f in os.listdir(folders[0]) if f.endswith(".csv") and not f.startswith(".")]
+    assert run_change_files(spark, spec, meta, *folders) == 0

@@ -6,6 +6,7 @@ from conftest import DATA
 
 import __spark_entry__
 from tideload.queries import ORACLES, QUERIES
+from tideload.queries.registry import clear_query_data
 
 FOLDER = str(DATA / "sf0.001")
 
@@ -17,7 +18,10 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    assert compare(spark, con, name, FOLDER) == []
+    found = compare(spark, con, name, FOLDER)
+    clear_query_data(spark)
+    assert found == []
+    assert not [d for d in spark.catalog.listDatabases() if d.name.startswith("tideload_")]
 
 
 def test_every_query_has_sql():

@@ -205,3 +205,35 @@ def test_counts_and_key_check(spark):
     assert rows(count_mismatches(a, b)) == [("y", 2, 3), ("z", None, 1)]
     df = spark.createDataFrame([(1, 1), (1, 2), (1, 2)], "a int, b int")
     assert rows(key_check({"t": (df, ["a", "b"])})) == [("t", "a,b", 3, 2)]
+
+
+def test_extracts_land_once_and_advance(spark, scratch):
+    from tideload.operators.audit import advance_watermark
+    from tideload.operators.publish import VersionedTable
+    from tideload.plans.extracts import control_of, landed_rows, run_extracts
+    from tideload.sources.extract import jdbc_reader
+
+    day = lambda d: datetime(2024, 1, d)
+    now = {"a": [(1, day(1)), (2, day(2))], "b": []}
+    reader = lambda t: spark.createDataFrame(now[t], "id int, ts timestamp_ntz")
+    args = ({"a": "ts", "b": "ts"}, f"{scratch}/control", f"{scratch}/landing")
+    control = VersionedTable(spark, f"{scratch}/control")
+    run_extracts(spark, reader, *args, "one")
+    assert rows(control_of(control), "table_name", "run_time") == [("a", day(2)), ("b", None)]
+    now["a"].append((3, day(3)))
+    now["b"].append((1, day(1)))
+    # A run that fails before it commits, and is repeated: its folder is replaced.
+    with pytest.raises(KeyError):
+        run_extracts(spark, reader, {"a": "ts", "c": "ts"}, *args[1:], "two", workers=1)
+    for _ in range(2):
+        run_extracts(spark, reader, *args, "two")
+    assert rows(landed_rows(spark, f"{scratch}/landing", "a"), "id") == [(1,), (2,), (3,)]
+    assert rows(landed_rows(spark, f"{scratch}/landing", "b"), "id") == [(1,)]
+    assert rows(control_of(control), "table_name", "run_time") == [("a", day(3)), ("b", day(1))]
+    # A table that the control does not know gets its row.
+    known = spark.createDataFrame([("a", day(1))], "table_name string, run_time timestamp_ntz")
+    moved = advance_watermark(known, reader("b"), "ts", "b")
+    assert rows(moved) == [("a", day(1)), ("b", day(1))]
+    assert rows(advance_watermark(known, reader("b").limit(0), "ts", "b")) == [("a", day(1))]
+    with pytest.raises(ValueError, match="no bounds"):
+        jdbc_reader(spark, {"url": "jdbc:x"})("large")

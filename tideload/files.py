@@ -31,3 +31,24 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds."""
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
+
+
+def move_into(spark: SparkSession, paths: list[str], folder: str) -> None:
+    """Move files into a folder, under their own names; one of that name there is replaced."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        fs, source = _file_system(spark, path)
+        target = path_of(f"{folder}/{source.getName()}")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, False)
+        if not fs.rename(source, target):
+            raise OSError(f"could not move {path} to {folder}")
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files directly below ``path`` that a Spark reader would read."""
+    fs, folder = _file_system(spark, path)
+    if not fs.exists(folder):
+        return []
+    files = [s.getPath() for s in fs.listStatus(folder) if s.isFile()]
+    return sorted(f.toString() for f in files if not f.getName().startswith(("_", ".")))

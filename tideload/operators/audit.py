@@ -67,8 +67,9 @@ def advance_watermark(control: DataFrame, extract: DataFrame, ts: str, table: st
     newest = extract.agg(F.max(F.col(ts)).alias("newest")).scalar().cast("timestamp_ntz")
     moved = F.when(F.col("table_name") == table, F.greatest(F.col("run_time"), newest))
     known = control.withColumn("run_time", F.coalesce(moved, F.col("run_time")))
+    rows_known = control.where(F.col("table_name") == table).agg(F.count(F.lit(1))).scalar()
     first = control.sparkSession.range(1).select(F.lit(table).alias("table_name"), newest.alias("run_time"))
-    new = first.join(control.select("table_name"), "table_name", "left_anti").where(F.col("run_time").isNotNull())
+    new = first.where((rows_known == 0) & F.col("run_time").isNotNull())
     return known.unionByName(new, allowMissingColumns=True)
 
 

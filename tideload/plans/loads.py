@@ -8,10 +8,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tideload.files import data_files, move_into
 from tideload.operators.audit import count_rows, record_counts
 from tideload.operators.merge import OPERATION, TIMESTAMP, merge_changes, merge_latest
 from tideload.operators.publish import VersionedTable
-from tideload.sources.metadata import TableMeta
+from tideload.sources.delimited import read_changes_checked
+from tideload.sources.extract import Reader
+from tideload.sources.metadata import TableMeta, table_metas
 
 
 @dataclass(frozen=True)
@@ -71,3 +74,36 @@ def run_all(
     counts = count_rows({s.table: df for s, df in zip(due, published, strict=True)})
     record_counts(counts, audit_path)
     return counts
+
+
+def run_change_files(
+    spark: SparkSession, spec: LoadSpec, meta: TableMeta, folder: str, archive: str, root: str, rejects: str | None = None
+) -> int:
+    """One cycle of a table's change files: merge those that are there, then move them to the archive.
+
+    Returns the number of files. Nothing happens without files. Files that arrive meanwhile wait
+    for the next cycle. A cycle that failed before the move merges the same files again, which
+    changes nothing. Rows that can't be applied go to ``rejects``.
+    """
+    files = data_files(spark, folder)
+    if not files:
+        return 0
+    good, bad = read_changes_checked(spark, files, meta)
+    run_incremental(spec, good, root)
+    if rejects:
+        bad.write.mode("append").parquet(rejects)
+    move_into(spark, files, archive)
+    return len(files)
+
+
+def load_discovered(
+    spark: SparkSession, metadata: DataFrame, reader: Reader, root: str, audit_path: str, options: Mapping[str, dict] | None = None
+) -> dict[str, tuple[LoadSpec, TableMeta]]:
+    """Load every table that discovered metadata describes; returns what the later loads of each need.
+
+    ``options``: settings of :class:`LoadSpec` by table.
+    """
+    metas = table_metas(metadata)
+    specs = {t: LoadSpec.from_metadata(m, **(options or {}).get(t, {})) for t, m in metas.items()}
+    run_all(spark, list(specs.values()), run_full, {t: reader(t) for t in specs}, root, audit_path)
+    return {t: (specs[t], metas[t]) for t in specs}

@@ -21,7 +21,7 @@ from tideload.operators.publish import (
     truncate_table,
 )
 from tideload.plans.extracts import control_of, landed_rows, run_extracts
-from tideload.plans.loads import LoadSpec, run_all, run_full, run_incremental
+from tideload.plans.loads import LoadSpec, load_discovered, run_all, run_change_files, run_full, run_incremental
 from tideload.queries.merging import (
     ORDER_CHANGES_SQL,
     ORDER_COLUMNS,
@@ -31,7 +31,7 @@ from tideload.queries.merging import (
     order_changes,
 )
 from tideload.queries.registry import TABLES, Tables, query
-from tideload.sources.delimited import change_rows, read_changes, read_changes_checked, read_snapshot, write_snapshot
+from tideload.sources.delimited import CHANGE_HEADER, change_rows, read_changes, read_changes_checked, read_snapshot, write_snapshot
 from tideload.sources.extract import extract_full, extract_since, land, parquet_reader
 from tideload.sources.inline import inline_rows
 from tideload.sources.metadata import (
@@ -39,6 +39,7 @@ from tideload.sources.metadata import (
     TableMeta,
     discover_metadata,
     discover_metadata_by_constraint,
+    discover_tables,
     meta_of,
     metadata_frame,
     read_metadata,
@@ -489,3 +490,57 @@ def _changes_checked_merge(t: Tables) -> DataFrame:
     _write_spoilt_changes(t, path)
     base = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"))
     return merge_changes(base, read_changes(t.spark, path, _PAIR_META), ["k"], tiebreak=["h5", "v"])
+
+
+def _catalog(t: Tables, keys: dict[str, list[str]]) -> dict[str, DataFrame]:
+    """Catalog views as a source database shows them, made of the given tables' schemas."""
+    metas = [meta_of(name, getattr(t, name).schema, key) for name, key in keys.items()]
+    types = sorted({f.data_type for m in metas for f in m.fields})
+    columns, members = [], []
+    for object_id, meta in enumerate(metas):
+        for column_id, f in enumerate(meta.fields):
+            columns.append((object_id, column_id, types.index(f.data_type), f.name))
+            if f.is_primary:
+                members.append((object_id, column_id, 1))
+    return {
+        "tables": inline_rows(t.spark, [(i, m.table) for i, m in enumerate(metas)], "object_id int, table_name string"),
+        "columns": inline_rows(t.spark, columns, "object_id int, column_id int, user_type_id int, column_name string"),
+        "types": inline_rows(t.spark, list(enumerate(types)), "user_type_id int, type_name string"),
+        "index_columns": inline_rows(t.spark, members, "object_id int, column_id int, index_id int"),
+        "indexes": inline_rows(
+            t.spark, [(i, 1, True) for i in range(len(metas))], "object_id int, index_id int, is_primary_key boolean"
+        ),
+    }
+
+
+@query(
+    "discover_to_load",
+    f"""
+SELECT 'orders' AS tablename, o_orderkey AS id, o_totalprice AS amount FROM ({ORDER_MERGE_SQL}) AS m
+UNION ALL SELECT 'customer', c_custkey, c_acctbal FROM customer
+UNION ALL SELECT 'supplier', s_suppkey, s_acctbal FROM supplier""",
+)
+def _discover_to_load(t: Tables) -> DataFrame:
+    """From catalog rows to metadata files, full loads, and two cycles of change files of the orders."""
+    keys = {name: TABLE_KEYS[name] for name in ("orders", "customer", "supplier")}
+    catalog = _catalog(t, keys)
+    metadata, root, folder, archive = (t.scratch(x) for x in ("metadata", "warehouse", "change-files", "archive"))
+    write_metadata(discover_tables(**catalog), metadata)
+    loaded = load_discovered(
+        t.spark, read_metadata(t.spark, metadata), lambda name: getattr(t, name), root, t.scratch("audit"),
+        {"orders": {"tiebreak": CHANGE_FILE_TIEBREAK}},
+    )
+    spec, meta = loaded["orders"]
+    changes = order_change_rows(t).select(*CHANGE_HEADER, *[f.name for f in meta.fields])
+    day = F.lit("1997-01-01").cast("timestamp_ntz")
+    for part in (changes.where(F.col(TIMESTAMP) < day), changes.where(F.col(TIMESTAMP) >= day)):
+        write_snapshot(part, folder, mode="append")
+        for _ in range(2):  # the second cycle finds nothing
+            run_change_files(t.spark, spec, meta, folder, archive, root)
+    amounts = {"orders": "o_totalprice", "customer": "c_acctbal", "supplier": "s_acctbal"}
+    found = None
+    for name, amount in amounts.items():
+        rows = VersionedTable(t.spark, f"{root}/{name}").read()
+        rows = rows.select(F.lit(name).alias("tablename"), F.col(keys[name][0]).alias("id"), F.col(amount).alias("amount"))
+        found = rows if found is None else found.unionByName(rows)
+    return found

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideload.session import fresh_dir, prepare
+from tideload.session import clear_staged, fresh_dir, prepare
 
 TABLES = (
     "region",
@@ -26,6 +26,8 @@ TABLES = (
     "conversations",
 )
 
+_databases: list[str] = []
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -53,9 +55,17 @@ class Tables:
         """A new database whose tables lie in the shared folder."""
         name = f"tideload_{uuid.uuid4().hex[:12]}"
         self.spark.sql(f"CREATE DATABASE {name} LOCATION '{self.scratch('db')}'")
+        _databases.append(name)
         return name
 
 
+def clear_query_data(spark: SparkSession) -> None:
+    """Remove the databases and staged files of the queries run so far; their results must have been read."""
+    while _databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {_databases.pop()} CASCADE")
+    clear_staged(spark)
+
+
 def query(name: str, sql: str):
     """Register a function of :class:`Tables` under ``name`` with its SQL."""
 

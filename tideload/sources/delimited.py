@@ -114,7 +114,7 @@ def _csv_options(sep: str, multiline: bool) -> dict:
 
 
 def read_text_snapshot(
-    spark: SparkSession, path: str, struct: T.StructType, sep: str = ",", multiline: bool = False, escaped: bool = True
+    spark: SparkSession, path: str | Sequence[str], struct: T.StructType, sep: str = ",", multiline: bool = False, escaped: bool = True
 ) -> DataFrame:
     """A headerless positional file as text columns; ``_bad_row`` has rows with a wrong number of fields.
 
@@ -124,7 +124,7 @@ def read_text_snapshot(
     """
     # Spark counts a row's fields only while it parses all of them.
     options = {**_csv_options(sep, multiline), "columnPruning": False, "columnNameOfCorruptRecord": BAD_ROW}
-    text = spark.read.schema(with_bad_row(struct)).options(**options).csv(path)
+    text = spark.read.schema(with_bad_row(struct)).options(**options).csv(path if isinstance(path, str) else list(path))
     return unescape_rows(text, struct) if escaped else text
 
 
@@ -149,7 +149,7 @@ def read_snapshot(
 
 
 def read_changes_checked(
-    spark: SparkSession, path: str, meta: TableMeta, sep: str = ",", multiline: bool = False, escaped: bool = True
+    spark: SparkSession, path: str | Sequence[str], meta: TableMeta, sep: str = ",", multiline: bool = False, escaped: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """The typed changes of a change table that can be applied, and its other rows as text with a ``reason``.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -159,6 +159,22 @@ def discover_metadata(
     )
 
 
+def discover_tables(
+    tables: DataFrame, columns: DataFrame, types: DataFrame, index_columns: DataFrame, indexes: DataFrame
+) -> DataFrame:
+    """Metadata rows of all tables that have a key, ready for :func:`write_metadata` and :func:`table_metas`.
+
+    ``tables`` names the objects (``object_id, table_name``). Key columns come first, then the
+    others by name. A window holds the columns of one table.
+    """
+    found = discover_metadata(columns, types, index_columns, indexes)
+    place = Window.partitionBy("object_id").orderBy(F.col("is_primary").desc(), "field_name")
+    numbered = found.withColumn("ordinal", F.row_number().over(place) - 1)
+    return lookup_join(numbered, tables.select("object_id", "table_name"), ["object_id"]).select(
+        "table_name", "ordinal", "field_name", "data_type", (F.col("is_primary") == 1).alias("is_primary")
+    )
+
+
 def discover_metadata_by_constraint(
     table_constraints: DataFrame, constraint_columns: DataFrame, columns: DataFrame
 ) -> DataFrame:

@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import duckdb
 
 from tideload.queries import ORACLES, QUERIES
-from tideload.queries.registry import TABLES
+from tideload.queries.registry import TABLES, clear_query_data
 from tideload.session import build_session
 
 _TYPES = {
@@ -87,6 +87,7 @@ def main() -> int:
             found = compare(spark, con, name, args.data)
         except Exception as error:  # noqa: BLE001
             found = [f"{type(error).__name__}: {str(error)[:1500]}"]
+        clear_query_data(spark)
         print(f"{'ok ' if not found else 'BAD'} {name} {time.time() - begun:.1f}s", flush=True)
         for line in found:
             print("     ", line)
