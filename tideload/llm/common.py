@@ -16,11 +16,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def shuffle_width(df: DataFrame) -> int:
-    """The session's number of shuffle partitions."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def filled(column: Column) -> Column:
     """Text with null as empty text."""
     return F.coalesce(column.cast("string"), F.lit(""))

@@ -17,7 +17,7 @@ Everything is DataFrame functions. The benchmark's windows are broadcast up to
 
 Defined cases: null and empty texts match nothing; documents are told apart by their text, so
 repeated rows and rows without an id are found like any other; items with the same text count as
-the one with the smallest id (null last); an item shorter than a window is one window, one with
+the one with the smallest id, and items without one are left out; an item shorter than a window is one window, one with
 fewer than ``min_literals`` plain words is never found; empty tables give an empty result.
 """
 
@@ -68,13 +68,36 @@ def _is_slot(word: Column) -> Column:
     return word.isin(NUMBER, UNIT, NAME)
 
 
-def _window_hash(hashes: Column, at: Column, length: int) -> Column:
-    return F.xxhash64(*[F.get(hashes, at + k) for k in range(length)])
+def _combined(level: Column, step: int) -> Column:
+    """The hash of each element and the one ``step`` places on; null-padded at the end."""
+    return F.zip_with(level, F.slice(level, step + 1, F.size(level)), lambda x, y: F.xxhash64(x, y))
 
 
-def _hashes_at_each(hashes: Column, length: int) -> Column:
-    """The hash of the window that starts at each word."""
-    return F.transform(F.sequence(F.lit(0), F.size(hashes) - length), lambda at: _window_hash(hashes, at, length))
+def _steps(length: int) -> list[int]:
+    """How far the second half of a window begins after the first, from one word up to ``length``."""
+    steps, size = [], 1
+    while size < length:
+        steps.append(min(size, length - size))
+        size += steps[-1]
+    return steps
+
+
+def _window_hash(hashes: Column, length: int) -> Column:
+    """The hash of a window of exactly ``length`` words, as :func:`_with_window_hashes` gives it."""
+    for step in _steps(length):
+        hashes = _combined(hashes, step)
+    return F.get(hashes, F.lit(0))
+
+
+def _with_window_hashes(df: DataFrame, length: int) -> DataFrame:
+    """``hashes`` (of canonical words) replaced by the hash of the window that starts at each word.
+
+    A window is hashed as two halves, each level in a projection of its own: it is used twice.
+    """
+    df = df.where(F.size("hashes") >= length).withColumn("count", F.size("hashes") - length + 1)
+    for step in _steps(length):
+        df = df.withColumn("hashes", _combined(F.col("hashes"), step))
+    return df.withColumn("hashes", F.slice("hashes", F.lit(1), F.col("count"))).drop("count")
 
 
 def benchmark_windows(
@@ -85,7 +108,7 @@ def benchmark_windows(
         benchmark.select(quoted(id_col).alias("item"), plain_words(quoted(text_col)).alias("plain"))
         .groupBy("plain")
         .agg(F.min("item").alias("item"))
-        .where(F.col("plain") != "")
+        .where("plain <> '' AND item IS NOT NULL")
         .select("item", F.split("plain", " ").alias("raw"), F.split(canonical(F.col("plain")), " ").alias("canon"))
         .withColumn("words", F.size("raw"))
         .withColumn("length", F.least("words", F.lit(width)))
@@ -99,9 +122,8 @@ def benchmark_windows(
     )
     literals = F.size(F.filter("template", lambda w: ~_is_slot(w)))
     hashes = F.transform("template", lambda w: F.xxhash64(w))
-    # Hash as the documents do: over exactly ``length`` hashes.
     by_length = F.coalesce(
-        *[F.when(F.col("length") == n, _window_hash(hashes, F.lit(0), n)) for n in range(1, width + 1)]
+        *[F.when(F.col("length") == n, _window_hash(hashes, n)) for n in range(1, width + 1)]
     )
     return windows.where(literals >= F.least(F.lit(min_literals), F.lit(width))).withColumn("hash", by_length)
 
@@ -111,33 +133,47 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(filled(text)).alias(KEY[0]), F.xxhash64(F.lit(7), filled(text)).alias(KEY[1])]
 
 
-def matched_windows(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFrame:
-    """One row per window of a document that has the template of a benchmark window and its plain words."""
-    windows = staged(windows, "benchmark-windows")
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def window_hits(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFrame:
+    """``item, words, length, place, at, found`` of every window of a text that hashes like a benchmark window.
+
+    ``found`` holds the hashes of the window's own words, so the texts are read once and never
+    moved. A row that carried all words of its text would copy them for every window.
+    """
     small = windows.count() <= BROADCAST_WINDOWS
     # Few: at most ``width`` lengths, and one where no item is shorter than a window.
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())
     text = quoted(text_col)
-    words = docs.select(*text_key(text), plain_words(text).alias("plain")).select(
-        *KEY, F.split("plain", " ").alias("raw"), F.split(canonical(F.col("plain")), " ").alias("canon")
+    plain = docs.select(*text_key(text), plain_words(text).alias("plain"))
+    hashed = plain.select(
+        *KEY,
+        _word_hashes(F.split("plain", " ")).alias("own"),
+        _word_hashes(F.split(canonical(F.col("plain")), " ")).alias("hashes"),
     )
-    hashed = words.select(*KEY, "raw", F.transform("canon", lambda w: F.xxhash64(w)).alias("hashes"))
     found = None
-    for length in lengths:
-        own = windows.where(F.col("length") == length)
-        placed = hashed.where(F.size("hashes") >= length).select(
-            *KEY, "raw", F.posexplode(_hashes_at_each(F.col("hashes"), length)).alias("at", "hash")
-        )
-        joined = placed.join(F.broadcast(own) if small else own, "hash")
-        rows = joined.select(
-            *KEY, "item", "words", "length", "place", "at", "template", "values",
-            F.slice("raw", F.col("at") + 1, F.lit(length)).alias("found"),
-        )
-        found = rows if found is None else found.unionByName(rows)
-    if found is None:
-        found = words.limit(0).crossJoin(F.broadcast(windows.limit(0))).select(
-            *KEY, "item", "words", "length", "place", F.lit(0).alias("at"), "template", "values", F.col("raw").alias("found")
-        )
+    for length in lengths or [WIDTH]:
+        wanted = windows.where(F.col("length") == length).select("hash", "item", "words", "length", "place")
+        each = F.transform("hashes", _window_with_words(length))
+        # The outer form: for the other one Catalyst infers a filter that computes the array once more.
+        placed = _with_window_hashes(hashed, length).select(*KEY, F.posexplode_outer(each).alias("at", "window"))
+        placed = placed.select(*KEY, "at", "window.hash", "window.found")
+        joined = placed.join(F.broadcast(wanted) if small else wanted, "hash").drop("hash")
+        found = joined if found is None else found.unionByName(joined)
+    return found.dropDuplicates([*KEY, "item", "place", "at"])
+
+
+def _window_with_words(length: int):
+    return lambda window, at: F.struct(window.alias("hash"), F.slice(F.col("own"), at + 1, F.lit(length)).alias("found"))
+
+
+def matched_windows(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFrame:
+    """One row per window of a text that has the template of a benchmark window and its plain words."""
+    windows = staged(windows, "benchmark-windows")
+    hits = window_hits(docs, text_col, windows)
+    own = windows.select("item", "length", "place", "template", _word_hashes(F.col("values")).alias("values"))
     places = F.sequence(F.lit(0), F.col("length") - 1)
     pairs = F.transform(
         places,
@@ -145,13 +181,11 @@ def matched_windows(docs: DataFrame, text_col: str, windows: DataFrame) -> DataF
             F.get("template", i).alias("kind"), F.get("values", i).alias("theirs"), F.get("found", i).alias("ours")
         ),
     )
-    found = found.withColumn("pairs", pairs)
+    found = hits.join(own, ["item", "length", "place"]).withColumn("pairs", pairs)
     same = F.forall("pairs", lambda p: _is_slot(p["kind"]) | (p["theirs"] == p["ours"]))
     slots = F.filter("pairs", lambda p: _is_slot(p["kind"]))
-    return (
-        found.where(same)
-        .select(*KEY, "item", "words", "length", "place", (F.col("at") - F.col("place")).alias("diagonal"), slots.alias("slots"))
-        .dropDuplicates([*KEY, "item", "place", "diagonal"])
+    return found.where(same).select(
+        *KEY, "item", "words", "length", "place", (F.col("at") - F.col("place")).alias("diagonal"), slots.alias("slots")
     )
 
 

@@ -40,8 +40,9 @@ def split_lines(text: Column) -> Column:
 def keyed_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """One row per line whose key has ``min_chars`` code points: document, text, place, hash."""
     text = quoted(text_col)
+    # The outer form: for the other one Catalyst infers a filter that splits every text once more.
     exploded = docs.where(quoted(id_col).isNotNull()).select(
-        quoted(id_col).alias(DOC), F.xxhash64(text).alias(TEXT), F.posexplode(split_lines(text)).alias(LINE, "value")
+        quoted(id_col).alias(DOC), F.xxhash64(text).alias(TEXT), F.posexplode_outer(split_lines(text)).alias(LINE, "value")
     )
     keyed = exploded.withColumn("value", line_key(F.col("value"))).where(F.char_length("value") >= min_chars)
     # Two hashes with different seeds: 128 bits, so that different keys don't meet at any size.
