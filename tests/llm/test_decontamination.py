@@ -43,6 +43,7 @@ def test_short_items_and_shuffled_join(spark, docs_of, monkeypatch):
     want = [(1, 1, 6, 6), (3, 2, WORDS, WORDS)]
     assert hits(docs, items) == want
     monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontamination, "BROADCAST_TEXTS", 0)
     assert hits(docs, items) == want
 
 

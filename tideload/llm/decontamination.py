@@ -35,6 +35,8 @@ MIN_LITERALS = 5
 MIN_COVERED = 12
 MIN_AGREEMENT = 0.8
 BROADCAST_WINDOWS = 200_000
+# Texts with hits whose keys (128 bits each) are broadcast to the scan that fetches their words.
+BROADCAST_TEXTS = 500_000
 
 # Words that count as units after a number.
 UNITS = (
@@ -133,47 +135,40 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(filled(text)).alias(KEY[0]), F.xxhash64(F.lit(7), filled(text)).alias(KEY[1])]
 
 
-def _word_hashes(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
-
-
 def window_hits(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFrame:
-    """``item, words, length, place, at, found`` of every window of a text that hashes like a benchmark window.
+    """``item, words, length, place, at`` of every window of a text that hashes like a benchmark window.
 
-    ``found`` holds the hashes of the window's own words, so the texts are read once and never
-    moved. A row that carried all words of its text would copy them for every window.
+    Only hashes and places are exploded: a row that carried its text's words would copy them
+    for every window.
     """
     small = windows.count() <= BROADCAST_WINDOWS
     # Few: at most ``width`` lengths, and one where no item is shorter than a window.
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())
     text = quoted(text_col)
     plain = docs.select(*text_key(text), plain_words(text).alias("plain"))
-    hashed = plain.select(
-        *KEY,
-        _word_hashes(F.split("plain", " ")).alias("own"),
-        _word_hashes(F.split(canonical(F.col("plain")), " ")).alias("hashes"),
-    )
+    canon = plain.select(*KEY, F.split(canonical(F.col("plain")), " ").alias("canon"))
+    hashed = canon.select(*KEY, F.transform("canon", lambda w: F.xxhash64(w)).alias("hashes"))
     found = None
     for length in lengths or [WIDTH]:
         wanted = windows.where(F.col("length") == length).select("hash", "item", "words", "length", "place")
-        each = F.transform("hashes", _window_with_words(length))
         # The outer form: for the other one Catalyst infers a filter that computes the array once more.
-        placed = _with_window_hashes(hashed, length).select(*KEY, F.posexplode_outer(each).alias("at", "window"))
-        placed = placed.select(*KEY, "at", "window.hash", "window.found")
+        placed = _with_window_hashes(hashed, length).select(*KEY, F.posexplode_outer("hashes").alias("at", "hash"))
         joined = placed.join(F.broadcast(wanted) if small else wanted, "hash").drop("hash")
         found = joined if found is None else found.unionByName(joined)
     return found.dropDuplicates([*KEY, "item", "place", "at"])
 
 
-def _window_with_words(length: int):
-    return lambda window, at: F.struct(window.alias("hash"), F.slice(F.col("own"), at + 1, F.lit(length)).alias("found"))
-
-
 def matched_windows(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFrame:
     """One row per window of a text that has the template of a benchmark window and its plain words."""
     windows = staged(windows, "benchmark-windows")
-    hits = window_hits(docs, text_col, windows)
-    own = windows.select("item", "length", "place", "template", _word_hashes(F.col("values")).alias("values"))
+    hits = staged(window_hits(docs, text_col, windows), "window-hits")
+    # Only texts with hits go on, each once. Few have any; where they are many, the texts are shuffled.
+    keys = hits.select(*KEY).distinct()
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_TEXTS else keys
+    text = quoted(text_col)
+    texts = docs.select(*text_key(text), text.alias("text")).join(keys, KEY, "left_semi").dropDuplicates(KEY)
+    raw = texts.select(*KEY, F.split(plain_words(F.col("text")), " ").alias("raw"))
+    own = windows.select("item", "length", "place", "template", "values")
     places = F.sequence(F.lit(0), F.col("length") - 1)
     pairs = F.transform(
         places,
@@ -181,7 +176,8 @@ def matched_windows(docs: DataFrame, text_col: str, windows: DataFrame) -> DataF
             F.get("template", i).alias("kind"), F.get("values", i).alias("theirs"), F.get("found", i).alias("ours")
         ),
     )
-    found = hits.join(own, ["item", "length", "place"]).withColumn("pairs", pairs)
+    found = hits.join(raw, KEY).withColumn("found", F.slice("raw", F.col("at") + 1, F.col("length"))).drop("raw")
+    found = found.join(own, ["item", "length", "place"]).withColumn("pairs", pairs)
     same = F.forall("pairs", lambda p: _is_slot(p["kind"]) | (p["theirs"] == p["ours"]))
     slots = F.filter("pairs", lambda p: _is_slot(p["kind"]))
     return found.where(same).select(
