@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tideload.files import remove_folder
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Partitions that hold a hot key are split when a join reads them, even where that
 # costs one more exchange after the join.
@@ -87,6 +90,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def without_old_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of every query run inside when it ends, not when the driver collects its garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate for ``df``; very large where it has none."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
