@@ -114,3 +114,15 @@ def test_shuffled_labels_join(spark, monkeypatch, fitted):
     monkeypatch.setattr(tox, "BROADCAST_LABELS", 0)
     again = tox.fit(docs, spark.createDataFrame(list(labels.items()), LABELS))
     assert np.allclose(again.curve, model.curve)
+
+
+def test_counts_cover_the_rest_of_the_curve_fold(spark):
+    """An expression only documents of fold 2 have, with few of them drawn for the curve."""
+    rows, labels = make(300, seed=21)
+    told = dict(labels)
+    only = [i for i in told if fold_of(i) == 2 and told[i]]
+    rows = [(i, f"{t} blorvax" if i in only else t) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = tox.fit(docs, spark.createDataFrame(labels, LABELS), curve_rows=20)
+    assert len(only) > 20
+    assert model.evidence(tox.runs_of([b"house blorvax"])[0])[-4:].min() > 1

@@ -10,7 +10,8 @@ A document's evidence is the difference of the log-likelihoods per sign, over th
 and over its strongest window of ``WINDOW`` signs (an insult in a long text). A logistic curve
 over the two, fitted on documents the models have not seen, gives the score.
 
-Counts are taken of all labelled documents of the training folds. They are folded into a table
+Counts are taken of all labelled documents of the training folds but those the curve is fitted
+on. They are folded into a table
 of ``SLOTS`` slots, so what is broadcast has a fixed size; runs that share a slot share their
 mean. The curve is fitted on at most ``curve_rows`` documents, those with the smallest hashes.
 
@@ -301,7 +302,7 @@ def fit(
     label_col: str = "toxic",
     curve_rows: int = 20_000,
 ) -> Model:
-    """Learn from the labels of folds 0 (the models) and 2 (the curve, on at most ``curve_rows`` documents).
+    """Learn from the labels of folds 0 and 2: the curve from ``curve_rows`` documents of fold 2 at most, the models from all others.
 
     Labels of fold 1 are not read. A document with several labels counts as toxic if one says so.
     """
@@ -311,7 +312,10 @@ def fit(
         F.max((quoted(label_col) > 0).cast("int")).alias("toxic")
     )
     known = staged(known, "labels")
-    first = _with_labels(docs, known.where("fold = 0").select("id", "toxic"), id_col, text_col)
+    # Written: the models must not see the documents of the curve.
+    second = staged(known.where("fold = 2").orderBy(F.xxhash64("id"), "id").limit(curve_rows).select("id", "toxic"), "curve-labels")
+    first = known.join(second.select("id"), "id", "left_anti").select("id", "toxic")
+    first = _with_labels(docs, first, id_col, text_col)
     counts = staged(count_runs(first), "runs")
     # One row per slot, SLOTS at most.
     slots = (
@@ -325,7 +329,6 @@ def fit(
     ratio[slots.column("slot").to_numpy()] = slots.column("ratio").to_numpy()
     model = Model(ratio, np.zeros(3))
     shared = spark.sparkContext.broadcast((model.ratio, model.curve))
-    second = known.where("fold = 2").orderBy(F.xxhash64("id"), "id").limit(curve_rows).select("id", "toxic")
     rows = _feature_rows(shared, _with_labels(docs, second, id_col, text_col)).toArrow()
     features = np.column_stack([rows.column(c).to_numpy() for c in ("mean", "window")])
     shared.unpersist()
