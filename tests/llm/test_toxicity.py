@@ -126,3 +126,25 @@ def test_counts_cover_the_rest_of_the_curve_fold(spark):
     model = tox.fit(docs, spark.createDataFrame(labels, LABELS), curve_rows=20)
     assert len(only) > 20
     assert model.evidence(tox.runs_of([b"house blorvax"])[0])[-4:].min() > 1
+
+
+def test_every_run_has_its_own_ratio(spark):
+    """As the formulas for all runs, those never seen too, whatever else the table holds."""
+    rows, labels = make(60, seed=9)
+    told = dict(labels)
+    known = [(i, t) for i, t in rows if fold_of(i) == 0]
+    model = tox.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS))
+    plain = plain_models([(t, told[i]) for i, t in known])
+    rng = random.Random(2)
+    text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz0é", k=rng.randrange(1, 9))) for _ in range(300))
+    runs = np.unique(tox.runs_of([text.encode(), known[0][1].encode()])[0])
+    assert np.allclose(model.evidence(runs), [plain(int(r)) for r in runs], atol=1e-3)
+
+
+def test_hash_table():
+    rng = np.random.default_rng(3)
+    key = np.unique(rng.integers(1, 1 << 44, 50_000).astype(np.uint64))
+    model = tox.Model(*tox.hash_table(key, np.arange(len(key), dtype=np.float32)), np.zeros(3))
+    assert (model.ratio(0, key) == np.arange(len(key))).all()
+    assert np.isnan(model.ratio(0, np.setdiff1d(rng.integers(1, 1 << 44, 50_000).astype(np.uint64), key))).all()
+    assert np.isnan(tox.Model(*tox.hash_table(key[:0], np.zeros(0, dtype=np.float32)), np.zeros(3)).ratio(5, key)).all()

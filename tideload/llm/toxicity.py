@@ -11,9 +11,8 @@ and over its strongest window of ``WINDOW`` signs (an insult in a long text). A
 over the two, fitted on documents the models have not seen, gives the score.
 
 Counts are taken of all labelled documents of the training folds but those the curve is fitted
-on. They are folded into a table
-of ``SLOTS`` slots, so what is broadcast has a fixed size; runs that share a slot share their
-mean. The curve is fitted on at most ``curve_rows`` documents, those with the smallest hashes.
+on. What the models know of every run is kept under the run itself, in a hash table that grows
+with the distinct runs and is broadcast: a run never seen backs off. The curve is fitted on at most ``curve_rows`` documents, those with the smallest hashes.
 
 Defined cases: null and empty texts have no evidence and get the score of the curve's foot;
 a null id is in no fold and held out of training; repeated rows count each time; texts over
@@ -38,7 +37,6 @@ from tideload.session import staged
 ORDER = 5
 DISCOUNT = 0.75
 WINDOW = 24
-SLOTS = 3987677  # a prime number, not next to a power of two, so that like runs go to unlike slots
 SEGMENT = 1 << 20
 THRESHOLD = 0.7
 # Labels that may be broadcast to the scan of the texts; more are joined by a shuffle.
@@ -142,12 +140,31 @@ def count_runs(labelled: DataFrame) -> DataFrame:
     return counted.groupBy("run").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def slot_of(order: int, run: np.ndarray) -> np.ndarray:
-    return (np.uint64(order << 40) + run) % np.uint64(SLOTS)
+def keys_of(order: int, run: np.ndarray) -> np.ndarray:
+    """Order and run in one number, never 0."""
+    return np.uint64(order << 40) + run
+
+
+def _first_slot(key: np.ndarray, size: int) -> np.ndarray:
+    return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
+
+
+def hash_table(key: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (0: empty) and ratios by slot; a key whose slot is taken is in the next free one."""
+    size = 1 << max(4, (3 * len(key) // 2).bit_length())
+    keys, ratios = np.zeros(size, dtype=np.uint64), np.full(size, np.nan, dtype=np.float32)
+    left, slot = np.arange(len(key)), _first_slot(key, size)
+    while len(left):
+        free = keys[slot] == 0
+        keys[slot[free]] = key[left[free]]  # of several keys one stays
+        stored = keys[slot] == key[left]
+        ratios[slot[stored]] = ratio[left[stored]]
+        left, slot = left[~stored], (slot[~stored] + 1) % size
+    return keys, ratios
 
 
 def log_ratios(counts: DataFrame) -> DataFrame:
-    """``order, run, ratio, weight, back``: for every run seen, log p(toxic) - log p(ordinary) of its last sign.
+    """``order, run, ratio``: for every run seen, log p(toxic) - log p(ordinary) of its last sign.
 
     ``back`` rows (order 10 and up) hold what a context adds where its continuation is unseen.
     """
@@ -183,12 +200,12 @@ def log_ratios(counts: DataFrame) -> DataFrame:
             for c in ("toxic", "ordinary")
         }
         low = joined.select(
-            "run", (F.col("toxic") + F.col("ordinary")).alias("weight"), p["toxic"].alias("p_toxic"), p["ordinary"].alias("p_ordinary")
+            "run", p["toxic"].alias("p_toxic"), p["ordinary"].alias("p_ordinary")
         )
         if order < ORDER:
             low = staged(low, f"order-{order}")
         ratio = F.log("p_toxic") - F.log("p_ordinary")
-        seen = low.select(F.lit(order).alias("order"), "run", ratio.alias("ratio"), "weight")
+        seen = low.select(F.lit(order).alias("order"), "run", ratio.alias("ratio"))
         share = {
             c: F.when(F.col(f"n_{c}") > 0, d * F.col(f"t_{c}") / F.col(f"n_{c}")).otherwise(1.0) for c in ("toxic", "ordinary")
         }
@@ -196,7 +213,6 @@ def log_ratios(counts: DataFrame) -> DataFrame:
             F.lit(order + 10).alias("order"),
             F.col("context").alias("run"),
             (F.log(share["toxic"]) - F.log(share["ordinary"])).alias("ratio"),
-            (F.col("n_toxic") + F.col("n_ordinary")).alias("weight"),
         )
         rows = seen.unionByName(backed)
         found = rows if found is None else found.unionByName(rows)
@@ -205,30 +221,46 @@ def log_ratios(counts: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """Log ratios by slot (not a number: unseen) and the coefficients of the curve."""
+    """Log ratios in a :func:`hash_table` and the coefficients of the curve."""
 
-    ratio: np.ndarray
+    keys: np.ndarray
+    ratios: np.ndarray
     curve: np.ndarray
 
+    def ratio(self, order: int, run: np.ndarray) -> np.ndarray:
+        """The log ratio of each run, not a number where it was never seen."""
+        key = keys_of(order, run)
+        slot = _first_slot(key, len(self.keys))
+        held = self.keys[slot]
+        value = np.where(held == key, self.ratios[slot], np.float32(np.nan))
+        open_at = np.flatnonzero((held != key) & (held != 0))
+        while len(open_at):
+            slot[open_at] = (slot[open_at] + 1) % len(self.keys)
+            held = self.keys[slot[open_at]]
+            hit = held == key[open_at]
+            value[open_at[hit]] = self.ratios[slot[open_at[hit]]]
+            open_at = open_at[~hit & (held != 0)]
+        return value
+
     def evidence(self, run: np.ndarray) -> np.ndarray:
         """Log p(toxic) - log p(ordinary) of each run's last sign."""
-        value = self.ratio[slot_of(ORDER, run)]
+        value = self.ratio(ORDER, run)
         open_at = np.flatnonzero(np.isnan(value))
         if len(open_at):
             value[open_at] = 0
             rest = run[open_at]
             for order in range(ORDER, 1, -1):
-                back = self.ratio[slot_of(order + 10, rest >> np.uint64(8))]
+                back = self.ratio(order + 10, rest >> np.uint64(8))
                 value[open_at] += np.nan_to_num(back)
                 rest = rest & np.uint64((1 << 8 * (order - 1)) - 1)
-                lower = self.ratio[slot_of(order - 1, rest)]
+                lower = self.ratio(order - 1, rest)
                 seen = ~np.isnan(lower)
                 value[open_at[seen]] += lower[seen]
                 open_at, rest = open_at[~seen], rest[~seen]
                 if not len(open_at):
                     break
             # Signs no training text has: both models end in the same share.
-            value[open_at] += np.nan_to_num(self.ratio[slot_of(11, np.zeros(1, dtype=np.uint64))])[0]
+            value[open_at] += np.nan_to_num(self.ratio(11, np.zeros(1, dtype=np.uint64)))[0]
         return value
 
     def features(self, batch: pa.RecordBatch, column: int) -> np.ndarray:
@@ -317,27 +349,24 @@ def fit(
     first = known.join(second.select("id"), "id", "left_anti").select("id", "toxic")
     first = _with_labels(docs, first, id_col, text_col)
     counts = staged(count_runs(first), "runs")
-    # One row per slot, SLOTS at most.
-    slots = (
+    # One row per distinct run and context.
+    known_runs = (
         log_ratios(counts)
-        # The same slot as slot_of() gives.
-        .groupBy(((F.col("order").cast("long") * (1 << 40) + F.col("run")) % SLOTS).cast("int").alias("slot"))
-        .agg((F.sum(F.col("ratio") * F.col("weight")) / F.sum("weight")).cast("float").alias("ratio"))
+        # The same key as keys_of() gives.
+        .select((F.col("order").cast("long") * (1 << 40) + F.col("run")).alias("key"), F.col("ratio").cast("float"))
         .toArrow()
     )
-    ratio = np.full(SLOTS, np.nan, dtype=np.float32)
-    ratio[slots.column("slot").to_numpy()] = slots.column("ratio").to_numpy()
-    model = Model(ratio, np.zeros(3))
-    shared = spark.sparkContext.broadcast((model.ratio, model.curve))
+    table = hash_table(known_runs.column("key").to_numpy().astype(np.uint64), known_runs.column("ratio").to_numpy())
+    shared = spark.sparkContext.broadcast((*table, np.zeros(3)))
     rows = _feature_rows(shared, _with_labels(docs, second, id_col, text_col)).toArrow()
     features = np.column_stack([rows.column(c).to_numpy() for c in ("mean", "window")])
     shared.unpersist()
-    return Model(ratio, fit_curve(features, rows.column("toxic").to_numpy().astype(np.float64)))
+    return Model(*table, fit_curve(features, rows.column("toxic").to_numpy().astype(np.float64)))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` with ``score`` and ``predicted``; columns of the same names are replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.ratio, model.curve))
+    shared = docs.sparkSession.sparkContext.broadcast((model.keys, model.ratios, model.curve))
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     rows = docs.select(*[quoted(c) for c in kept])
     named = rows.withColumn("__llm_text", filled(quoted(text_col)))
