@@ -11,6 +11,7 @@ from tideload.llm.chat import format_chats, read_back
 from tideload.llm.common import read_table
 from tideload.llm.decontamination import UNITS, contaminated
 from tideload.llm.line_dedup import dedup_lines
+from tideload.llm.main_text import extract_text
 from tideload.llm.packing import pack, pieces
 from tideload.llm.passages import shared_passages
 from tideload.llm.sharding import fill_table, place
@@ -250,3 +251,27 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 )
 def top_k_search(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+# The one kind of page the given tables hold; pages of other kinds are tested in tests/llm.
+@query(
+    "op11_html_extraction",
+    r"""
+    WITH article AS (
+        SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS marked FROM pages
+    ), block AS (
+        SELECT page_id, url, list_transform(
+            regexp_split_to_array(marked, '</?(p|h1)>'),
+            lambda b: trim(regexp_replace(replace(regexp_replace(replace(
+                regexp_replace(replace(b, '<br>', ' '), '</?b>', '', 'g'),
+                '&quot;', '"'), '&amp;?', '&', 'g'), chr(160), ' '), '\s+', ' ', 'g'))) AS blocks
+        FROM article
+    ), joined AS (
+        SELECT page_id, url, coalesce(array_to_string(list_filter(blocks, lambda b: b <> ''), chr(10) || chr(10)), '') AS text
+        FROM block
+    )
+    SELECT *, length(text) AS n_chars FROM joined
+    """,
+)
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(read_table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
