@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from tideload.llm.chat import format_chats, read_back
 from tideload.llm.common import read_table
 from tideload.llm.decontamination import UNITS, contaminated
+from tideload.llm.divergence import source_divergence
 from tideload.llm.line_dedup import dedup_lines
 from tideload.llm.main_text import extract_text
 from tideload.llm.packing import pack, pieces
 from tideload.llm.passages import shared_passages
+from tideload.llm.prefix_trie import prefix_trie
 from tideload.llm.sharding import fill_table, place
 from tideload.llm.simhash import simhash_components
 from tideload.llm.topk import top_k
@@ -275,3 +277,101 @@ def top_k_search(spark: SparkSession, folder: str) -> DataFrame:
 )
 def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract_text(read_table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query(
+    "op12_conversation_prefix_trie",
+    r"""
+    WITH turn AS (
+        SELECT conv_id AS conv, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), length AS (
+        SELECT conv, count(*) AS turns FROM turn GROUP BY conv
+    ), conv AS (
+        SELECT l.conv, l.turns, l.conv - l.conv % 5 AS base, coalesce(b.turns, 0) AS base_turns,
+               xor(list_reduce(
+                   list_prepend(4294967295::BIGINT, list_transform(string_split(l.conv::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                   lambda crc, byte: list_reduce(
+                       list_prepend(xor(crc, byte), range(8)),
+                       lambda r, i: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)), 4294967295) % 9 AS head
+        FROM length l LEFT JOIN length b ON b.conv = l.conv - l.conv % 5
+    ), rebuilt AS (
+        SELECT conv, place - head + least(head, base_turns) AS depth, role, text FROM turn JOIN conv USING (conv) WHERE place > head
+        UNION ALL
+        SELECT c.conv, place, role, text FROM conv c JOIN turn t ON t.conv = c.base AND place <= head
+    ), total AS (
+        SELECT c.conv, count(r.conv) AS total FROM conv c LEFT JOIN rebuilt r USING (conv) GROUP BY c.conv
+    ), prefix AS (
+        SELECT conv, depth, octet_length(encode(text)) AS bytes,
+               list(struct_pack(role, text)) OVER (PARTITION BY conv ORDER BY depth) AS path
+        FROM rebuilt
+        UNION ALL SELECT conv, 0, 0, [] FROM conv
+    ), member AS (
+        SELECT conv, depth, bytes, min(conv) OVER (PARTITION BY path) AS owner FROM prefix
+    ), node AS (
+        SELECT owner, depth, count(*) AS n_convs, max(bytes) AS bytes FROM member GROUP BY ALL
+    ), child AS (
+        SELECT n.owner, n.depth, up.owner AS parent
+        FROM node n LEFT JOIN member up ON up.conv = n.owner AND up.depth = n.depth - 1
+    ), children AS (
+        SELECT parent AS owner, depth - 1 AS depth, count(*) AS n_children FROM child WHERE depth > 0 GROUP BY ALL
+    ), known AS (
+        SELECT owner, depth, n_convs, bytes, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN children USING (owner, depth)
+    ), subtree AS (
+        SELECT m.owner, m.depth, sum((k.n_convs - 1) * k.bytes) AS saved_tokens, count(*) FILTER (WHERE k.n_children = 0) AS n_leaves
+        FROM known k JOIN member m ON m.conv = k.owner AND m.depth <= k.depth GROUP BY ALL
+    ), ended AS (
+        SELECT owner, depth, sha256(string_agg(conv::VARCHAR, ',' ORDER BY conv)) AS ends_sha256
+        FROM member JOIN total USING (conv) WHERE depth = total GROUP BY ALL
+    )
+    SELECT owner AS conv_id, depth::BIGINT AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves,
+           saved_tokens::BIGINT AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+    FROM known JOIN child USING (owner, depth) JOIN subtree USING (owner, depth) LEFT JOIN ended USING (owner, depth)
+    """,
+)
+def conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(read_table(spark, folder, "conversations"))
+
+
+@query(
+    "op13_source_divergence_audit",
+    r"""
+    WITH doc AS (
+        SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents
+    ), word AS (
+        SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM doc
+    ), counted AS (
+        SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS docs FROM word GROUP BY ALL
+    ), kept AS (
+        SELECT lang, term, sum(n) AS lang_n FROM counted GROUP BY ALL HAVING sum(docs) >= 30
+    ), vocabulary AS (
+        SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang
+    ), grp AS (
+        SELECT DISTINCT lang, source FROM doc
+    ), cell AS (
+        SELECT lang, source, term, coalesce(n, 0) AS n, lang_n
+        FROM grp JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)
+    ), p AS (
+        SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 5) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p,
+               1 + 1000000000::HUGEINT * (lang_n + 5) // (lang_total + 5 * v) AS q
+        FROM cell JOIN vocabulary USING (lang)
+    ), pair AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+        FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+        LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+        GROUP BY ALL
+    ), term AS (
+        SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM p WHERE n > 0 AND p > q
+    ), ranked AS (
+        SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+        FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+    )
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+    """,
+)
+def source_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(read_table(spark, folder, "documents"))
