@@ -113,7 +113,8 @@ def test_a_merge_keeps_the_buckets_without_moving_the_base(spark):
 
 
 def test_change_files_are_merged_once_and_archived(spark, scratch):
-    from tideload.plans.loads import LoadSpec, run_change_files, run_full
+    from tideload.plans.cycles import run_change_files
+    from tideload.plans.loads import LoadSpec, run_full
     from tideload.sources.metadata import Field, TableMeta
 
     meta = TableMeta("t", (Field("k", "int", True), Field("v", "varchar", False)))

@@ -210,7 +210,7 @@ def test_counts_and_key_check(spark):
 def test_extracts_land_once_and_advance(spark, scratch):
     from tideload.operators.audit import advance_watermark
     from tideload.operators.publish import VersionedTable
-    from tideload.plans.extracts import control_of, landed_rows, run_extracts
+    from tideload.plans.extracts import control_of, landed_rows, ledger_of, run_extracts, vacuum_landing
     from tideload.sources.extract import jdbc_reader
 
     day = lambda d: datetime(2024, 1, d)
@@ -227,9 +227,21 @@ def test_extracts_land_once_and_advance(spark, scratch):
         run_extracts(spark, reader, {"a": "ts", "c": "ts"}, *args[1:], "two", workers=1)
     for _ in range(2):
         run_extracts(spark, reader, *args, "two")
-    assert rows(landed_rows(spark, f"{scratch}/landing", "a"), "id") == [(1,), (2,), (3,)]
-    assert rows(landed_rows(spark, f"{scratch}/landing", "b"), "id") == [(1,)]
+    assert rows(landed_rows(control, "a"), "id") == [(1,), (2,), (3,)]
+    assert rows(landed_rows(control, "b"), "id") == [(1,)]
     assert rows(control_of(control), "table_name", "run_time") == [("a", day(3)), ("b", day(1))]
+    # A run that failed, and another one in its place: rows landed by both count once.
+    now["a"].append((4, day(4)))
+    with pytest.raises(KeyError):
+        run_extracts(spark, reader, {"a": "ts", "c": "ts"}, *args[1:], "three", workers=1)
+    run_extracts(spark, reader, *args, "four")
+    assert rows(landed_rows(control, "a"), "id") == [(1,), (2,), (3,), (4,)]
+    assert rows(landed_rows(control, "a", "four"), "id") == [(4,)]
+    assert [r.rows for r in ledger_of(control).where("table_name = 'a'").orderBy("commit_number").collect()] == [2, 1, 1]
+    assert vacuum_landing(control, f"{scratch}/landing") == [f"{scratch}/landing/a/run=three"]
+    assert landed_rows(control, "a").count() == 4 and vacuum_landing(control, f"{scratch}/landing") == []
+    with pytest.raises(FileNotFoundError, match="no run"):
+        landed_rows(control, "c")
     # A table that the control does not know gets its row.
     known = spark.createDataFrame([("a", day(1))], "table_name string, run_time timestamp_ntz")
     moved = advance_watermark(known, reader("b"), "ts", "b")

@@ -52,3 +52,43 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
         return []
     files = [s.getPath() for s in fs.listStatus(folder) if s.isFile()]
     return sorted(f.toString() for f in files if not f.getName().startswith(("_", ".")))
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``, finished or not."""
+    fs, root = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()) if fs.exists(root) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in one piece; one of that name is replaced."""
+    fs, target = _file_system(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is no such file."""
+    fs, source = _file_system(spark, path)
+    if not fs.exists(source):
+        return None
+    with_bytes = fs.open(source)
+    try:
+        size = fs.getFileStatus(source).getLen()
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(with_bytes, size)).decode()
+    finally:
+        with_bytes.close()
+
+
+def file_marks(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    """Path, length and time of change of each of these files that is there."""
+    found = []
+    for path in paths:
+        fs, source = _file_system(spark, path)
+        if fs.exists(source):
+            status = fs.getFileStatus(source)
+            found.append((path, int(status.getLen()), int(status.getModificationTime())))
+    return found

@@ -5,51 +5,89 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tideload.files import complete_folders, file_names, remove_folder
+from tideload.files import complete_folders, file_names, folder_names, read_text, remove_folder, write_text
 from tideload.operators.merge import merge_changes
 from tideload.session import plan_bytes
 
-_VERSION = re.compile(r"^v=(\d+)$")
+_VERSION = re.compile(r"^v=(\d+)(?:-([0-9A-Za-z]+))?$")
 BUCKET = "_bucket"
 
 
+def write_counted(df: DataFrame, path: str) -> int:
+    """Write ``df`` as Parquet; the number of its rows, counted by the tasks that write them."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return seen.get.get("rows", 0)
+
+
 class VersionedTable:
     """A table kept as numbered full versions; readers see the newest finished one.
 
     A version counts from the moment its job commits, so a failed or killed write
-    changes nothing for readers and the next one starts over.
+    changes nothing for readers and the next one starts over. One writer at a time.
+
+    A version may carry a tag, which counts from that very moment too: what a job has to
+    remember about a version is written first, under the tag, and found by it afterwards.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def versions(self) -> list[int]:
+    def _folders(self) -> dict[int, tuple[str, str | None]]:
+        """Folder and tag of each finished version."""
         found = [_VERSION.match(n) for n in complete_folders(self.spark, self.path)]
-        return sorted(int(m.group(1)) for m in found if m)
+        return {int(m[1]): (m[0], m[2]) for m in sorted((m for m in found if m), key=lambda m: int(m[1]))}
 
-    def exists(self) -> bool:
-        return bool(self.versions())
+    def versions(self) -> list[int]:
+        return list(self._folders())
 
-    def publish(self, df: DataFrame) -> int:
-        """Write ``df``, which may read this table, as the next version."""
-        version = (self.versions() or [0])[-1] + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+    def exists(self) -> bool:
+        return bool(self._folders())
+
+    def tag(self) -> str | None:
+        """The tag of the newest version."""
+        folders = self._folders()
+        return folders[max(folders)][1] if folders else None
+
+    def publish(self, df: DataFrame, tag: str | None = None) -> int:
+        """Write ``df``, which may read this table, as the next version. Without a tag it keeps that of the last one."""
+        folders = self._folders()
+        version = max(folders, default=0) + 1
+        tag = tag or (folders[version - 1][1] if folders else None)
+        rows = write_counted(df, f"{self.path}/v={version}{'-' + tag if tag else ''}")
+        write_text(self.spark, f"{self.path}/_rows/{version}", str(rows))
         return version
 
-    def read(self, version: int | None = None) -> DataFrame:
-        versions = self.versions()
-        if not versions:
+    def _folder(self, version: int | None) -> tuple[int, str]:
+        folders = self._folders()
+        if not folders:
             raise FileNotFoundError(f"no finished version below {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v={version or versions[-1]}")
+        version = version or max(folders)
+        return version, f"{self.path}/{folders[version][0]}"
+
+    def read(self, version: int | None = None) -> DataFrame:
+        return self.spark.read.parquet(self._folder(version)[1])
+
+    def rows(self, version: int | None = None) -> int:
+        """The number of rows of a version, as counted when it was written."""
+        version, folder = self._folder(version)
+        known = read_text(self.spark, f"{self.path}/_rows/{version}")
+        return int(known) if known else self.spark.read.parquet(folder).count()
 
     def vacuum(self, keep: int = 2) -> None:
-        """Remove all but the newest ``keep`` versions."""
-        for version in self.versions()[: -max(keep, 1)]:
-            remove_folder(self.spark, f"{self.path}/v={version}")
+        """Remove all but the newest ``keep`` versions, and what failed writes left."""
+        folders = self._folders()
+        kept = list(folders)[-max(keep, 1) :]
+        for name in folder_names(self.spark, self.path):
+            found = _VERSION.match(name)
+            if found and kept and int(found[1]) <= kept[-1] and name not in {folders[v][0] for v in kept}:
+                remove_folder(self.spark, f"{self.path}/{name}")
+                if int(found[1]) not in kept:
+                    remove_folder(self.spark, f"{self.path}/_rows/{found[1]}")
 
 
 def ensure_table(spark: SparkSession, name: str, schema, location: str | None = None) -> None:

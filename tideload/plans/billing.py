@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideload.functions.dates import age_unit, age_value, shift
@@ -171,7 +171,10 @@ def number_rows(
 def invoice_headers(
     orders: DataFrame, lines: DataFrame, sponsors: DataFrame, sequences: DataFrame, code: str, start: int = 1
 ) -> DataFrame:
-    """One numbered invoice per order that has lines (and entitlement, for sponsored patients), amounts open."""
+    """One numbered invoice per order that has lines (and entitlement, for sponsored patients), amounts open.
+
+    ``has_lines`` says so on every header, so that what is made of headers need not read the lines again.
+    """
     billable = with_match(orders.select("order_id", "patient_id", "order_date"), lines, ["order_id"])
     entitled = lookup_join(
         billable, sponsors.where("is_active").select("patient_id", "entitlement_id").distinct(), ["patient_id"], "left"
@@ -181,7 +184,7 @@ def invoice_headers(
     numbered = number_rows(
         entitled.distinct(), ["order_id", "entitlement_id"], sequences, code, "invoice_id", "invoice_number", start
     )
-    return numbered.select("*", *[zero.alias(a) for a in amounts])
+    return numbered.select("*", F.lit(True).alias("has_lines"), *[zero.alias(a) for a in amounts])
 
 
 # What a header's amounts are the sums of: for services, for the services of sponsored orders,
@@ -213,12 +216,10 @@ def fill_header_totals(
     return update_from(headers, sums, [by], totals)
 
 
-def receipts(
-    headers: DataFrame, sponsors: DataFrame, lines: DataFrame, sequences: DataFrame, code: str, start: int = 1
-) -> DataFrame:
+def receipts(headers: DataFrame, sponsors: DataFrame, sequences: DataFrame, code: str, start: int = 1) -> DataFrame:
     """A numbered receipt for every invoice of an unsponsored patient whose order has lines."""
-    own = without_match(headers, sponsors.where("is_active"), ["patient_id"])
-    due = with_match(own, lines, ["order_id"]).select(
+    own = without_match(headers.where("has_lines"), sponsors.where("is_active"), ["patient_id"])
+    due = own.select(
         "order_id",
         "invoice_id",
         "patient_id",
@@ -228,17 +229,17 @@ def receipts(
     return number_rows(due, ["invoice_id"], sequences, code, "receipt_id", "receipt_number", start)
 
 
-def map_receipts(receipt_rows: DataFrame, headers: DataFrame, lines: DataFrame) -> DataFrame:
+def map_receipts(receipt_rows: DataFrame, headers: DataFrame) -> DataFrame:
     """Each receipt with the invoices of its order."""
-    due = with_match(receipt_rows.select("order_id", "receipt_id", "receipt_amount"), lines, ["order_id"])
-    return due.join(headers.select("order_id", "invoice_id"), "order_id").select(
+    due = receipt_rows.select("order_id", "receipt_id", "receipt_amount")
+    return due.join(headers.where("has_lines").select("order_id", "invoice_id"), "order_id").select(
         "receipt_id", "receipt_amount", F.lit(0).cast("decimal(38,2)").alias("utilized_amount"), "invoice_id"
     )
 
 
-def cash_payments(receipt_rows: DataFrame, headers: DataFrame, lines: DataFrame, currency_id: int) -> DataFrame:
+def cash_payments(receipt_rows: DataFrame, headers: DataFrame, currency_id: int) -> DataFrame:
     """A cash payment per receipt and invoice of its order."""
-    return map_receipts(receipt_rows, headers, lines).select(
+    return map_receipts(receipt_rows, headers).select(
         "receipt_id",
         F.col("receipt_amount").alias("amount"),
         F.lit(currency_id).alias("currency_id"),
@@ -268,31 +269,81 @@ def stage_times(ordered: Column, hours: Mapping[str, int]) -> list[Column]:
     return [shift(ordered, hours=h).alias(stage) for stage, h in hours.items()]
 
 
+def stage_position(stages: DataFrame, stage: str) -> DataFrame:
+    """One row: the id of the named stage and of the one before it in the order of the stages."""
+    # A small master table; both come from one pass over it.
+    before = F.lag("stage_id").over(Window.orderBy("stage_id"))
+    placed = stages.withColumn("previous_stage_id", before).where(F.col("stage_name") == stage)
+    return placed.select(F.col("stage_id").alias("current_stage_id"), "previous_stage_id")
+
+
+_POSITION = {c: c for c in ("current_stage_id", "previous_stage_id")}
+
+
+def at_stage(records: DataFrame, stages: DataFrame, stage: str) -> DataFrame:
+    """Records with the ids of the named stage, which they have reached, and of the one before it."""
+    return attach_one_row(records, stage_position(stages, stage), _POSITION)
+
+
+def with_registration(records: DataFrame, services: DataFrame, patients: DataFrame, service: str) -> DataFrame:
+    """Records with the section of the service in column ``service`` and the registration number of the patient."""
+    sections = services.select(F.col("service_id").alias(service), "section_id")
+    placed = lookup_join(records, sections, [service])
+    return lookup_join(placed, patients.select("patient_id", "registration_number"), ["patient_id"])
+
+
 def laboratory_records(
-    lines: DataFrame, panels: DataFrame, investigations: DataFrame, patients: DataFrame, as_of: Column
+    lines: DataFrame,
+    panels: DataFrame,
+    investigations: DataFrame,
+    patients: DataFrame,
+    services: DataFrame,
+    stages: DataFrame,
+    as_of: Column,
+    stage: str = "Issue",
 ) -> DataFrame:
-    """Laboratory records: panels taken apart, investigated services kept, stage times and patient age added."""
-    single = explode_panels(lines, panels)
+    """Laboratory records: panels taken apart, investigated services kept; section of the ordered service, registration
+    number and age of the patient, stage times, the stage reached and the one before."""
+    single = explode_panels(lines.withColumn("_ordered", F.col("service_id")), panels)
     tested = lookup_join(single, investigations.select("service_id", "result_type"), ["service_id"])
-    born = lookup_join(tested, patients.select("patient_id", "birth_date"), ["patient_id"])
-    return born.select(
+    placed = with_registration(tested, services, patients, "_ordered")
+    born = lookup_join(placed, patients.select("patient_id", "birth_date"), ["patient_id"])
+    return at_stage(born, stages, stage).select(
         *lines.columns,
+        "registration_number",
+        "section_id",
         "result_type",
+        "current_stage_id",
+        "previous_stage_id",
         *stage_times(F.col("order_date"), LAB_STAGE_HOURS),
         age_value(F.col("birth_date"), as_of).alias("patient_age"),
         age_unit(F.col("birth_date"), as_of).alias("age_unit"),
     )
 
 
-def radiology_records(lines: DataFrame, examinations: DataFrame, templates: DataFrame) -> DataFrame:
-    """Radiology records of ordered examinations with stage times and the first active template of the service."""
+def radiology_records(
+    lines: DataFrame,
+    examinations: DataFrame,
+    templates: DataFrame,
+    patients: DataFrame,
+    services: DataFrame,
+    stages: DataFrame,
+    stage: str = "Issue",
+) -> DataFrame:
+    """Radiology records of ordered examinations: section, registration number, stage times, the stage reached and the
+    one before, and the first active template of the service."""
     active = templates.where("is_active").select("service_id", "template_id", "template")
     first = latest_per_key(active, ["service_id"], [F.col("template_id").asc()])
     examined = lookup_join(lines, examinations.where("is_active").select("service_id", "department_id"), ["service_id"])
-    with_template = lookup_join(examined, first, ["service_id"], "left")
-    return with_template.select(
+    placed = with_registration(examined, services, patients, "service_id")
+    with_template = lookup_join(placed, first, ["service_id"], "left")
+    return at_stage(with_template, stages, stage).select(
         *lines.columns,
+        "registration_number",
+        "section_id",
         "department_id",
+        "current_stage_id",
+        "previous_stage_id",
         *stage_times(F.col("order_date"), RADIOLOGY_STAGE_HOURS),
         "template_id",
         "template",

@@ -195,7 +195,7 @@ WHERE patient_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'AU
 
 
 def paid_receipts(t: Tables, headers: DataFrame) -> DataFrame:
-    return receipts(filled_headers(t, headers), sponsors(t), line_orders(t), sequences(t), "OPR")
+    return receipts(filled_headers(t, headers), sponsors(t), sequences(t), "OPR")
 
 
 @query("receipts_unsponsored", RECEIPTS_SQL)
@@ -210,7 +210,7 @@ FROM ({RECEIPTS_SQL}) AS r JOIN ({HEADERS_SQL}) AS h USING (order_id)""",
 )
 def _receipt_invoice_map(t: Tables) -> DataFrame:
     headers = open_headers(t)
-    return map_receipts(paid_receipts(t, headers), headers, line_orders(t))
+    return map_receipts(paid_receipts(t, headers), headers)
 
 
 @query(
@@ -220,7 +220,7 @@ FROM ({RECEIPTS_SQL}) AS r JOIN ({HEADERS_SQL}) AS h USING (order_id)""",
 )
 def _cash_payments(t: Tables) -> DataFrame:
     headers = open_headers(t)
-    return cash_payments(paid_receipts(t, headers), headers, line_orders(t), 2)
+    return cash_payments(paid_receipts(t, headers), headers, 2)
 
 
 def stock_rows(lines: DataFrame) -> DataFrame:
@@ -394,19 +394,37 @@ def _join_coalesce_key(t: Tables) -> DataFrame:
     )
 
 
+# A part's size stands for the section of the service, the customer key for the registration number.
+def services(t: Tables) -> DataFrame:
+    return t.part.select(F.col("p_partkey").alias("service_id"), (F.col("p_size") % 7).alias("section_id"))
+
+
+def registered(patients: DataFrame) -> DataFrame:
+    return patients.withColumn("registration_number", F.concat(F.lit("REG-"), F.col("patient_id").cast("string")))
+
+
+_STAGES = [(1, "Arrival"), (2, "Attend"), (3, "Result"), (4, "Authentication"), (5, "Issue")]
+_STAGES_SQL = "(VALUES (1, 'Arrival'), (2, 'Attend'), (3, 'Result'), (4, 'Authentication'), (5, 'Issue')) AS s(stage_id, stage_name)"
+
+
+def stages(t: Tables) -> DataFrame:
+    return inline_rows(t.spark, _STAGES, "stage_id int, stage_name string")
+
+
 @query(
     "laboratory_records",
     f"""
 WITH births AS (SELECT o_custkey, min(o_orderdate) AS born FROM orders GROUP BY 1)
-SELECT l_orderkey AS order_id, l_linenumber, p_partkey AS service_id, o.o_custkey AS patient_id, o_orderdate AS order_date,
-  p_brand AS result_type, {', '.join(f'o_orderdate + INTERVAL {h} HOUR AS {stage}' for stage, h in LAB_STAGE_HOURS.items())},
+SELECT l_orderkey AS order_id, l_linenumber, part.p_partkey AS service_id, o.o_custkey AS patient_id, o_orderdate AS order_date,
+  'REG-' || CAST(o.o_custkey AS VARCHAR) AS registration_number, ordered.p_size % 7 AS section_id,
+  part.p_brand AS result_type, 5 AS current_stage_id, 4 AS previous_stage_id, {', '.join(f'o_orderdate + INTERVAL {h} HOUR AS {stage}' for stage, h in LAB_STAGE_HOURS.items())},
   CAST(CASE WHEN date_diff('month', born, TIMESTAMP '2001-08-01') < 1 THEN date_diff('day', born, TIMESTAMP '2001-08-01')
     WHEN date_diff('year', born, TIMESTAMP '2001-08-01') < 1 THEN date_diff('month', born, TIMESTAMP '2001-08-01')
     ELSE date_diff('year', born, TIMESTAMP '2001-08-01') END AS INTEGER) AS patient_age,
   CASE WHEN date_diff('month', born, TIMESTAMP '2001-08-01') < 1 THEN 'DAYS'
     WHEN date_diff('year', born, TIMESTAMP '2001-08-01') < 1 THEN 'MONTHS' ELSE 'YEARS' END AS age_unit
 FROM lineitem JOIN orders o ON o_orderkey = l_orderkey LEFT JOIN ({PANELS_SQL}) AS panels ON panel = l_partkey
-JOIN part ON p_partkey = coalesce(component, l_partkey)
+JOIN part ON part.p_partkey = coalesce(component, l_partkey) JOIN part AS ordered ON ordered.p_partkey = l_partkey
 JOIN births ON births.o_custkey = o.o_custkey""",
 )
 def _laboratory_records(t: Tables) -> DataFrame:
@@ -414,15 +432,7 @@ def _laboratory_records(t: Tables) -> DataFrame:
     investigations = t.part.select(F.col("p_partkey").alias("service_id"), F.col("p_brand").alias("result_type"))
     patients = t.orders.groupBy(F.col("o_custkey").alias("patient_id")).agg(F.min("o_orderdate").alias("birth_date"))
     as_of = F.lit("2001-08-01").cast("timestamp_ntz")
-    return laboratory_records(order_lines(t), panels(t), investigations, patients, as_of)
-
-
-_STAGES = [(1, "Arrival"), (2, "Attend"), (3, "Result"), (4, "Authentication"), (5, "Issue")]
-_STAGES_SQL = "(VALUES (1, 'Arrival'), (2, 'Attend'), (3, 'Result'), (4, 'Authentication'), (5, 'Issue')) AS s(stage_id, stage_name)"
-
-
-def stages(t: Tables) -> DataFrame:
-    return inline_rows(t.spark, _STAGES, "stage_id int, stage_name string")
+    return laboratory_records(order_lines(t), panels(t), investigations, registered(patients), services(t), stages(t), as_of)
 
 
 @query(
@@ -438,7 +448,8 @@ def _join_range_stage(t: Tables) -> DataFrame:
 @query(
     "radiology_records",
     "SELECT l_orderkey AS order_id, l_linenumber, l_partkey AS service_id, o_custkey AS patient_id, "
-    "o_orderdate AS order_date, e.p_size AS department_id, "
+    "o_orderdate AS order_date, 'REG-' || CAST(o_custkey AS VARCHAR) AS registration_number, e.p_size % 7 AS section_id, "
+    "e.p_size AS department_id, 3 AS current_stage_id, 2 AS previous_stage_id, "
     + ", ".join(f"o_orderdate + INTERVAL {h} HOUR AS {stage}" for stage, h in RADIOLOGY_STAGE_HOURS.items())
     + """, template_id, template
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part e ON e.p_partkey = l_partkey AND e.p_type <> 'ECONOMY'
@@ -459,7 +470,8 @@ def _radiology_records(t: Tables) -> DataFrame:
         F.concat(F.lit("T"), F.col("l_suppkey").cast("string")).alias("template"),
         (F.col("l_linestatus") == "F").alias("is_active"),
     )
-    return radiology_records(order_lines(t), examinations, templates)
+    patients = registered(t.orders.select(F.col("o_custkey").alias("patient_id")).distinct())
+    return radiology_records(order_lines(t), examinations, templates, patients, services(t), stages(t), "Result")
 
 
 _TESTS = [

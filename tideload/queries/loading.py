@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tideload.functions.numbers import money
 from tideload.operators.audit import advance_watermark, count_rows, init_watermark, key_check, latest_counts, record_counts
-from tideload.operators.cells import to_cells
-from tideload.operators.merge import OPERATION, TIMESTAMP, merge_changes
+from tideload.operators.cells import to_cells, to_mutations
+from tideload.operators.merge import DELETE, OPERATION, TIMESTAMP, compact_changes, merge_changes
 from tideload.operators.publish import (
     VersionedTable,
     append_rows,
@@ -20,8 +20,18 @@ from tideload.operators.publish import (
     save_table,
     truncate_table,
 )
-from tideload.plans.extracts import control_of, landed_rows, run_extracts
-from tideload.plans.loads import LoadSpec, load_discovered, run_all, run_change_files, run_full, run_incremental
+from tideload.operators.ranged import RangedTable
+from tideload.plans.cycles import ChangeCycles, run_change_files
+from tideload.plans.extracts import control_of, landed_rows, ledger_of, run_extracts, vacuum_landing
+from tideload.plans.loads import (
+    LoadSpec,
+    load_discovered,
+    run_all,
+    run_full,
+    run_full_ranged,
+    run_incremental,
+    run_incremental_ranged,
+)
 from tideload.queries.merging import (
     ORDER_CHANGES_SQL,
     ORDER_COLUMNS,
@@ -31,8 +41,9 @@ from tideload.queries.merging import (
     order_changes,
 )
 from tideload.queries.registry import TABLES, Tables, query
+from tideload.sources.cellstore import FileCells, write_mutations
 from tideload.sources.delimited import CHANGE_HEADER, change_rows, read_changes, read_changes_checked, read_snapshot, write_snapshot
-from tideload.sources.extract import extract_full, extract_since, land, parquet_reader
+from tideload.sources.extract import balanced_predicates, extract_full, extract_since, land, parquet_reader, read_split
 from tideload.sources.inline import inline_rows
 from tideload.sources.metadata import (
     Field,
@@ -277,7 +288,7 @@ def _run_extracts(t: Tables) -> DataFrame:
         run_extracts(t.spark, until(None), times, control, landing, "second")
     keys = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
     parts = [
-        landed_rows(t.spark, landing, name).select(
+        landed_rows(VersionedTable(t.spark, control), name).select(
             F.lit(name).alias("kind"), F.col(keys[name]).cast("bigint").alias("id"), F.col(ts).alias("at")
         )
         for name, ts in times.items()
@@ -288,6 +299,39 @@ def _run_extracts(t: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(marks)
 
 
+@query(
+    "extract_after_failure",
+    """
+SELECT 'orders' AS kind, CAST(o_orderkey AS BIGINT) AS id, o_orderdate AS at FROM orders
+UNION ALL SELECT 'lineitem', l_orderkey, l_shipdate FROM lineitem
+UNION ALL SELECT 'rows of orders', count(*), max(o_orderdate) FROM orders
+UNION ALL SELECT 'rows of lineitem', count(*), max(l_shipdate) FROM lineitem""",
+)
+def _extract_after_failure(t: Tables) -> DataFrame:
+    """A run, one that fails once it has landed orders, and a third one under a new id."""
+    control, landing = VersionedTable(t.spark, t.scratch("control")), t.scratch("landing")
+    times = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
+    day = F.lit("1997-06-01").cast("timestamp_ntz")
+
+    def reader(table: str) -> DataFrame:
+        return getattr(t, table)
+
+    args = (control.path, landing)
+    run_extracts(t.spark, lambda table: reader(table).where(F.col(times[table]) <= day), times, *args, "first")
+    try:
+        run_extracts(t.spark, reader, {**times, "missing": "at"}, *args, "second", workers=1)
+    except AttributeError:
+        run_extracts(t.spark, reader, times, *args, "third")
+    vacuum_landing(control, landing)
+    keys = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+    found = ledger_of(control).groupBy("table_name").agg(F.sum("rows").alias("id"), F.max("run_time").alias("at"))
+    found = found.select(F.concat(F.lit("rows of "), "table_name").alias("kind"), "id", "at")
+    for name, ts in times.items():
+        landed = landed_rows(control, name)
+        found = found.unionByName(landed.select(F.lit(name).alias("kind"), F.col(keys[name]).cast("bigint").alias("id"), F.col(ts).alias("at")))
+    return found
+
+
 @query(
     "rowkey_cells",
     " UNION ALL ".join(
@@ -544,3 +588,126 @@ def _discover_to_load(t: Tables) -> DataFrame:
         rows = rows.select(F.lit(name).alias("tablename"), F.col(keys[name][0]).alias("id"), F.col(amount).alias("amount"))
         found = rows if found is None else found.unionByName(rows)
     return found
+
+
+@query("merge_touched_files", ORDER_MERGE_SQL)
+def _merge_touched_files(t: Tables) -> DataFrame:
+    """Changes of the lower half of the keys, which leave the files of the upper half alone, then the others."""
+    table = RangedTable(t.spark, t.scratch("ranged"), ORDER_KEY)
+    table.create(t.orders, files=16)
+    changes, middle = order_changes(t), t.orders.agg(F.avg("o_orderkey")).first()[0]
+    for part in (changes.where(F.col("o_orderkey") < middle), changes.where(F.col("o_orderkey") >= middle)):
+        table.merge(part, tiebreak=ORDER_TIEBREAK)
+    return table.read().select(*ORDER_COLUMNS)
+
+
+class _Broken(ChangeCycles):
+    """Cycles that break off before or after the commit."""
+
+    after = False
+
+    def _commit(self, changes: DataFrame, cycle: str) -> None:
+        if self.after:
+            super()._commit(changes, cycle)
+        raise InterruptedError
+
+
+@query(
+    "change_cycle_resumed",
+    """
+SELECT k, v, NULL AS reason FROM (
+  SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY ts DESC, h5 DESC NULLS LAST, v DESC) AS rnk
+  FROM (
+    SELECT o_orderkey AS k, o_orderstatus AS v, TIMESTAMP '1900-01-01' AS ts, NULL AS h5 FROM orders
+    UNION ALL
+    SELECT l_orderkey, l_returnflag || l_linestatus, l_shipdate, lpad(CAST(l_partkey AS VARCHAR), 12, '0')
+    FROM lineitem WHERE l_linenumber = 1
+  ) AS u
+) AS r WHERE rnk = 1
+UNION ALL
+SELECT count(*), NULL, CASE WHEN l_linenumber < 4 THEN 'number of fields' WHEN l_linenumber = 4 THEN 'malformed field'
+  ELSE 'missing value' END FROM lineitem WHERE l_linenumber > 1 GROUP BY 3""",
+)
+def _change_cycle_resumed(t: Tables) -> DataFrame:
+    """A cycle that breaks off before its commit, one after it, and the run that follows; good and rejected rows count once."""
+    spec = LoadSpec.from_metadata(_PAIR_META, tiebreak=("h5", "v"))
+    root, folder, archive = (t.scratch(x) for x in ("warehouse", "change-files", "archive"))
+    run_full_ranged(spec, t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v")), root)
+    _write_spoilt_changes(t, folder)
+    for after in (False, True):
+        broken = _Broken(t.spark, spec, _PAIR_META, root, ranged=True)
+        broken.after = after
+        try:
+            broken.run(folder, archive)
+        except InterruptedError:
+            pass
+    cycles = ChangeCycles(t.spark, spec, _PAIR_META, root, ranged=True)
+    cycles.run(folder, archive)
+    rejected = cycles.rejects().groupBy("reason").agg(F.count(F.lit(1)).alias("k"))
+    return cycles.table.read().select("k", "v", F.lit(None).cast("string").alias("reason")).unionByName(
+        rejected.select("k", F.lit(None).cast("string").alias("v"), "reason")
+    )
+
+
+@query(
+    "audit_observed",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS tablename, count(*) AS count FROM " + (f"({ORDER_MERGE_SQL}) AS m" if name == "orders" else name)
+        for name in TABLE_KEYS
+    ),
+)
+def _audit_observed(t: Tables) -> DataFrame:
+    """Full loads of all keyed tables, then changes of the orders; the counts are those of the tasks that wrote the tables."""
+    root, audit = t.scratch("warehouse"), t.scratch("audit")
+    metas = {n: meta_of(n, getattr(t, n).schema, k) for n, k in TABLE_KEYS.items()}
+    specs = [LoadSpec.from_metadata(m, tiebreak=ORDER_TIEBREAK if n == "orders" else ()) for n, m in metas.items()]
+    by_range = [s for s in specs if s.table == "orders"]
+    run_all(t.spark, [s for s in specs if s.table != "orders"], run_full, {n: getattr(t, n) for n in metas}, root, audit)
+    run_all(t.spark, by_range, run_full_ranged, {"orders": t.orders}, root, audit)
+    run_all(t.spark, by_range, run_incremental_ranged, {"orders": order_changes(t)}, root, audit)
+    return latest_counts(t.spark, audit)
+
+
+def skewed_lines(t: Tables) -> DataFrame:
+    """Lines with a key that a large share of them has in common, and some have none."""
+    number = F.col("l_linenumber")
+    key = F.when(number == 1, 1).when(number == 7, None).otherwise(F.col("l_suppkey"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", key.alias("split_key"))
+
+
+@query(
+    "extract_split",
+    """SELECT l_orderkey, l_linenumber, l_partkey,
+  CASE WHEN l_linenumber = 1 THEN 1 WHEN l_linenumber = 7 THEN NULL ELSE l_suppkey END AS split_key FROM lineitem""",
+)
+def _extract_split(t: Tables) -> DataFrame:
+    """Read range by range of the key; the reads of the hot key's rows are dealt by the order."""
+    lines = skewed_lines(t)
+    return read_split(lines, balanced_predicates(lines, "split_key", 8, spread="l_orderkey", sample_rows=20_000))
+
+
+@query(
+    "cells_written",
+    " UNION ALL ".join(
+        f"SELECT CAST(o_orderkey AS VARCHAR) AS rowkey, 'CF1' AS family, '{column}' AS qualifier, {text} AS value FROM ({ORDER_MERGE_SQL}) AS m"
+        for column, text in (
+            ("o_custkey", "CAST(o_custkey AS VARCHAR)"),
+            ("o_orderstatus", "o_orderstatus"),
+            ("o_totalprice", "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)"),
+            ("o_orderdate", "CAST(o_orderdate AS VARCHAR)"),
+            ("o_orderpriority", "o_orderpriority"),
+        )
+    ),
+)
+def _cells_written(t: Tables) -> DataFrame:
+    """The orders put into a store of cells, then the newest change of each as a put or a delete, sent twice under one id."""
+    store = FileCells(t.scratch("cells"))
+    price = money(F.col("o_totalprice"))
+    write_mutations(to_mutations(t.orders.select(*ORDER_COLUMNS).withColumn("o_totalprice", price), ORDER_KEY), store)
+    newest = compact_changes(order_changes(t), ORDER_KEY, ORDER_COLUMNS, tiebreak=ORDER_TIEBREAK)
+    newest = newest.select(*ORDER_COLUMNS, "_op").withColumn("o_totalprice", price)
+    changes = to_mutations(newest, [*ORDER_KEY, "_op"], F.col("_op") == DELETE)
+    changes = changes.withColumn("rowkey", F.substring_index("rowkey", "_", 1))
+    for _ in range(2):
+        write_mutations(changes, store, "changes")
+    return store.read(t.spark)

@@ -12,6 +12,7 @@ from tideload.queries.merging import ORDER_COLUMNS, ORDER_KEY, ORDER_MERGE_SQL
 from tideload.queries.registry import Tables, query
 from tideload.sources.delimited import write_snapshot
 from tideload.streaming.changes import append_stream, change_folder, parse_values
+from tideload.streaming.levelled import LevelledTable
 from tideload.streaming.upsert import UpsertTable, start_upsert
 
 _OUT = [*ORDER_COLUMNS, "header__operation", TIMESTAMP, "h5"]
@@ -90,3 +91,21 @@ def _stream_new_checkpoint(t: Tables) -> DataFrame:
 
     in_two_parts(t, folder, run)
     return table.read()
+
+
+@query("stream_levelled_state", ORDER_MERGE_SQL)
+def _stream_levelled_state(t: Tables) -> DataFrame:
+    """The change files one by one into levelled runs, with compactions on the way."""
+    folder, checkpoint, meta = t.scratch("change-files"), t.scratch("checkpoint"), order_meta(t)
+    table = LevelledTable(
+        t.spark, t.scratch("levelled"), t.database(), ORDER_KEY, ORDER_COLUMNS,
+        tiebreak=CHANGE_FILE_TIEBREAK, buckets=8, fanout=2, first_rows=t.orders.count() // 16,
+    )
+    table.seed(t.orders, order_change_rows(t))
+
+    def run() -> None:
+        stream = change_folder(t.spark, folder, meta, maxFilesPerTrigger="3")
+        start_upsert(stream, table, checkpoint, compact_every=2).awaitTermination()
+
+    in_two_parts(t, folder, run)
+    return table.read()

@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tideload.files import complete_folders, remove_folder
 from tideload.operators.merge import DELETE, INSERT, OPERATION, TIMESTAMP, compact_changes, merge_latest, stored_since
+from tideload.streaming.levelled import LevelledTable
 
 _BASE = re.compile(r"^upto=(-?\d+)$")
 # Place in the log, number within the source, source.
@@ -182,12 +183,12 @@ def source_of(spark: SparkSession, checkpoint: str) -> str:
 
 
 def start_upsert(
-    changes: DataFrame, table: UpsertTable, checkpoint: str, compact_every: int | None = None, **trigger
+    changes: DataFrame, table: UpsertTable | LevelledTable, checkpoint: str, compact_every: int | None = None, **trigger
 ) -> StreamingQuery:
     """Apply a stream of change rows; takes what is there and ends unless a trigger is given.
 
-    ``compact_every``: fold the log into a new base whenever it holds so many batches, and
-    remove what neither the newest base nor the one before it needs.
+    ``compact_every``: compact the table whenever so many batches wait for it, and
+    remove what neither its newest state nor the one before it needs.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
