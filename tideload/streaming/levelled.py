@@ -17,14 +17,15 @@ import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideload.files import folder_names, read_text, remove_folder, write_text
 from tideload.operators.latest import latest_per_key
-from tideload.operators.merge import DELETE, INSERT, OPERATION, TIMESTAMP, compact_changes, merge_latest, stored_since
+from tideload.operators.merge import DELETE, INSERT, OPERATION, TIMESTAMP, compact_changes, stored_since
 from tideload.operators.publish import VersionedTable, drop_table, save_table, write_counted
 
 _MANIFEST = "kind string, level int, name string, source string, batch long, rows long"
@@ -45,7 +46,7 @@ class Run:
 
 
 class LevelledTable:
-    """A keyed table that a change stream is applied to. One stream writes it at a time.
+    """A keyed table that a change stream is applied to. One stream writes it at a time; no part of a key is NULL.
 
     ``database`` holds the bucketed runs as tables over folders below ``path``; where its catalog does not
     outlive the session they are registered again. ``buckets``, ``keys`` and ``columns`` are for good.
@@ -74,6 +75,8 @@ class LevelledTable:
         self.buckets, self.fanout, self.first_rows = buckets, fanout, first_rows
         self.manifest = VersionedTable(spark, f"{self.path}/manifest")
         self._order = [t for t in self.tiebreak if t not in self.columns]
+        self._newest = ["state_age", *self.tiebreak, "state_ts"]
+        self._state_columns = ["state_op", "state_age", "state_ts", *self._order]
 
     def seed(self, base: DataFrame, sample_change: DataFrame) -> None:
         """Store the first state; its keys are unique. ``sample_change`` gives the types of the order columns."""
@@ -86,7 +89,7 @@ class LevelledTable:
             *[F.lit(None).cast(types[t]).alias(t) for t in self._order],
         )
         write_text(self.spark, f"{self.path}/schema.json", state.schema.json())
-        self._commit([self._bucketed(state, BASE, placed=False)], {})
+        self._commit([self._bucketed(self._checked(state), BASE, placed=False)], {})
 
     def apply_batch(self, changes: DataFrame, batch_id: int, source: str = DIRECT) -> None:
         """Store one micro-batch as a run of level 0; one that the manifest knows is left out."""
@@ -104,7 +107,7 @@ class LevelledTable:
             *self._order,
         )
         name = uuid.uuid4().hex
-        rows = write_counted(state, f"{self.path}/runs/{name}")
+        rows = write_counted(self._checked(state), f"{self.path}/runs/{name}")
         self._commit([*runs, Run(0, name, rows, source, batch_id)], covered)
 
     def state(self) -> DataFrame:
@@ -149,7 +152,7 @@ class LevelledTable:
         if level == BASE and forget_before is not None:
             horizon = F.lit(forget_before).cast("timestamp_ntz")
             state = state.where((F.col("state_op") != DELETE) | (F.col("state_age") >= horizon))
-        run = self._bucketed(state, level, placed=any(r.level for r in taken))
+        run = self._bucketed(state, level, placed=True)
         for r in new:
             covered[r.source] = max(r.batch, covered.get(r.source, -1))
         self._commit([*[r for r in runs if r not in taken], run], covered)
@@ -209,25 +212,39 @@ class LevelledTable:
             )
         return self.spark.table(self._table(run.name)).select(*schema.names)
 
-    def _merged(self, runs: Sequence[Run], where=None) -> DataFrame:
-        """The newest row per key of some runs: level 0 ranked, then joined level by level."""
+    def _merged(self, runs: Sequence[Run], where: Column | None = None) -> DataFrame:
+        """The newest row per key of some runs: level 0 ranked, then joined level by level.
+
+        What lies above a level is dealt to its buckets, whatever the session's number of partitions, so
+        that the level itself stays where it is.
+        """
 
         def rows_of(run: Run) -> DataFrame:
             return self._read(run) if where is None else self._read(run).where(where)
 
-        order = [*self.tiebreak, "state_ts"]
         found: DataFrame | None = None
         batches = [rows_of(r) for r in runs if r.level == 0]
-        for rows in batches:
-            found = rows if found is None else found.unionByName(rows)
-        if found is not None:
-            newest_first = [F.col(c).desc_nulls_last() for c in ("state_age", *order)]
-            found = latest_per_key(found, self.keys, [*newest_first, F.xxhash64(*self.columns).desc()])
+        if batches:
+            newest_first = [F.col(c).desc_nulls_last() for c in self._newest] + [F.xxhash64(*self.columns).desc()]
+            found = latest_per_key(self._dealt(reduce(DataFrame.unionByName, batches)), self.keys, newest_first)
         for run in sorted((r for r in runs if r.level), key=lambda r: r.level):
-            if found is None:
-                found = rows_of(run)
-            else:
-                found = merge_latest(
-                    rows_of(run), found, self.keys, found.columns, "state_age", order, form="join", unique_base=True, key_partitioned=True
-                )
-        return found.select(*self.columns, "state_op", "state_age", "state_ts", *self._order)
+            found = rows_of(run) if found is None else self._over(rows_of(run), self._dealt(found))
+        return found.select(*self.columns, *self._state_columns)
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        return rows.repartition(self.buckets, *self.keys)
+
+    def _over(self, stored: DataFrame, newer: DataFrame) -> DataFrame:
+        """The newer row of each key of two runs; at equal order that of the newer run."""
+        equal = reduce(lambda a, b: a & b, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in self.keys])
+        joined = stored.alias("l").join(newer.alias("r"), equal, "full")
+        late = F.struct(*[f"l.{c}" for c in self._newest]) > F.struct(*[f"r.{c}" for c in self._newest])
+        take = F.col("r.state_op").isNotNull() & (F.col("l.state_op").isNull() | ~late)
+        columns = [*self.columns, *self._state_columns]
+        return joined.select(*[F.when(take, F.col(f"r.{c}")).otherwise(F.col(f"l.{c}")).alias(c) for c in columns])
+
+    def _checked(self, state: DataFrame) -> DataFrame:
+        """Refuse rows without a whole key: readers of change files reject them before."""
+        whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys])
+        error = F.raise_error(F.lit(f"a row has no whole key ({', '.join(self.keys)})"))
+        return state.withColumn("state_op", F.when(whole, F.col("state_op")).otherwise(error))
