@@ -34,7 +34,7 @@ MIN_DOCS = 30
 TOP_TERMS = 50
 SLICE_BYTES = 4 << 20
 # Cells of one table of p, and its sources on one side.
-CELLS = 1 << 20
+CELLS = 1 << 16
 BLOCK = 128
 
 KEY_BYTES = 8
