@@ -1,24 +1,30 @@
 r"""Benchmark decontamination by canonical templates.
 
-A text becomes words (runs of letters and digits). Words that re-parameterise a question get
-typed placeholders: numbers ``#``, units after a number ``%``, names (capitalised words) ``@``.
-Windows of ``width`` canonical words are hashed; those of the benchmark start every ``stride``
-words, those of the documents at every word, and the two are hash-joined. A window with fewer
-than ``min_literals`` words that are no placeholders says too little and is left out.
+A text becomes words (runs of letters and digits), and these become templates in three forms. In the
+``cased`` one, words that re-parameterise a question get typed placeholders: numbers ``#``, units after
+a number ``%``, names (capitalised words) ``@``. In the ``folded`` one numbers and units do, and all
+other words are in lower case, so that copies in other letter case are found. In the ``exact`` one no
+word does. Windows of ``width`` words of each form that start at every word, of the benchmark and of the
+documents, are hashed and hash-joined.
+
+A window with fewer than ``min_literals`` words that are no placeholders says too little: it is widened to
+twice, four times ... its words, as far as its item goes. Where the folded window says too little, its
+exact words are joined as well, so that items of numbers and names are found where they are copied.
 
 Matching windows of a document and an item on one diagonal (place in the document less place in
 the item) are one alignment. In it the placeholders' values must be consistent: a value of the
 item always becomes the same value, and no two values the same, in at least ``min_agreement`` of
-the places of each kind. An item is found where the consistent windows cover ``min_covered`` of its words, or
-all of a shorter one.
+the places of each kind. An item is found where the consistent windows of all forms cover
+``min_covered`` of its words, or all of a shorter one.
 
-Everything is DataFrame functions. The benchmark's windows are broadcast up to
+Everything is DataFrame functions. The benchmark's window hashes are broadcast up to
 ``BROADCAST_WINDOWS`` rows, and joined by a shuffle beyond.
 
 Defined cases: null and empty texts match nothing; documents are told apart by their text, so
 repeated rows and rows without an id are found like any other; items with the same text count as
-the one with the smallest id, and items without one are left out; an item shorter than a window is one window, one with
-fewer than ``min_literals`` plain words is never found; empty tables give an empty result.
+the one with the smallest id, and items without one are left out; an item shorter than a window is one window, and
+one of fewer than ``min_literals`` words is never found; texts of any length are worked on whole, a row at a time; columns
+of the caller may have any names; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +36,6 @@ from tideload.llm.common import OWN, filled, quoted
 from tideload.session import staged
 
 WIDTH = 8
-STRIDE = 4
 MIN_LITERALS = 5
 MIN_COVERED = 12
 MIN_AGREEMENT = 0.8
@@ -38,7 +43,7 @@ BROADCAST_WINDOWS = 200_000
 # Texts with hits whose keys (128 bits each) are broadcast to the scan that fetches their words.
 BROADCAST_TEXTS = 500_000
 
-# Words that count as units after a number.
+# Words that count as units after a number, in any letter case.
 UNITS = (
     "mm cm m km inch inches foot feet yard yards mile miles g kg mg gram grams kilogram kilograms pound pounds ounce ounces "
     "ton tons l ml litre litres liter liters gallon gallons second seconds minute minutes hour hours day days week weeks "
@@ -46,11 +51,12 @@ UNITS = (
 )
 NUMBER, UNIT, NAME = "#", "%", "@"
 NOT_A_WORD = r"[^\p{L}\p{N}]+"
-RULES = (
+QUANTITIES = (
     (r"(^| )\p{N}[^ ]*", "$1" + NUMBER),
-    (rf"{NUMBER} (?:{UNITS.replace(' ', '|')})(?= |$)", f"{NUMBER} {UNIT}"),
-    (r"(^| )\p{Lu}[^ ]*", "$1" + NAME),
+    (rf"{NUMBER} (?i:{UNITS.replace(' ', '|')})(?= |$)", f"{NUMBER} {UNIT}"),
 )
+NAMES = (r"(^| )\p{Lu}[^ ]*", "$1" + NAME)
+CASED, FOLDED, EXACT = 0, 1, 2
 KEY = [f"{OWN}k1", f"{OWN}k2"]
 
 
@@ -59,11 +65,17 @@ def plain_words(text: Column) -> Column:
     return F.trim(F.regexp_replace(filled(text), NOT_A_WORD, " "))
 
 
-def canonical(words: Column) -> Column:
-    """Words with placeholders; as many as before."""
-    for pattern, replacement in RULES:
-        words = F.regexp_replace(words, pattern, replacement)
-    return words
+def templates(words: Column) -> dict[int, Column]:
+    """The words of each form, as many as before, one space between them."""
+    quantified = words
+    for pattern, replacement in QUANTITIES:
+        quantified = F.regexp_replace(quantified, pattern, replacement)
+    return {CASED: F.regexp_replace(quantified, *NAMES), FOLDED: F.lower(quantified), EXACT: F.lower(words)}
+
+
+def _hashes(words: Column, form: int) -> Column:
+    """The hash of each word; another one in each form, so that only windows of one form are equal."""
+    return F.transform(F.split(words, " "), lambda w: F.xxhash64(w, F.lit(form)))
 
 
 def _is_slot(word: Column) -> Column:
@@ -91,43 +103,69 @@ def _window_hash(hashes: Column, length: int) -> Column:
     return F.get(hashes, F.lit(0))
 
 
-def _with_window_hashes(df: DataFrame, length: int) -> DataFrame:
-    """``hashes`` (of canonical words) replaced by the hash of the window that starts at each word.
+def _with_window_hashes(df: DataFrame, columns: list[str], length: int) -> DataFrame:
+    """``columns`` (hashes of words) replaced by the hashes of the windows that start at each word, ``count`` of them.
 
     A window is hashed as two halves, each level in a projection of its own: it is used twice.
     """
-    df = df.where(F.size("hashes") >= length).withColumn("count", F.size("hashes") - length + 1)
+    size = F.size(columns[0])
+    df = df.where(size >= length).withColumn("count", size - length + 1)
     for step in _steps(length):
-        df = df.withColumn("hashes", _combined(F.col("hashes"), step))
-    return df.withColumn("hashes", F.slice("hashes", F.lit(1), F.col("count"))).drop("count")
+        df = df.withColumns({c: _combined(F.col(c), step) for c in columns})
+    return df.withColumns({c: F.slice(c, F.lit(1), F.col("count")) for c in columns})
+
+
+def _lengths(width: int, most: int, min_literals: int) -> list[int]:
+    """The lengths of windows: those of items shorter than a window, and its multiples by powers of two."""
+    lengths = [*range(min_literals, width), width]
+    while lengths[-1] * 2 <= most:
+        lengths.append(lengths[-1] * 2)
+    return lengths
 
 
 def benchmark_windows(
-    benchmark: DataFrame, id_col: str, text_col: str, width: int = WIDTH, stride: int = STRIDE, min_literals: int = MIN_LITERALS
+    benchmark: DataFrame, id_col: str, text_col: str, width: int = WIDTH, min_literals: int = MIN_LITERALS
 ) -> DataFrame:
-    """``hash, item, words, place, template, values`` of the windows that say enough."""
-    items = (
+    """``hash, item, form, words, length, place, template, values`` of the windows that are looked for."""
+    plain = (
         benchmark.select(quoted(id_col).alias("item"), plain_words(quoted(text_col)).alias("plain"))
         .groupBy("plain")
         .agg(F.min("item").alias("item"))
         .where("plain <> '' AND item IS NOT NULL")
-        .select("item", F.split("plain", " ").alias("raw"), F.split(canonical(F.col("plain")), " ").alias("canon"))
-        .withColumn("words", F.size("raw"))
-        .withColumn("length", F.least("words", F.lit(width)))
+        .withColumn("words", F.size(F.split("plain", " ")))
+        .where(F.col("words") >= min_literals)
     )
-    last = F.col("words") - F.col("length")
-    starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(stride)), F.array(last)))
-    windows = items.withColumn("place", F.explode(starts)).select(
-        "item", "words", "length", "place",
-        F.slice("canon", F.col("place") + 1, F.col("length")).alias("template"),
-        F.slice("raw", F.col("place") + 1, F.col("length")).alias("values"),
+    lengths = _lengths(width, plain.agg(F.max("words")).first()[0] or 0, min_literals)
+    forms = templates(F.col("plain"))
+    raw = {CASED: F.col("plain"), FOLDED: F.lower("plain"), EXACT: F.lower("plain")}
+    form = F.explode(F.array(*[F.struct(F.lit(f).alias("form"), forms[f].alias("canon"), raw[f].alias("raw")) for f in forms]))
+    items = plain.select("item", "words", form.alias("form")).select(
+        "item", "words", "form.form", F.split("form.canon", " ").alias("canon"), F.split("form.raw", " ").alias("raw")
+    )
+    # Every place of an item with every length that fits; a window that would pass the end ends there.
+    shortest = F.least("words", F.lit(width))
+    fits = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: (n <= F.col("words")) & (n >= shortest))
+    windows = (
+        items.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("words") - shortest)))
+        .withColumn("length", F.explode(fits))
+        .withColumn("place", F.least("at", F.col("words") - F.col("length")))
+        .withColumn("template", F.slice("canon", F.col("place") + 1, F.col("length")))
+        .withColumn("literals", F.size(F.filter("template", lambda w: ~_is_slot(w))))
+    )
+    chosen = ["item", "words", "form", "at"]
+    telling = (
+        windows.where((F.col("form") != EXACT) & (F.col("literals") >= min_literals))
+        .groupBy(*chosen).agg(F.min("length").alias("length"))
     )
-    literals = F.size(F.filter("template", lambda w: ~_is_slot(w)))
-    hashes = F.transform("template", lambda w: F.xxhash64(w))
-    by_length = F.coalesce(
-        *[F.when(F.col("length") == n, _window_hash(hashes, n)) for n in range(1, width + 1)]
+    poor = windows.where((F.col("form") == FOLDED) & (F.col("literals") < min_literals) & (F.col("length") == shortest))
+    wanted = telling.unionByName(poor.select("item", "words", F.lit(EXACT).alias("form"), "at", "length"))
+    hashes = F.transform("template", lambda w: F.xxhash64(w, F.col("form")))
+    by_length = F.coalesce(*[F.when(F.col("length") == n, _window_hash(hashes, n)) for n in lengths])
+    found = windows.join(wanted, [*chosen, "length"], "left_semi").withColumn("hash", by_length)
+    values = F.slice("raw", F.col("place") + 1, F.col("length")).alias("values")
+    return found.select("hash", "item", "form", "words", "length", "place", "template", values).dropDuplicates(
+        ["item", "form", "length", "place"]
     )
-    return windows.where(literals >= F.least(F.lit(min_literals), F.lit(width))).withColumn("hash", by_length)
 
 
 def text_key(text: Column) -> list[Column]:
@@ -136,26 +174,32 @@ def text_key(text: Column) -> list[Column]:
 
 
 def window_hits(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFrame:
-    """``item, words, length, place, at`` of every window of a text that hashes like a benchmark window.
+    """``hash, at`` of every window of a text that hashes like a benchmark window, once a text.
 
-    Only hashes and places are exploded: a row that carried its text's words would copy them
-    for every window.
+    Only hashes and places are exploded: a row that carried its text's words would copy them for
+    every window. All forms are taken from one pass over the texts.
     """
-    small = windows.count() <= BROADCAST_WINDOWS
-    # Few: at most ``width`` lengths, and one where no item is shorter than a window.
-    lengths = sorted(r[0] for r in windows.select("length").distinct().collect())
+    # One row per form and length: a few.
+    kinds = sorted({(r.length, r.form) for r in windows.select("length", "form").distinct().collect()})
+    hashes = windows.select("length", "hash").distinct()
+    small = hashes.count() <= BROADCAST_WINDOWS
     text = quoted(text_col)
     plain = docs.select(*text_key(text), plain_words(text).alias("plain"))
-    canon = plain.select(*KEY, F.split(canonical(F.col("plain")), " ").alias("canon"))
-    hashed = canon.select(*KEY, F.transform("canon", lambda w: F.xxhash64(w)).alias("hashes"))
     found = None
-    for length in lengths or [WIDTH]:
-        wanted = windows.where(F.col("length") == length).select("hash", "item", "words", "length", "place")
+    for length in sorted({n for n, _ in kinds}) or [WIDTH]:
+        forms = [f for n, f in kinds if n == length] or [CASED]
+        columns = [f"hashes{f}" for f in forms]
+        words = plain.select(*KEY, *[templates(F.col("plain"))[f].alias(f"words{f}") for f in forms])
+        hashed = words.select(*KEY, *[_hashes(F.col(f"words{f}"), f).alias(c) for f, c in zip(forms, columns, strict=True)])
+        wanted = hashes.where(F.col("length") == length).select("hash")
         # The outer form: for the other one Catalyst infers a filter that computes the array once more.
-        placed = _with_window_hashes(hashed, length).select(*KEY, F.posexplode_outer("hashes").alias("at", "hash"))
-        joined = placed.join(F.broadcast(wanted) if small else wanted, "hash").drop("hash")
+        placed = _with_window_hashes(hashed, columns, length).select(
+            *KEY, "count", F.posexplode_outer(F.concat(*columns)).alias("pos", "hash")
+        )
+        joined = placed.join(F.broadcast(wanted) if small else wanted, "hash", "left_semi")
+        joined = joined.select(*KEY, "hash", (F.col("pos") % F.col("count")).alias("at"))
         found = joined if found is None else found.unionByName(joined)
-    return found.dropDuplicates([*KEY, "item", "place", "at"])
+    return found.dropDuplicates([*KEY, "hash", "at"])
 
 
 def matched_windows(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFrame:
@@ -168,16 +212,19 @@ def matched_windows(docs: DataFrame, text_col: str, windows: DataFrame) -> DataF
     text = quoted(text_col)
     texts = docs.select(*text_key(text), text.alias("text")).join(keys, KEY, "left_semi").dropDuplicates(KEY)
     raw = texts.select(*KEY, F.split(plain_words(F.col("text")), " ").alias("raw"))
-    own = windows.select("item", "length", "place", "template", "values")
     places = F.sequence(F.lit(0), F.col("length") - 1)
     pairs = F.transform(
         places,
         lambda i: F.struct(
-            F.get("template", i).alias("kind"), F.get("values", i).alias("theirs"), F.get("found", i).alias("ours")
+            (F.col("place") + i).alias("spot"), F.get("template", i).alias("kind"),
+            F.get("values", i).alias("theirs"), F.get("found", i).alias("ours"),
         ),
-    )
-    found = hits.join(raw, KEY).withColumn("found", F.slice("raw", F.col("at") + 1, F.col("length"))).drop("raw")
-    found = found.join(own, ["item", "length", "place"]).withColumn("pairs", pairs)
+    )
+    # A hash that many items share meets its texts once and its items here.
+    found = hits.join(raw, KEY).join(windows, "hash")
+    own = F.slice("raw", F.col("at") + 1, F.col("length"))
+    own = F.when(F.col("form") == CASED, own).otherwise(F.transform(own, lambda w: F.lower(w)))
+    found = found.where(F.col("at") + F.col("length") <= F.size("raw")).withColumn("found", own).drop("raw").withColumn("pairs", pairs)
     same = F.forall("pairs", lambda p: _is_slot(p["kind"]) | (p["theirs"] == p["ours"]))
     slots = F.filter("pairs", lambda p: _is_slot(p["kind"]))
     return found.where(same).select(
@@ -205,19 +252,24 @@ def contaminated_texts(
     matched = staged(matched_windows(docs, text_col, windows), "matched-windows")
     alignment = [*KEY, "item", "diagonal"]
     slots = matched.select(*alignment, F.explode("slots").alias("slot")).select(*alignment, "slot.*")
+    # A place counts once, however many windows and forms it is in; letter case tells names apart, not quantities.
+    folded = {c: F.when(F.col("kind") == NAME, F.col(c)).otherwise(F.lower(c)) for c in ("theirs", "ours")}
+    slots = slots.withColumns(folded).distinct()
     counts = slots.groupBy(*alignment, "kind", "theirs", "ours").agg(F.count(F.lit(1)).alias("n"))
     shares = _agreement(counts, alignment, "theirs").unionByName(_agreement(counts, alignment, "ours"))
     unlike = shares.where(F.col("share") < min_agreement).select(*alignment).distinct()
     good = matched.join(unlike, alignment, "left_anti")
-    # An item's windows number no more than its words.
+    # An item's windows number no more than a few times its words.
     per_item = good.groupBy(*KEY, "item").agg(
-        F.max("words").alias("item_words"), F.max("length").alias("length"), F.sort_array(F.collect_set("place")).alias("places")
+        F.max("words").alias("item_words"),
+        F.sort_array(F.collect_set(F.struct("place", (F.col("place") + F.col("length")).alias("end")))).alias("spans"),
     )
     covered = F.aggregate(
-        "places",
+        "spans",
         F.struct(F.lit(0).alias("end"), F.lit(0).alias("sum")),
-        lambda acc, p: F.struct(
-            (p + F.col("length")).alias("end"), (acc["sum"] + p + F.col("length") - F.greatest(acc["end"], p)).alias("sum")
+        lambda acc, s: F.struct(
+            F.greatest(acc["end"], s["end"]).alias("end"),
+            (acc["sum"] + F.greatest(F.lit(0), s["end"] - F.greatest(acc["end"], s["place"]))).alias("sum"),
         ),
         lambda acc: acc["sum"],
     )

@@ -48,34 +48,54 @@ def query(name: str, sql: str | None = None):
         UNION ALL
         SELECT 'item', min(item_id), trim(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}]+', ' ', 'g')) AS plain
         FROM benchmark GROUP BY plain
-    ), word AS (
-        SELECT side, id, string_split(plain, ' ') AS raw,
-               string_split(regexp_replace(replace(regexp_replace(replace(regexp_replace(plain,
-                   '(^| )\p{N}[^ ]*', '\1#', 'g'), ' ', '  '),
-                   '#  (UNITS)( |$)', '#  %\2', 'g'), '  ', ' '), '(^| )\p{Lu}[^ ]*', '\1@', 'g'), ' ') AS canon
+    ), quantified AS (
+        SELECT side, id, plain,
+               replace(regexp_replace(replace(regexp_replace(plain, '(^| )\p{N}[^ ]*', '\1#', 'g'), ' ', '  '),
+                       '#  (?i:UNITS)( |$)', '#  %\1', 'g'), '  ', ' ') AS marked
         FROM plain WHERE plain <> ''
-    ), item AS (
-        SELECT id AS item_id, len(raw) AS words, least(len(raw), 8) AS length, raw, canon FROM word WHERE side = 'item'
+    ), word AS (
+        SELECT side, id, 0 AS form, string_split(plain, ' ') AS raw,
+               string_split(regexp_replace(marked, '(^| )\p{Lu}[^ ]*', '\1@', 'g'), ' ') AS canon FROM quantified
+        UNION ALL SELECT side, id, 1, string_split(lower(plain), ' '), string_split(lower(marked), ' ') FROM quantified
+        UNION ALL SELECT side, id, 2, string_split(lower(plain), ' '), string_split(lower(plain), ' ') FROM quantified
+    ), option AS (
+        SELECT id AS item_id, form, len(raw) AS words, begin_at, length, least(begin_at, len(raw) - length) AS place, raw, canon
+        FROM (
+            SELECT *, unnest(range(0, len(raw) - least(len(raw), 8) + 1)) AS begin_at
+            FROM word WHERE side = 'item' AND len(raw) >= 5 AND id IS NOT NULL
+        ), (SELECT unnest([5, 6, 7, 8, 16, 32, 64, 128, 256, 512, 1024]) AS length)
+        WHERE length BETWEEN least(len(raw), 8) AND len(raw)
     ), item_window AS (
-        SELECT item_id, words, length, place,
-               canon[place + 1 : place + length] AS template, raw[place + 1 : place + length] AS theirs
-        FROM (SELECT *, unnest(list_distinct(list_append(range(0, words - length + 1, 4), words - length))) AS place FROM item)
+        SELECT item_id, form, words, begin_at, length, place, canon[place + 1 : place + length] AS template,
+               raw[place + 1 : place + length] AS theirs,
+               len(list_filter(canon[place + 1 : place + length], lambda w: w NOT IN ('#', '%', '@'))) AS literals
+        FROM option
+    ), wanted AS (
+        SELECT item_id, form, begin_at, min(length) AS length FROM item_window WHERE form < 2 AND literals >= 5 GROUP BY ALL
+        UNION ALL
+        SELECT item_id, 2, begin_at, length FROM item_window WHERE form = 1 AND literals < 5 AND length = least(words, 8)
     ), telling AS (
-        SELECT * FROM item_window WHERE len(list_filter(template, lambda w: w NOT IN ('#', '%', '@'))) >= 5
+        SELECT DISTINCT item_id, form, words, length, place, template, theirs
+        FROM item_window JOIN wanted USING (item_id, form, begin_at, length)
     ), doc_window AS (
-        SELECT id AS doc_id, pos, length, canon[pos + 1 : pos + length] AS template, raw[pos + 1 : pos + length] AS ours
+        SELECT id AS doc_id, form, pos, length, canon[pos + 1 : pos + length] AS template, raw[pos + 1 : pos + length] AS ours
         FROM (
             SELECT *, unnest(range(0, len(raw) - length + 1)) AS pos
-            FROM word, (SELECT DISTINCT length FROM telling) WHERE side = 'doc' AND len(raw) >= length
+            FROM word JOIN (SELECT DISTINCT form, length FROM telling) USING (form) WHERE side = 'doc' AND len(raw) >= length
         )
     ), matched AS (
-        SELECT DISTINCT doc_id, item_id, words, length, place, pos - place AS diagonal, template, theirs, ours
-        FROM doc_window JOIN telling USING (length, template)
+        SELECT DISTINCT doc_id, item_id, form, words, length, place, pos - place AS diagonal, template, theirs, ours
+        FROM doc_window JOIN telling USING (form, length, template)
     ), slot AS (
         SELECT doc_id, item_id, diagonal, kind, a, b, count(*) AS n
         FROM (
-            SELECT doc_id, item_id, diagonal, unnest(template) AS kind, unnest(theirs) AS a, unnest(ours) AS b FROM matched
-        ) WHERE kind IN ('#', '%', '@') GROUP BY ALL
+            SELECT DISTINCT doc_id, item_id, diagonal, spot, kind, CASE WHEN kind = '@' THEN a ELSE lower(a) END AS a,
+                   CASE WHEN kind = '@' THEN b ELSE lower(b) END AS b
+            FROM (
+                SELECT doc_id, item_id, diagonal, unnest(range(place, place + length)) AS spot, unnest(template) AS kind,
+                       unnest(theirs) AS a, unnest(ours) AS b FROM matched
+            ) WHERE kind IN ('#', '%', '@')
+        ) GROUP BY ALL
     ), unlike AS (
         SELECT doc_id, item_id, diagonal
         FROM (SELECT doc_id, item_id, diagonal, kind, a, sum(n) AS n, max(n) AS most FROM slot GROUP BY ALL)
