@@ -87,9 +87,9 @@ def _combined(level: Column, step: int) -> Column:
     return F.zip_with(level, F.slice(level, step + 1, F.size(level)), lambda x, y: F.xxhash64(x, y))
 
 
-def _steps(length: int) -> list[int]:
-    """How far the second half of a window begins after the first, from one word up to ``length``."""
-    steps, size = [], 1
+def _steps(length: int, size: int = 1) -> list[int]:
+    """How far the second half of a window begins after the first, from ``size`` words up to ``length``."""
+    steps = []
     while size < length:
         steps.append(min(size, length - size))
         size += steps[-1]
@@ -103,16 +103,25 @@ def _window_hash(hashes: Column, length: int) -> Column:
     return F.get(hashes, F.lit(0))
 
 
-def _with_window_hashes(df: DataFrame, columns: list[str], length: int) -> DataFrame:
-    """``columns`` (hashes of words) replaced by the hashes of the windows that start at each word, ``count`` of them.
+def _with_window_hashes(df: DataFrame, kinds: list[tuple[int, int]]) -> DataFrame:
+    """Add, for each (length, form), the hashes of the windows that start at each word of ``hashes<form>``.
 
-    A window is hashed as two halves, each level in a projection of its own: it is used twice.
+    A window is hashed as two halves, each level in a projection of its own: it is used twice. Windows of
+    twice the words are made of those of once the words.
     """
-    size = F.size(columns[0])
-    df = df.where(size >= length).withColumn("count", size - length + 1)
-    for step in _steps(length):
-        df = df.withColumns({c: _combined(F.col(c), step) for c in columns})
-    return df.withColumns({c: F.slice(c, F.lit(1), F.col("count")) for c in columns})
+    for form in sorted({f for _, f in kinds}):
+        made, size = f"hashes{form}", 1
+        for length in sorted(n for n, f in kinds if f == form):
+            if length % size:
+                made, size = f"hashes{form}", 1
+            name = f"windows{length}_{form}"
+            for step in _steps(length, size):
+                df = df.withColumn(name, _combined(F.col(made), step))
+                made = name
+            size = length
+            if length == 1:
+                df = df.withColumn(name, F.col(made))
+    return df
 
 
 def _lengths(width: int, most: int, min_literals: int) -> list[int]:
@@ -174,31 +183,34 @@ def text_key(text: Column) -> list[Column]:
 
 
 def window_hits(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFrame:
-    """``hash, at`` of every window of a text that hashes like a benchmark window, once a text.
+    """``length, hash, at`` of every window of a text that hashes like a benchmark window, once a text.
 
     Only hashes and places are exploded: a row that carried its text's words would copy them for
     every window. All forms are taken from one pass over the texts.
     """
     # One row per form and length: a few.
-    kinds = sorted({(r.length, r.form) for r in windows.select("length", "form").distinct().collect()})
-    hashes = windows.select("length", "hash").distinct()
-    small = hashes.count() <= BROADCAST_WINDOWS
+    kinds = sorted({(r.length, r.form) for r in windows.select("length", "form").distinct().collect()}) or [(WIDTH, CASED)]
+    wanted = windows.select("length", "hash").distinct()
+    small = wanted.count() <= BROADCAST_WINDOWS
     text = quoted(text_col)
+    forms = templates(F.col("plain"))
+    used = sorted({f for _, f in kinds})
     plain = docs.select(*text_key(text), plain_words(text).alias("plain"))
-    found = None
-    for length in sorted({n for n, _ in kinds}) or [WIDTH]:
-        forms = [f for n, f in kinds if n == length] or [CASED]
-        columns = [f"hashes{f}" for f in forms]
-        words = plain.select(*KEY, *[templates(F.col("plain"))[f].alias(f"words{f}") for f in forms])
-        hashed = words.select(*KEY, *[_hashes(F.col(f"words{f}"), f).alias(c) for f, c in zip(forms, columns, strict=True)])
-        wanted = hashes.where(F.col("length") == length).select("hash")
-        # The outer form: for the other one Catalyst infers a filter that computes the array once more.
-        placed = _with_window_hashes(hashed, columns, length).select(
-            *KEY, "count", F.posexplode_outer(F.concat(*columns)).alias("pos", "hash")
+    words = plain.select(*KEY, *[forms[f].alias(f"words{f}") for f in used])
+    hashed = words.select(*KEY, *[_hashes(F.col(f"words{f}"), f).alias(f"hashes{f}") for f in used])
+    hashed = hashed.withColumn("size", F.size(f"hashes{used[0]}")).where(F.col("size") >= kinds[0][0])
+    placed = _with_window_hashes(hashed, kinds)
+    every = [
+        F.struct(
+            F.lit(n).alias("length"),
+            F.slice(f"windows{n}_{f}", F.lit(1), F.greatest(F.col("size") - (n - 1), F.lit(0))).alias("hashes"),
         )
-        joined = placed.join(F.broadcast(wanted) if small else wanted, "hash", "left_semi")
-        joined = joined.select(*KEY, "hash", (F.col("pos") % F.col("count")).alias("at"))
-        found = joined if found is None else found.unionByName(joined)
+        for n, f in kinds
+    ]
+    # The outer form: for the other one Catalyst infers a filter that computes the array once more.
+    placed = placed.select(*KEY, F.explode(F.array(*every)).alias("kind"))
+    placed = placed.select(*KEY, "kind.length", F.posexplode_outer("kind.hashes").alias("at", "hash"))
+    found = placed.join(F.broadcast(wanted) if small else wanted, ["length", "hash"], "left_semi")
     return found.dropDuplicates([*KEY, "hash", "at"])
 
 
@@ -220,11 +232,11 @@ def matched_windows(docs: DataFrame, text_col: str, windows: DataFrame) -> DataF
             F.get("values", i).alias("theirs"), F.get("found", i).alias("ours"),
         ),
     )
+    found = hits.join(raw, KEY).withColumn("found", F.slice("raw", F.col("at") + 1, F.col("length"))).drop("raw")
     # A hash that many items share meets its texts once and its items here.
-    found = hits.join(raw, KEY).join(windows, "hash")
-    own = F.slice("raw", F.col("at") + 1, F.col("length"))
-    own = F.when(F.col("form") == CASED, own).otherwise(F.transform(own, lambda w: F.lower(w)))
-    found = found.where(F.col("at") + F.col("length") <= F.size("raw")).withColumn("found", own).drop("raw").withColumn("pairs", pairs)
+    found = found.join(windows, ["length", "hash"])
+    own = F.when(F.col("form") == CASED, F.col("found")).otherwise(F.transform("found", lambda w: F.lower(w)))
+    found = found.where(F.size("found") == F.col("length")).withColumn("found", own).withColumn("pairs", pairs)
     same = F.forall("pairs", lambda p: _is_slot(p["kind"]) | (p["theirs"] == p["ours"]))
     slots = F.filter("pairs", lambda p: _is_slot(p["kind"]))
     return found.where(same).select(
