@@ -54,3 +54,13 @@ def test_defined_cases(spark):
     # Beyond the whole numbers a double holds.
     large = [(i, [float(int(x * 1e6)) for x in v]) for i, v in vectors(200, 4, 5)]
     assert run(spark, large, k=3) == brute(large, 3, 10)
+
+
+def test_numbers_beyond_a_long_are_refused(spark):
+    schema = "vec_id long, embedding array<double>"
+    large = spark.createDataFrame([(0, [1e300, 1.0]), (1, [1.0, 2.0])], schema)
+    with pytest.raises(Exception, match="does not fit a long"):
+        top_k(large, F.col("vec_id") == 0)
+    with pytest.raises(OverflowError):
+        top_k(spark.createDataFrame([(0, [1e8, 1.0]), (1, [1.0, 2.0])], schema), F.col("vec_id") == 0)
+    assert [r.score for r in top_k(spark.createDataFrame([(0, [1e4, 1.0]), (1, [1.0, 2.0])], schema), F.col("vec_id") == 0).collect()]

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tideload.llm import toxicity as tox
@@ -148,3 +149,18 @@ def test_hash_table():
     assert (model.ratio(0, key) == np.arange(len(key))).all()
     assert np.isnan(model.ratio(0, np.setdiff1d(rng.integers(1, 1 << 44, 50_000).astype(np.uint64), key))).all()
     assert np.isnan(tox.Model(*tox.hash_table(key[:0], np.zeros(0, dtype=np.float32)), np.zeros(3)).ratio(5, key)).all()
+
+
+def test_long_texts_are_scored_as_a_whole(monkeypatch):
+    """Cut at any place: runs, windows and sums are those of one piece."""
+    rng = np.random.default_rng(3)
+    content = "".join(rng.choice(list("abc  d1é,"), 3000))
+    texts = pa.record_batch([pa.array(["short one", content, "", "x" * 90])], names=["text"])
+    known = np.unique(tox.runs_of([content.encode()])[0])
+    ratios = rng.normal(size=len(known)).astype(np.float32)
+    model = tox.Model(*tox.hash_table(tox.keys_of(tox.ORDER, known), ratios), np.zeros(3))
+    whole, runs = model.features(texts, 0), tox.runs_of([content.encode()])[0]
+    for size in (97, 100, 1024):
+        monkeypatch.setattr(tox, "SEGMENT", size)
+        assert np.allclose(model.features(texts, 0), whole)
+        assert (np.concatenate([run for run, _ in tox._pieces([content.encode()])]) == runs).all()

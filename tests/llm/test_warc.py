@@ -80,3 +80,24 @@ def test_empty_table_and_clashing_columns(spark, scratch):
     clash = spark.createDataFrame([(1, "u", "h", 2, 3, 4, 5)], SCHEMA + ", id int, size int, shard int, digest int")
     write_archives(clash, f"{scratch}/c")
     assert found(read_archives(spark, f"{scratch}/c")) == brute([(1, "u", "h")])
+
+
+def test_far_ids_and_many_pages_without_one(spark, scratch):
+    rows = [(i, f"http://x/{i}", f"page {i} " * 40) for i in range(1000)] + [(10**15, "http://far", "far"), (-(10**12), "http://low", "low")]
+    rows += [(None, f"http://n/{i}", f"nameless {i} " * 40) for i in range(400)]
+    manifest = write_archives(spark.createDataFrame(rows, SCHEMA), f"{scratch}/a", shard_bytes=20_000).collect()
+    named = [r for r in manifest if r.first_id is not None]
+    assert len(named) > 10 and max(r.n_records for r in named) < 150
+    assert len([r for r in manifest if r.first_id is None]) > 5
+    back = read_archives(spark, f"{scratch}/a")
+    assert found(back) == brute(rows)
+    # A task per file reads them back.
+    assert back.rdd.getNumPartitions() == len(manifest)
+    write_archives(spark.createDataFrame(rows[::-1], SCHEMA).repartition(3), f"{scratch}/b", shard_bytes=20_000)
+    assert files(f"{scratch}/b") == files(f"{scratch}/a")
+
+
+def test_one_id_with_all_pages(spark, scratch):
+    rows = [(7, f"http://x/{i}", f"page {i}" * 50) for i in range(100)]
+    manifest = write_archives(spark.createDataFrame(rows, SCHEMA), scratch, shard_bytes=1000, file_bytes=2000).collect()
+    assert {r.shard for r in manifest} == {0} and found(read_archives(spark, scratch)) == brute(rows)

@@ -144,10 +144,12 @@ def dedup_lines(
     lines = staged(keyed_lines(docs, id_col, text_col, min_chars), "lines")
     runs = LineRuns(spark, fanout)
     dropped = None
-    for chosen in _id_ranges(lines, batches):
-        part = runs.add_batch(lines.where(chosen))
-        dropped = part if dropped is None else dropped.unionByName(part)
-    runs.close()
+    try:
+        for chosen in _id_ranges(lines, batches):
+            part = runs.add_batch(lines.where(chosen))
+            dropped = part if dropped is None else dropped.unionByName(part)
+    finally:
+        runs.close()
     places = f"{OWN}places"
     # A document's places number no more than its lines.
     per_doc = dropped.groupBy(DOC, TEXT).agg(F.sort_array(F.collect_set(LINE)).alias(places))

@@ -172,7 +172,9 @@ def sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document, and the one it has once the last shard is gone."""
     fewer = SHARDS[:-1]
     tables = {"shard": (SHARDS, fill_table(SHARDS)), "shard_after_loss": (fewer, fill_table(fewer))}
-    return place(read_table(spark, folder, "documents").select("doc_id"), ["doc_id"], tables)
+    # Whole rows, so that those without an id are told apart.
+    placed = place(read_table(spark, folder, "documents"), ["doc_id"], tables)
+    return placed.select("doc_id", *tables)
 
 
 def vocabulary_path() -> str:

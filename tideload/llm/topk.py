@@ -15,7 +15,7 @@ exact whenever it stops. Shards answer by themselves, and their answers are merg
 Defined cases: vectors that are null, or hold null or non-finite components, and rows without an
 id take no part; shorter vectors end in zeros; an empty vector has score 0 with all; ties go to
 the smaller id; fully repeated rows count once; an empty table gives an empty result.
-Scores must fit a long.
+Scores must fit a long: vectors for which they may not are refused. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -42,7 +42,10 @@ def whole_numbers(vector: Column, scale: int) -> Column:
     finite = F.forall(
         vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf"))
     )
-    numbers = F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long"))
+    scaled = lambda x: F.lit(float(scale)) * x.cast("double")
+    fits = F.forall(vector, lambda x: F.abs(scaled(x)) < float(1 << 62))
+    error = F.raise_error(F.lit("a scaled component does not fit a long")).cast("array<bigint>")
+    numbers = F.when(fits, F.transform(vector, lambda x: F.floor(scaled(x)).cast("long"))).otherwise(error)
     return F.when(vector.isNotNull() & F.coalesce(finite, F.lit(False)), numbers)
 
 
@@ -150,7 +153,10 @@ def top_k(
         .dropDuplicates(["id", "numbers"])
     )
     rows = staged(rows, "vectors")
-    size = rows.agg(F.count(F.lit(1)), F.count_if("asks"), F.max(F.size("numbers"))).first()
+    most = F.max(F.greatest(F.array_max("numbers"), -F.array_min("numbers")))
+    size = rows.agg(F.count(F.lit(1)), F.count_if("asks"), F.max(F.size("numbers")), most).first()
+    if (size[2] or 0) * (size[3] or 0) ** 2 >= 1 << 63:
+        raise OverflowError("scores may not fit a long: take a smaller scale")
     shards = max(1, -(-size[0] // shard_rows))
     blocks = max(1, -(-size[1] // query_block))
     width = max(1, size[2] or 0)

@@ -16,8 +16,10 @@ with the distinct runs and is broadcast: a run never seen backs off. The curve i
 
 Defined cases: null and empty texts have no evidence and get the score of the curve's foot;
 a null id is in no fold and held out of training; repeated rows count each time; texts over
-``SEGMENT`` bytes are scored in segments, with windows inside one; a class without training
-documents gives even odds throughout; an empty table gives an empty result.
+``SEGMENT`` bytes are worked on piece by piece, each with the signs and values before it, so that their
+runs, windows and scores are those of the whole; labels with equal hashes are taken for the curve by
+their id; a class without training documents gives even odds throughout; columns of the caller named like
+the results are replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -58,8 +60,16 @@ def _signs() -> np.ndarray:
     return table
 
 
+def _packed(padded: np.ndarray) -> np.ndarray:
+    """The run of ORDER signs that ends at each sign, packed in an integer."""
+    run = np.zeros(len(padded), dtype=np.uint64)
+    for back in range(ORDER):
+        run[back:] |= padded[: len(padded) - back] << np.uint64(8 * back)
+    return run
+
+
 def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The run of ORDER signs that ends at each sign, packed in an integer, and the text each belongs to."""
+    """The run of ORDER signs that ends at each sign, and the text each belongs to."""
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     signs = _signs()[np.frombuffer(b"".join(texts), dtype=np.uint8)]
     owner = np.repeat(np.arange(len(texts)), sizes)
@@ -74,24 +84,38 @@ def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(len(signs)) + (owner + 1) * pad
     padded = np.full(len(signs) + pad * len(texts), SPACE, dtype=np.uint64)
     padded[place] = signs
-    run = np.zeros(len(padded), dtype=np.uint64)
-    for back in range(ORDER):
-        run[back:] |= padded[: len(padded) - back] << np.uint64(8 * back)
-    return run[place], owner
+    return _packed(padded)[place], owner
+
+
+def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """:func:`runs_of`; for one text over SEGMENT bytes in pieces, each run with the signs before its piece."""
+    if len(texts) != 1 or len(texts[0]) <= SEGMENT:
+        yield runs_of(texts)
+        return
+    carry, last = np.full(ORDER - 1, SPACE, dtype=np.uint64), np.uint8(SPACE)
+    for at in range(0, len(texts[0]), SEGMENT):
+        signs = _signs()[np.frombuffer(texts[0][at : at + SEGMENT], dtype=np.uint8)]
+        before = np.r_[last, signs[:-1]]
+        last = signs[-1]
+        padded = np.concatenate([carry, signs[(signs != SPACE) | (before != SPACE)].astype(np.uint64)])
+        carry = padded[len(padded) - (ORDER - 1) :]
+        run = _packed(padded)[ORDER - 1 :]
+        yield run, np.zeros(len(run), dtype=np.int64)
 
 
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Rows of a batch, about SEGMENT bytes at a time; a longer text comes in several pieces."""
+    """Rows of a batch, about SEGMENT bytes at a time; a longer text is alone."""
     rows, texts, held = [], [], 0
     for i, text in enumerate(batch.column(column)):
         content = text.as_py().encode("utf-8", "surrogatepass")
-        for at in range(0, max(1, len(content)), SEGMENT):
-            part = content[at : at + SEGMENT]
-            rows.append(i), texts.append(part)
-            held += len(part)
-            if held >= SEGMENT:
-                yield np.array(rows), texts
-                rows, texts, held = [], [], 0
+        if len(content) > SEGMENT:
+            yield np.array([i]), [content]
+            continue
+        rows.append(i), texts.append(content)
+        held += len(content)
+        if held >= SEGMENT:
+            yield np.array(rows), texts
+            rows, texts, held = [], [], 0
     if rows:
         yield np.array(rows), texts
 
@@ -123,10 +147,10 @@ def count_runs(labelled: DataFrame) -> DataFrame:
         for batch in batches:
             toxic = batch.column(1).to_numpy(zero_copy_only=False)
             for rows, texts in _slices(batch, 0):
-                found, owner = runs_of(texts)
-                key, count = np.unique(found << np.uint64(1) | toxic[rows][owner].astype(np.uint64), return_counts=True)
-                keys.append(key), counts.append(count)
-                held += len(key)
+                for found, owner in _pieces(texts):
+                    key, count = np.unique(found << np.uint64(1) | toxic[rows][owner].astype(np.uint64), return_counts=True)
+                    keys.append(key), counts.append(count)
+                    held += len(key)
             if held > 4_000_000:
                 key, count = merged()
                 keys, counts, held = [key], [count], len(key)
@@ -178,10 +202,9 @@ def log_ratios(counts: DataFrame) -> DataFrame:
         )
     # 256 signs at most: the shared end of both models.
     shared = levels[1].withColumn("both", F.col("toxic") + F.col("ordinary"))
-    total = shared.agg(F.sum("both").alias("all_both"))
-    low = shared.crossJoin(F.broadcast(total)).select(
-        "run", ((F.col("both") + 1.0) / (F.col("all_both") + 256.0)).alias("p_toxic")
-    ).withColumn("p_ordinary", F.col("p_toxic"))
+    total = shared.agg(F.sum("both")).scalar()
+    low = shared.select("run", ((F.col("both") + 1.0) / (total + 256.0)).alias("p_toxic"))
+    low = low.withColumn("p_ordinary", F.col("p_toxic"))
     found = None
     for order in range(1, ORDER + 1):
         grams = levels[order].withColumn("context", F.shiftright("run", 8))
@@ -268,19 +291,24 @@ class Model:
         total, signs = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
         best = np.full(batch.num_rows, -np.inf)
         for rows, texts in _slices(batch, column):
-            run, owner = runs_of(texts)
-            if not len(run):
-                continue
-            value = self.evidence(run).astype(np.float64)
-            summed = np.concatenate([[0.0], np.cumsum(value)])
-            ends = np.cumsum(np.bincount(owner, minlength=len(texts)))
-            starts = np.concatenate([[0], ends[:-1]])
-            np.add.at(total, rows, summed[ends] - summed[starts])
-            np.add.at(signs, rows, ends - starts)
-            left = np.maximum(np.arange(1, len(run) + 1) - WINDOW, starts[owner])
-            window = (summed[1:] - summed[left]) / WINDOW
-            some = ends > starts
-            np.maximum.at(best, rows[some], np.maximum.reduceat(window, starts[some]))
+            # The last values of the piece before, if a long text goes on.
+            tail = np.zeros(0)
+            for run, owner in _pieces(texts):
+                if not len(run):
+                    continue
+                value = self.evidence(run).astype(np.float64)
+                summed = np.concatenate([[0.0], np.cumsum(np.concatenate([tail, value]))])
+                own = len(tail)
+                ends = own + np.cumsum(np.bincount(owner, minlength=len(texts)))
+                starts = np.concatenate([[own], ends[:-1]])
+                np.add.at(total, rows, summed[ends] - summed[starts])
+                np.add.at(signs, rows, ends - starts)
+                begun = np.where(starts == own, 0, starts)
+                left = np.maximum(np.arange(own + 1, own + len(run) + 1) - WINDOW, begun[owner])
+                window = (summed[own + 1 :] - summed[left]) / WINDOW
+                some = ends > starts
+                np.maximum.at(best, rows[some], np.maximum.reduceat(window, starts[some] - own))
+                tail = value[-WINDOW:] if not own else np.concatenate([tail, value])[-WINDOW:]
         return np.column_stack([total / np.maximum(signs, 1), np.where(np.isfinite(best), best, 0.0)])
 
     def score(self, features: np.ndarray) -> np.ndarray:

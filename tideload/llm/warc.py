@@ -1,7 +1,7 @@
 """A deterministic sharded WARC writer, and the reader of its archives.
 
-Pages are dealt to shards by ranges of their id (an even grid; cells with too many bytes are cut
-finer), so names, order and bytes of the archives follow from the data alone. A task writes
+Pages are dealt to shards by ranges of their id (cells of a grid; cells with too many bytes are cut
+again), so names, order and bytes of the archives follow from the data alone. A task writes
 its shards in id order, one gzip member a record, and begins a new file once the current one
 has ``file_bytes``. A file is written under a temporary name and renamed when complete; the
 manifest, one row per file, is committed by Spark when all tasks are done, and the reader
@@ -10,10 +10,11 @@ follows it alone. A task that runs again writes the same bytes under the same na
 Of records with equal payloads the one with the smallest id is the response, the others revisit
 it. Only ids and digests are shuffled to find them.
 
-Defined cases: a null payload is empty; a null url leaves out its header; a page without an id
-is the last of shard 0, and a response unless a page with an id has its payload; of repeated
+Defined cases: a null payload is empty; a null url leaves out its header; pages without an id
+are in shards of their own behind the others, by their digest, and such a page is a response unless a page with an id has its payload; of repeated
 ids with equal payloads the first in the order of url is the response; an empty table gives no
-archive and an empty result. Ids are whole numbers.
+archive and an empty result. Ids are whole numbers. A payload of any length is one record, held
+in memory whole; columns of the caller other than id, url and payload are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideload.llm.common import filled, quoted
+from tideload.operators.ranged import interval_of
 from tideload.session import staged
 
 # Names and forms of the WARC 1.1 format.
@@ -42,6 +44,8 @@ RECORD_URN = "urn:x-record:"
 HTTP_TYPE = "application/http;msgtype=response"
 
 CELLS = 4096
+# Tasks that read archives back.
+MOST_TASKS = 20_000
 MANIFEST = "file string, shard long, n_records long, n_bytes long, first_id long, last_id long, sha1 string"
 RECORDS = (
     "id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
@@ -110,28 +114,59 @@ class _Archive:
         return self.name, self.shard, self.records, self.bytes, first, last, self.sha1.hexdigest()
 
 
+def _cuts(rows: DataFrame, shard_bytes: int) -> list[int]:
+    """The ids, ascending, at which shards after the first begin, so that each has about ``shard_bytes``.
+
+    The range of ids is cut into a grid; cells with more bytes than a shard are cut again, so that it
+    matters not how the ids lie. What follows from the data alone is the same in every run.
+    """
+    span = rows.agg(F.min("id"), F.max("id"), F.sum("size")).first()
+    if span[0] is None:
+        return []
+    open_ranges, cells = [(span[0], span[1] + 1, span[2])], []
+    while open_ranges:
+        # First id and width of the cells of each open range: in all no more than a few per shard, at least CELLS.
+        grids = []
+        for low, end, size in open_ranges:
+            count = max(CELLS // len(open_ranges), 16 * -(-size // shard_bytes))
+            grids.append((low, end, max(1, -(-(end - low) // count))))
+        bounds = F.array(*[F.lit(g[0]) for g in grids])
+        at = interval_of(F.col("id"), bounds, len(grids)) - 1
+        cell = [F.get(F.array(*[F.lit(g[i]) for g in grids]), at) for i in range(3)]
+        number = F.floor((F.col("id") - cell[0]) / cell[2])
+        inside = rows.where((at >= 0) & (F.col("id") < cell[1])).groupBy(at.alias("grid"), number.alias("cell"))
+        open_ranges = []
+        for r in inside.agg(F.sum("size").alias("size")).collect():
+            low, end, width = grids[r.grid]
+            begin = low + r.cell * width
+            found = (begin, min(begin + width, end), r["size"])
+            if r["size"] > shard_bytes and found[1] - begin > 1:
+                open_ranges.append(found)
+            else:
+                cells.append(found)
+        open_ranges.sort()
+    cuts, filled_bytes = [], 0
+    for low, _, size in sorted(cells):
+        if filled_bytes and filled_bytes + size > shard_bytes:
+            cuts.append(low)
+            filled_bytes = 0
+        filled_bytes += size
+    return cuts
+
+
 def _with_shards(rows: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
-    """Add ``shard``, ascending with ``id``; and the number of shards."""
-    span = rows.agg(F.min("id"), F.max("id")).first()
-    low, high = span[0] or 0, span[1] or 0
-    width = max(1, -(-(high - low + 1) // CELLS))
-    cell = F.coalesce(F.floor((F.col("id") - low) / width), F.lit(0))
-    # At most CELLS rows: the bytes of each cell of the grid.
-    sizes = dict(rows.groupBy(cell.alias("cell")).agg(F.sum("size")).collect())
-    table, shard, filled_bytes = [], 0, 0
-    for c in sorted(sizes):
-        parts = min(width, max(1, -(-sizes[c] // shard_bytes)))
-        if filled_bytes and (parts > 1 or filled_bytes + sizes[c] > shard_bytes):
-            shard, filled_bytes = shard + 1, 0
-        table.append((c, shard, -(-width // parts)))
-        if parts > 1:
-            shard += parts
-        else:
-            filled_bytes += sizes[c]
-    cells = rows.sparkSession.createDataFrame(table or [(0, 0, 1)], "cell long, first long, part_width long")
-    within = F.floor(F.coalesce((F.col("id") - low) - F.col("cell") * width, F.lit(0)) / F.col("part_width"))
-    dealt = rows.withColumn("cell", cell).join(F.broadcast(cells), "cell").withColumn("shard", F.col("first") + within)
-    return dealt.drop("cell", "first", "part_width"), shard + 1
+    """Add ``shard``, ascending with ``id``, rows without an id last, by their digest; and the number of shards."""
+    sizes = staged(rows.select("id", "size"), "sizes")
+    cuts = _cuts(sizes.where("id IS NOT NULL"), shard_bytes)
+    nameless = sizes.where("id IS NULL").agg(F.sum("size"), F.count(F.lit(1))).first()
+    # One row: a cut per shard.
+    bounds = rows.sparkSession.createDataFrame([(cuts,)], "cuts array<long>").scalar()
+    by_id = interval_of(F.col("id"), F.col("__llm_cuts"), max(len(cuts), 1))
+    shards, extra = len(cuts) + 1, -(-(nameless[0] or 0) // shard_bytes) or min(nameless[1], 1)
+    by_digest = F.lit(shards) + F.pmod(F.xxhash64("digest"), F.lit(max(extra, 1)))
+    dealt = rows.withColumn("__llm_cuts", bounds)
+    dealt = dealt.withColumn("shard", F.when(F.col("id").isNull(), by_digest).otherwise(by_id.cast("long")))
+    return dealt.drop("__llm_cuts"), shards + extra
 
 
 def write_archives(
@@ -161,7 +196,7 @@ def write_archives(
     # Written, so that its size is known when the join with the payloads is planned.
     repeated = staged(repeated.where("n > 1").select("digest", "holder"), "repeated-payloads")
     rows = rows.join(repeated, "digest", "left")
-    dealt, shards = _with_shards(rows.drop("digest"), shard_bytes)
+    dealt, shards = _with_shards(rows, shard_bytes)
     ordered = dealt.repartitionByRange(shards, "shard").sortWithinPartitions(
         "shard", F.col("id").asc_nulls_last(), F.col("url").asc_nulls_first(), "payload"
     )
@@ -236,7 +271,8 @@ def _id_of(urn: str) -> int | None:
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """One row per page record of the archives the manifest names, digests checked."""
-    files = spark.read.schema(MANIFEST).parquet(f"{path}/_manifest").select("file", "shard")
+    files = spark.read.schema(MANIFEST).parquet(f"{path}/_manifest").select("file")
+    count = files.count()
     names = [f.split()[0] for f in RECORDS.split(", ")]
     kinds = [pa.string(), pa.binary(), pa.int64()]
     kinds = [kinds[0] if f.endswith("string") else kinds[1] if f.endswith("binary") else kinds[2] for f in RECORDS.split(", ")]
@@ -274,5 +310,5 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
                 if rows:
                     yield out(rows)
 
-    # Files are dealt out by their shard, which is unique enough to spread them.
-    return files.repartition(F.col("file")).select("file").mapInArrow(run, RECORDS)
+    # A task a file: the names are few bytes, so the session would put them all into one.
+    return files.repartition(min(max(count, 1), MOST_TASKS)).mapInArrow(run, RECORDS)
