@@ -1,4 +1,10 @@
-"""The corpus pipeline: documents in, packed training sequences out, one operator a stage."""
+"""The corpus pipeline: documents in, packed training sequences out, one operator a stage.
+
+Defined cases, beside those of the operators: a null text scores like an empty one and is an empty text after
+line dedup; rows with a null id stay, as no stage can tell them apart by it; repeated rows are scored alike and
+stay or go together but for near copies, of which one row with the smallest id stays; empty tables give empty
+stages; columns beside ``doc_id`` and ``text`` are kept as they are, ``n_chars`` is counted anew.
+"""
 
 from __future__ import annotations
 

@@ -128,3 +128,18 @@ def test_pipeline_stage_by_stage(spark, con):
 def test_run_is_the_stages(spark):
     sizes = corpus_pipeline.run(spark, FOLDER).groupBy("sequence_id").sum("length").collect()
     assert sizes and all(r["sum(length)"] <= 1024 for r in sizes)
+
+
+def test_pipeline_of_odd_rows(spark):
+    """Nulls in any column, repeated rows, empty and long texts, no rows at all."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    long = "a long text of words " * 20_000
+    rows = [(None, None, None, None, None), (1, None, "en", "s", 0), (1, None, "en", "s", 0), (2, "", None, "s", 0), (3, long, "en", None, 1),
+            (4, "some clean words of a document", "en", "s", 1), (4, "some clean words of a document", "en", "s", 1)]
+    odd = spark.createDataFrame(rows, docs.schema)
+    for table, most in ((odd, len(rows)), (odd.limit(0), 0)):
+        for name, stage in corpus_pipeline.STAGES:
+            table = staged(stage(spark, table, FOLDER), name)
+            if name != "packing":
+                assert table.columns == docs.columns and table.count() <= most
+        assert {r.doc_id for r in table.collect()} == ({None, 1, 3, 4} if most else set())

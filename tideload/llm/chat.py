@@ -15,7 +15,8 @@ contents are copied into one buffer that becomes the column. A conversation long
 
 Defined cases: rows are ordered by turn, then role, then text, nulls first; a null role or text
 is empty; rows without a conversation id form one conversation without id; repeated rows are
-repeated turns; an empty table gives an empty result.
+repeated turns; an empty table gives an empty result. Texts of any length are one turn; of the caller's
+columns only those named in the call are read, so any others may have the names of results.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ with about ``fanout`` runs a level, and a key is rewritten once a level.
 
 Defined cases: a null text is one empty line; a null id keeps all its lines and holds no key;
 repeated rows of one id count as one document and lose the same lines; an empty table gives an
-empty result; result columns replace columns of the caller that have the same name.
+empty result; result columns replace columns of the caller that have the same name; texts and lines
+may have any length, a document is one row.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ at most one sequence per block and partition ends early. Sequence ids hold the p
 number in the bits above 33, and are the same when a task runs again.
 
 Defined cases: a null or empty text is its end id alone; null ids and repeated rows are packed
-like any row; one text of any length is cut as needed; an empty table gives an empty result.
+like any row; one text of any length is cut as needed; an empty table gives an empty result. Of the
+caller's columns only id and text are read, so any others may have the names of results.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ goes to the slot its key hashes to: one lookup in a broadcast table whose size i
 ``size``, whatever the data.
 
 Defined cases: a row whose key columns are all null is placed by a hash of the whole row, so
-such rows are spread; repeated rows go to the same shard; an empty table gives an empty result.
+such rows are spread; repeated rows go to the same shard; an empty table gives an empty result. Columns
+of the caller named ``slot`` or like an entry of the tables are replaced; texts may have any length.
 """
 
 from __future__ import annotations

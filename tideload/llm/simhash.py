@@ -18,7 +18,8 @@ given further prefix bits, and a task works off its variants in passes of bounde
 
 Defined cases: a null or empty text, or one without words, has fingerprint zero, linked like
 any other; a text of fewer words than a shingle is one shingle; repeated rows have the same
-class; a row with a null id gets a fingerprint and no class; an empty table an empty result.
+class; a row with a null id gets a fingerprint and no class; an empty table an empty result. Texts
+are worked on whole, whatever their length; columns of the caller may have any names.
 """
 
 from __future__ import annotations
