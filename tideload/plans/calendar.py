@@ -11,6 +11,7 @@ from tideload.functions.dates import iso_weekday, ordinal_suffix, week_of_month
 FIRST_DAY = "1970-01-01"
 DAYS = 29220
 
+# The names of the quarters.
 QUARTER_NAMES = ("First", "Second", "Third", "Fourth")
 
 
