@@ -264,3 +264,22 @@ def test_print_stream(spark, scratch, capfd):
     query = print_stream(stream, availableNow=True)
     assert query.awaitTermination(60)
     assert query.lastProgress["numInputRows"] == 3 and query.lastProgress["sink"]["description"].startswith("org.apache.spark.sql.execution.streaming")
+
+
+def test_fact_sums_are_not_exchanged(spark, scratch):
+    """Details are exchanged as they are, summed up where they lie; a delta is added in the files' ranges."""
+    given = inputs(spark, [(1, 1, 1, 1, 1, 5, None), (2, 1, 1, 1, 1, 6, 7), (3, 2, 1, 1, 2, 7, 7)], [1, 2], [(1, "flu"), (1, "flu")])
+    measures = {"m": F.col("amount") * 2, "n": F.col("tax")}
+    fact = invoice_fact(*given, measures)
+    assert rows(fact.select("service_id", "diagnosis_id", "m", "n")) == [(1, "flu", 44, 14), (2, None, 14, 7)]
+    for plan in (plan_of(fact), plan_of(fact_state(given, measures, by_range=True))):
+        summed = [i for i, line in enumerate(plan.splitlines()) if "sum(" in line]
+        moved = [i for i, line in enumerate(plan.splitlines()) if "Exchange" in line]
+        assert summed and not [i for i in moved if summed[0] < i < summed[1]]
+    table = RangedTable(spark, f"{scratch}/fact", FACT_KEYS)
+    table.create(fact_state(given, measures, by_range=True), placed=True)
+    gone = fact_state(given._replace(details=given.details.where("detail_id < 3")), measures)
+    negative = gone.select(*FACT_KEYS, *[(-F.col(c)).alias(c) for c in gone.columns if c not in FACT_KEYS])
+    more = fact_state(given._replace(details=given.details.where("detail_id = 3")), measures)
+    table.add(negative.unionByName(more), "n_rows")
+    assert rows(fact_of(table.read(), measures).select("service_id", "m", "n")) == [(2, 28, 14)]
