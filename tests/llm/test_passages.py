@@ -98,3 +98,28 @@ def test_recall_of_unlike_passages(docs_of):
             rows.append((2 * i + 1, " ".join(words(40, 8000 + i) + other + words(60, 9000 + i))))
         got = {(g[0], g[3]) for g in spans(shared_passages(docs_of(*rows)))}
         assert len(got & {(2 * i + 1, 2 * i) for i in range(60)}) >= least * 60, (length, identity)
+
+
+def test_parts_held_by_smaller_documents(docs_of):
+    """A passage is found though every seed of it has a smaller holder with a part of it only."""
+    passage = words(60, 21)
+    part = {1: passage[:26], 2: passage[22:48], 3: passage[44:]}  # also the seeds across the cuts
+    rows = [(i, " ".join(words(30, 300 + i) + part[i] + words(30, 310 + i))) for i in part]
+    rows += [(i, " ".join(words(40, 320 + i) + passage + words(50, 330 + i))) for i in (50, 51, 52, 53)]
+    got = spans(shared_passages(docs_of(*rows)))
+    assert {(i, 40, 100, 50, 40, 100) for i in (51, 52, 53)} <= set(got)
+    assert {g[1:3] + g[4:] for g in got} == {(40, 100, 40, 100)} and len(got) == len(set(got))
+
+
+def test_further_links_do_not_grow_with_the_square_of_equal_parts(docs_of):
+    """A short line in many documents costs a link each; two of them that share more around it are found."""
+    line, more = words(12, 41), words(50, 42)
+    rows = [(i, " ".join(words(60, 400 + i) + line + words(60, 800 + i))) for i in range(200)]
+    rows += [(i, " ".join(words(60, 1200 + i) + line + more + words(60, 1300 + i))) for i in (300, 301)]
+    rows.append((10_000, " ".join(words(60, 43) + more[:25] + words(60, 44) + more[22:] + words(60, 45))))
+    docs = docs_of(*rows)
+    shared = passages.shared_seeds(passages.seed_table(passages._rows(docs, "doc_id", "text")))
+    found = shared_passages(docs)
+    places = passages.neighbourhoods(shared, found.limit(0), 45)
+    assert 0 < passages.further_anchors(places).count() < 10 * len(rows)
+    assert [(g[0], g[3]) for g in spans(found)] == [(301, 300)]

@@ -3,11 +3,15 @@
 Texts become words (lower-cased, cut at ASCII white space) and words become hashes. Of every
 ``WINNOW`` neighbouring k-mers of ``K`` words the one with the least hash is a seed, so any run
 of ``K + WINNOW - 1`` equal words shares one; how many passages with scattered unequal words are
-found so is measured by a test. Each seed has one holder, the document with the
+found so is measured by a test. Each seed has one holder first, the document with the
 smallest id that has it. Every place of it in another document is linked to one place in the
 holder, the first to the first, the second to the second and so on, and from the start again
 if the holder has fewer: the links (anchors) are linear in a seed's places, however many there are.
 
+Places near a shared seed that no passage so found covers are linked once more, to all smaller documents that have
+their seeds: where several documents hold a part of a passage each, they have its seeds first. Places
+with the same seeds around them count as one class, with the smallest document for the rest (see ``further_anchors``).
+
 The anchors of a document and a holder are chained: f(i) = K + the best of 0 and
 f(j) - GAP_COST * (words skipped in both texts) over the anchors j before i in both, which a
 Fenwick tree over the holder's places answers, and chains are cut at gaps over ``MAX_GAP``
@@ -21,9 +25,10 @@ have no seeds; an id names one text, so repeated rows count once; repeats inside
 are not looked for; an empty table gives an empty result. Ids are whole numbers. Only id and text are
 read, so other columns may have the names of results; a text has fewer than 2**26 words.
 
-Not found: passages whose parts stand in several smaller documents, none of which holds enough of
-it, as these are the holders of its seeds; and nine in ten only from 55 words at 0.82 equal words, or
-100 at 0.8, on.
+A passage inside one that a smaller document was found for may lack its further holders. Not found: passages whose shared seeds
+all belong to lines of under ``APART + K`` words that over ``CROWD`` classes of places have; passages that another
+document of its class does not have, for words between the seeds; and nine in ten only from 55 words at 0.82 equal words,
+or 100 at 0.8, on.
 """
 
 from __future__ import annotations
@@ -47,6 +52,9 @@ MARGIN = 40
 LEAST_SPAN = 8
 LONG_UNEQUAL = 8
 MIN_WORDS = 45
+# Seeds of more classes of places link documents that share a second seed, so many words away.
+CROWD = 64
+APART = 15
 MIN_IDENTITY = 0.8
 SLICE_BYTES = 2 << 20
 PLACE_BITS = 26  # words a slice can have
@@ -174,28 +182,157 @@ def _parted(pair: str, high: str, low: str) -> list[Column]:
     return [F.shiftright(pair, 32).cast("int").alias(high), F.col(pair).bitwiseAND((1 << 32) - 1).cast("int").alias(low)]
 
 
-def anchors(seeds: DataFrame) -> DataFrame:
-    """``doc, at, holder, holder_at``: every place of a seed outside its holder."""
+def shared_seeds(seeds: DataFrame) -> DataFrame:
+    """``seed, doc, nth, at, holder, held, holder_at, more``: every place of the seeds that several documents have.
+
+    ``holder``: the smallest document with the seed, ``held`` its number of places there, ``holder_at`` the first of
+    them; ``more``: three documents or more have it.
+    """
     first = (
         seeds.where("nth = 0")  # one row per document
         .groupBy("seed")
-        .agg(F.min("doc").alias("holder"), F.max("doc").alias("last"), F.min_by(_paired("times", "at"), "doc").alias("first"))
+        .agg(
+            F.min("doc").alias("holder"),
+            F.max("doc").alias("last"),
+            F.min_by(_paired("times", "at"), "doc").alias("first"),
+            (F.count(F.lit(1)) > 2).alias("more"),
+        )
         .where("holder < last")
-        .select("seed", "holder", *_parted("first", "held", "holder_at"))
+        .select("seed", "holder", *_parted("first", "held", "holder_at"), "more")
     )
     # Written, so that both sides of the join are plain exchanges, whose hot partitions are split at run time.
     first = staged(first, "holders")
     places = seeds.select("seed", "doc", _paired("nth", "at").alias("place"))
-    joined = places.join(first, "seed").where("doc > holder")
-    joined = joined.select("seed", "doc", "holder", "held", "holder_at", *_parted("place", "nth", "at"))
+    joined = places.join(first, "seed")
+    return joined.select("seed", "doc", *_parted("place", "nth", "at"), "holder", "held", "holder_at", "more")
+
+
+def anchors(shared: DataFrame) -> DataFrame:
+    """``doc, at, holder, holder_at``: every place of a seed outside its holder."""
+    joined = shared.where("doc > holder")
     once = joined.where("held = 1").select("doc", "at", "holder", "holder_at")
     # Few seeds repeat inside a text: their places in the holder are looked up.
-    repeats = seeds.where("times > 1").select("seed", F.col("doc").alias("holder"), F.col("at").alias("holder_at"), "nth")
+    repeats = shared.where("doc = holder AND held > 1").select("seed", "holder", F.col("at").alias("holder_at"), "nth")
     more = joined.where("held > 1").select("seed", "doc", "at", "holder", (F.col("nth") % F.col("held")).alias("nth"))
     found = more.join(repeats.dropDuplicates(["seed", "holder", "nth"]), ["seed", "holder", "nth"])
     return once.unionByName(found.select("doc", "at", "holder", "holder_at"))
 
 
+def _open_places(at: np.ndarray, seed: np.ndarray, asks: np.ndarray, more: np.ndarray, spans: list[tuple[int, int]], reach: int):
+    """Of one document's shared places, in order: those to link again, and the hash of the seeds of their neighbourhood."""
+    covered = np.zeros(len(at), dtype=bool)
+    for start, end in spans:
+        covered[np.searchsorted(at, start) : np.searchsorted(at, end - K, side="right")] = True
+    bare = at[asks & ~covered]
+    near = np.searchsorted(bare, at + reach, side="right") > np.searchsorted(bare, at - reach)
+    first = np.flatnonzero(np.r_[True, np.diff(at) > MAX_GAP])
+    group = np.cumsum(np.r_[False, np.diff(at) > MAX_GAP])
+    tokens = _mixed(seed.view(np.uint64) + (at - at[first][group]).astype(np.uint64) * _KMER_BASE)
+    content = _mixed(np.add.reduceat(tokens, first)).view(np.int64)
+    # A seed of two documents has had its one link; only with others around it can that become part of a longer chain.
+    again = np.logical_or.reduceat(near & asks & more, first)[group]
+    return near & asks & again, content[group]
+
+
+def neighbourhoods(shared: DataFrame, found: DataFrame, min_words: int) -> DataFrame:
+    """``seed, doc, at, content, open`` of the shared places.
+
+    ``open``: the place is within ``min_words`` words of a shared one that no passage of ``found`` covers, and has
+    smaller documents. ``content``: one number for all seeds around it, up to gaps over ``MAX_GAP``, and their distances.
+    """
+    long, no = F.lit(None).cast("long"), F.lit(False)
+    places = shared.select("doc", F.lit(0).alias("kind"), "at", F.lit(0).alias("end"), "seed", (F.col("doc") > F.col("holder")).alias("asks"), "more")
+    covers = found.select("doc", F.lit(1).alias("kind"), F.col("start").alias("at"), "end", long.alias("seed"), no.alias("asks"), no.alias("more"))
+    placed = places.unionByName(covers).repartition("doc").sortWithinPartitions("doc", "kind", "at", "seed")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["seed", "doc", "at", "content", "open"]
+
+        def out(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            doc, kind, at, end = (rows.column(i).to_numpy() for i in range(4))
+            seed = rows.column(4).fill_null(0).to_numpy()
+            asks, more = (rows.column(i).to_numpy(zero_copy_only=False) for i in (5, 6))
+            change = np.flatnonzero(doc[1:] != doc[:-1]) + 1
+            parts = []
+            for begun, stop in zip(np.r_[0, change], np.r_[change, len(doc)], strict=True):
+                last = begun + int(np.searchsorted(kind[begun:stop], 1))
+                if last == begun:
+                    continue
+                # Repeated rows give a place twice.
+                own = np.arange(begun, last)[np.r_[True, np.diff(at[begun:last]) > 0]]
+                spans = list(zip(at[last:stop].tolist(), end[last:stop].tolist(), strict=True))
+                opened, content = _open_places(at[own], seed[own], asks[own], more[own], spans, min_words)
+                parts.append((seed[own], doc[own], at[own], content, opened))
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=names)
+
+        carry: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if carry is None else pa.concat_tables([carry, rows])
+            doc = rows.column(0).to_numpy()
+            split = int(np.argmax(doc == doc[-1]))  # the rows are sorted: the last document goes on to the end
+            carry = rows.slice(split)
+            if split:
+                yield from out(rows.slice(0, split))
+        if carry is not None:
+            yield from out(carry)
+
+    return placed.mapInArrow(run, "seed long, doc long, at int, content long, open boolean")
+
+
+def further_anchors(places: DataFrame) -> DataFrame:
+    """``doc, at, holder, holder_at``: links of the open places to every smaller document with the seed, by class.
+
+    Places of a seed with the same seeds around them are a class. The smallest document of a class stands for it: it is linked to
+    those of the other classes, and the rest of the class to it. Seeds of over ``CROWD`` classes, such as those of a
+    short line that many texts have, link the documents that share another seed too: one that is not crowded, or
+    a crowded one ``APART`` words or more, and up to a gap more, away.
+    """
+    classes = staged(
+        places.groupBy("seed", "content").agg(
+            F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"), F.max("open").alias("open")
+        ),
+        "classes",
+    )
+    reps = classes.select("seed", "content", F.col("first.doc").alias("holder"), F.col("first.at").alias("holder_at"), "last", "open")
+    members = places.where("open").join(reps.where("holder < last").drop("last", "open"), ["seed", "content"]).where("doc > holder")
+    crowded = staged(reps.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("seed"), "crowded-seeds")
+    few = _between(reps.join(crowded, "seed", "left_anti"), ["seed"])
+    many = staged(reps.join(crowded, "seed", "left_semi"), "crowded")
+    pairs = few.select("doc", "holder").unionByName(_sharing_two(many)).distinct()
+    asking = _asking(many).join(pairs, "doc")
+    again = asking.join(many.select("seed", "content", "holder", "holder_at"), ["seed", "holder"]).where("own <> content")
+    columns = ["doc", "at", "holder", "holder_at"]
+    return few.select(*columns).unionByName(again.select(*columns)).unionByName(members.select(*columns))
+
+
+def _asking(reps: DataFrame) -> DataFrame:
+    renamed = {"content": "own", "holder": "doc", "holder_at": "at"}
+    return reps.where("open").drop("open", "last").withColumnsRenamed(renamed)
+
+
+def _between(reps: DataFrame, key: list[str]) -> DataFrame:
+    """The open classes of a key with all its classes of smaller documents."""
+    return _asking(reps).join(reps.drop("last", "open"), key).where("doc > holder AND own <> content")
+
+
+def _sharing_two(reps: DataFrame) -> DataFrame:
+    """``doc, holder``: documents that share two seeds so far apart that a chain of both is ``APART + K`` words at least."""
+    reach = APART + MAX_GAP
+    left = reps.withColumn("cell", F.expr(f"holder_at DIV {reach}"))
+    right = reps.select(
+        "holder", "content", F.col("seed").alias("second"), F.col("holder_at").alias("second_at"),
+        F.explode(F.expr(f"array(holder_at DIV {reach}, holder_at DIV {reach} - 1)")).alias("cell"),
+    )
+    both = left.join(right, ["holder", "content", "cell"]).where(f"second_at - holder_at >= {APART} AND second_at - holder_at < {reach}")
+    both = both.groupBy("seed", "second", "content", "holder").agg(F.max("open").alias("open"), F.min("holder_at").alias("holder_at"))
+    both = staged(both.withColumn("last", F.col("holder")), "crowded-twos")
+    return _between(both, ["seed", "second"]).select("doc", "holder")
+
+
 def chain(b: np.ndarray, a: np.ndarray) -> list[np.ndarray]:
     """Collinear chains of anchors (in the order of ``b``, then ``a``), best first, as lists of places."""
     n = len(b)
@@ -424,8 +561,23 @@ def shared_passages(
     rows = _rows(docs, id_col, text_col)
     with without_old_shuffles(docs.sparkSession):  # each step is written, and its exchanges are needed no more
         seeds = staged(seed_table(rows), "seeds")
-        chained = staged(chains(anchors(seeds), min_words), "chains")
-        fetched = staged(segments(rows, chained), "segments")
+        shared = staged(shared_seeds(seeds), "shared-seeds")
+        chained = staged(chains(anchors(shared), min_words), "chains")
+        found = staged(_aligned(rows, chained, min_words, min_identity), "passages")
+        # What the first holders do not account for is linked to the other documents that have its seeds.
+        places = staged(neighbourhoods(shared, found, min_words), "neighbourhoods")
+        further = staged(chains(further_anchors(places), min_words), "further-chains")
+        more = staged(_aligned(rows, further, min_words, min_identity), "further-passages")
+    before = found.alias("b")
+    within = [F.col(f"m.{c}") == F.col(f"b.{c}") for c in ("doc", "holder")]
+    within += [F.col(f"m.{c}") >= F.col(f"b.{c}") for c in ("start", "holder_start")]
+    within += [F.col(f"m.{c}") <= F.col(f"b.{c}") for c in ("end", "holder_end")]
+    return found.unionByName(more.alias("m").join(before, within, "left_anti"))
+
+
+def _aligned(rows: DataFrame, chained: DataFrame, min_words: int, min_identity: float) -> DataFrame:
+    """The passages along some chains."""
+    fetched = staged(segments(rows, chained), "segments")
     theirs = fetched.select(
         F.col("doc").alias("holder"), F.col("start").alias("holder_start"), F.col("end").alias("holder_end"), F.col("words").alias("holder_words")
     )
