@@ -40,8 +40,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideload.files import remove_folder
 from tideload.llm.common import filled, quoted
-from tideload.session import staged, without_old_shuffles
+from tideload.session import fresh_dir, staged, without_old_shuffles
 
 K = 5
 WINNOW = 4
@@ -559,9 +560,12 @@ def shared_passages(
 ) -> DataFrame:
     """One row per passage of a document (by words, ends exclusive) that its holder, a document with a smaller id, has too."""
     rows = _rows(docs, id_col, text_col)
-    with without_old_shuffles(docs.sparkSession):  # each step is written, and its exchanges are needed no more
-        seeds = staged(seed_table(rows), "seeds")
+    spark = docs.sparkSession
+    with without_old_shuffles(spark):  # each step is written, and its exchanges are needed no more
+        folder = fresh_dir(spark, "seeds")
+        seeds = staged(seed_table(rows), "seeds", folder)
         shared = staged(shared_seeds(seeds), "shared-seeds")
+        remove_folder(spark, folder)  # most seeds are in one document only
         chained = staged(chains(anchors(shared), min_words), "chains")
         found = staged(_aligned(rows, chained, min_words, min_identity), "passages")
         # What the first holders do not account for is linked to the other documents that have its seeds.
