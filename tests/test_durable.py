@@ -283,3 +283,25 @@ def test_fact_sums_are_not_exchanged(spark, scratch):
     more = fact_state(given._replace(details=given.details.where("detail_id = 3")), measures)
     table.add(negative.unionByName(more), "n_rows")
     assert rows(fact_of(table.read(), measures).select("service_id", "m", "n")) == [(2, 28, 14)]
+
+
+def test_fact_build_exchanges_details_by_patient_only(spark):
+    """The diagnoses join the sums where these lie: no exchange of one row per detail and diagnosis."""
+    details = spark.createDataFrame(
+        [(1, 1, 1, 1, 5), (1, 1, 1, 1, 7), (2, 1, 1, 2, 3), (2, None, 1, 2, 4), (3, 1, 1, 9, 8), (3, 1, 1, None, 8)],
+        "service_id int, hospital_id int, doctor_id int, patient_id int, m long",
+    )
+    patients = spark.createDataFrame([(1,), (2,), (2,), (None,)], "patient_id int")
+    admissions = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (1, "x"), (1, None), (9, "a")], "patient_id int, diagnosis_id string")
+    diagnoses = spark.createDataFrame([("a",), ("b",)], "diagnosis_id string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = invoice_fact(details, patients, admissions, diagnoses, ["m"])
+        plan = plan_of(fact)
+        got = rows(fact)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "hashpartitioning(service_id" in line]
+    want = [(1, 1, 1, 1, "a", 24), (1, 1, 1, 1, "b", 12), (1, 1, 1, 1, None, 24), (2, 1, 1, 2, None, 3), (2, None, 1, 2, None, 4)]
+    assert got == sorted(want, key=str)
