@@ -305,3 +305,16 @@ def test_fact_build_exchanges_details_by_patient_only(spark):
     assert not [line for line in plan.splitlines() if "Exchange" in line and "hashpartitioning(service_id" in line]
     want = [(1, 1, 1, 1, "a", 24), (1, 1, 1, 1, "b", 12), (1, 1, 1, 1, None, 24), (2, 1, 1, 2, None, 3), (2, None, 1, 2, None, 4)]
     assert got == sorted(want, key=str)
+
+
+def test_cells_are_exchanged_as_mutations(spark, scratch, monkeypatch):
+    """A part that is read is bounded by the text of the store, whatever the session joins, and cells come after the exchange."""
+    monkeypatch.setattr("tideload.sources.cellstore.READ_BYTES", 1 << 14)
+    store = FileCells(f"{scratch}/store")
+    df = spark.range(0, 5000, 1, 4).selectExpr("id", "id * 2 AS v", "uuid() AS w")
+    write_mutations(to_mutations(df, ["id"]), store, "first")
+    write_mutations(to_mutations(df.where("id < 9"), ["id"], F.col("id") < 3), store, "second")
+    read = store.read(spark)
+    assert not [line for line in plan_of(read).splitlines() if "Exchange" in line and "qualifier" in line]
+    assert read.rdd.getNumPartitions() > 20
+    assert read.count() == 2 * 4997

@@ -22,11 +22,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from tideload.operators.cells import MUTATION_FIELDS
+from tideload.session import small_tasks
 
 # The writer travels with the job, so executors need no copy of the library.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+# Shuffled mutations that a writing task sorts, and text of mutations that a reading task has, about.
+SORTED_BYTES = 4 << 20
+READ_BYTES = 16 << 20
+
+
 class CellTask(Protocol):
     """What one task writes, in the order of the row keys."""
 
@@ -107,7 +113,8 @@ def write_mutations(mutations: DataFrame, client: CellClient, job: str | None =
     mutations.sparkSession.dataSource.register(CellSource)
     # Ranges of the key: each task writes to its own part of the store.
     ordered = mutations.select("rowkey", "family", "deleted", "cells").repartitionByRange("rowkey").sortWithinPartitions("rowkey")
-    ordered.write.format(source).mode("append").save()
+    with small_tasks(mutations.sparkSession, SORTED_BYTES):
+        ordered.write.format(source).mode("append").save()
     return job
 
 
@@ -143,16 +150,19 @@ class FileCells:
     def read(self, spark: SparkSession) -> DataFrame:
         """The cells ``rowkey, family, qualifier, value`` that a reader of the store finds."""
         store, root = self._store()
-        files, numbers = [], []
+        files, numbers, size = [], [], 0
         for number, info in enumerate(sorted(store.get_file_info(fs.FileSelector(f"{root}/jobs")), key=lambda f: f.base_name)):
             if info.base_name.endswith(".json"):
                 with store.open_input_stream(info.path) as job:
                     names = json.loads(job.read())
                 files += [f"{self.path}/{n}" for n in names]
                 numbers += [(n.rpartition("/")[2], number) for n in names]
+                size += sum(f.size for f in store.get_file_info([f"{root}/{n}" for n in names]))
         # One row per committed task.
         order = F.broadcast(spark.createDataFrame(numbers, "task string, job int"))
         rows = spark.read.schema(MUTATION_FIELDS).json(files).withColumn("task", F.col("_metadata.file_name")).join(order, "task")
+        # Mutations are exchanged whole, to parts of a size that does not grow with the store, and taken apart there.
+        rows = rows.repartition(max(spark.sparkContext.defaultParallelism, -(-size // READ_BYTES)), "rowkey")
         gone = rows.where("deleted").groupBy("rowkey").agg(F.max("job").alias("gone"))
         cells = rows.where("NOT deleted").select("rowkey", "family", "job", F.inline("cells"))
         kept = cells.join(gone, "rowkey", "left").where("gone IS NULL OR job > gone")
