@@ -123,3 +123,31 @@ def test_further_links_do_not_grow_with_the_square_of_equal_parts(docs_of):
     places = passages.neighbourhoods(shared, found.limit(0), 45)
     assert 0 < passages.further_anchors(places).count() < 10 * len(rows)
     assert [(g[0], g[3]) for g in spans(found)] == [(301, 300)]
+
+
+def test_further_links_are_linear_in_crowds_of_unlike_neighbourhoods(docs_of):
+    """A line of two distant seeds, next to another one each time, costs links by the place, not by the pair."""
+    line, more = words(30, 61), words(40, 62)
+    rows = [(i, " ".join(words(60, 2000 + i) + line + words(14, 2600 + i % 75) + words(60, 3000 + i))) for i in range(150)]
+    rows += [(i, " ".join(words(60, 3600 + i) + line + more + words(60, 3700 + i))) for i in (300, 301)]
+    rows += [(200, " ".join(words(60, 63) + more[:25] + words(60, 64) + more[22:] + words(60, 65)))]
+    docs = docs_of(*rows)
+    shared = passages.shared_seeds(passages.seed_table(passages._rows(docs, "doc_id", "text")))
+    found = shared_passages(docs)
+    groups = passages.neighbourhoods(shared, found.limit(0), 45)
+    assert passages.further_anchors(groups).count() < 40 * len(rows)
+    assert [(g[0], g[1], g[2], g[3]) for g in spans(found)] == [(301, 60, 130, 300)]
+
+
+def test_equal_passages_settle_what_lies_well_inside():
+    at = np.arange(0, 300, 3)
+    none, every = np.zeros(100, dtype=bool), np.ones(100, dtype=bool)
+    seed = np.arange(100, dtype=np.int64)
+    span = np.array([0]), np.array([200]), np.array([True])
+    first, _, opened, kept = passages._open_groups(at, seed, every, every, *span, 45)
+    assert first.tolist() == [0] and at[opened].min() == 198 - 45 and opened[at > 195].all()
+    assert at[kept].min() == 153  # the rest also lies in the smaller document
+    whole = np.array([0]), np.array([302]), np.array([True])
+    assert not passages._open_groups(at, seed, every, every, *whole, 45)[3].any()
+    whole = np.array([0]), np.array([302]), np.array([False])
+    assert passages._open_groups(at, seed, none, none, *whole, 45)[3].all()

@@ -8,9 +8,10 @@ smallest id that has it. Every place of it in another document is linked to one
 holder, the first to the first, the second to the second and so on, and from the start again
 if the holder has fewer: the links (anchors) are linear in a seed's places, however many there are.
 
-Places near a shared seed that no passage so found covers are linked once more, to all smaller documents that have
-their seeds: where several documents hold a part of a passage each, they have its seeds first. Places
-with the same seeds around them count as one class, with the smallest document for the rest (see ``further_anchors``).
+Places near a shared seed that no passage so found covers are linked once more, by longer keys: runs and distant pairs
+of seeds, each to the smallest document that has the key. Where several documents hold a part of a passage each, they
+have its seeds first, but not the keys across the parts. Places with the same seeds around them count as one class,
+with the smallest document for the rest (see ``further_anchors``). These links too are linear in the places.
 
 The anchors of a document and a holder are chained: f(i) = K + the best of 0 and
 f(j) - GAP_COST * (words skipped in both texts) over the anchors j before i in both, which a
@@ -25,10 +26,10 @@ have no seeds; an id names one text, so repeated rows count once; repeats inside
 are not looked for; an empty table gives an empty result. Ids are whole numbers. Only id and text are
 read, so other columns may have the names of results; a text has fewer than 2**26 words.
 
-A passage inside one that a smaller document was found for may lack its further holders. Not found: passages whose shared seeds
-all belong to lines of under ``APART + K`` words that over ``CROWD`` classes of places have; passages that another
-document of its class does not have, for words between the seeds; and nine in ten only from 55 words at 0.82 equal words,
-or 100 at 0.8, on.
+A passage has its holders by key, not all it has; so one inside another may lack holders. Not found: passages with unequal
+words all of whose keys some smaller documents with a part have; passages whose seeds that no first holder accounts
+for span under ``FURTHER_SPAN`` words; passages that another document of its class does not have, for words between
+the seeds; and nine in ten only from 55 words at 0.82 equal words, or 100 at 0.8, on.
 """
 
 from __future__ import annotations
@@ -53,9 +54,11 @@ MARGIN = 40
 LEAST_SPAN = 8
 LONG_UNEQUAL = 8
 MIN_WORDS = 45
-# Seeds of more classes of places link documents that share a second seed, so many words away.
-CROWD = 64
-APART = 15
+# Words that a chain of further links spans at least: less is a short line that many texts have.
+FURTHER_SPAN = 20
+# Keys of the further links: runs of so many seeds, and pairs so many words apart.
+RUNS = (4, 8, 16)
+APART = (15, 30)
 MIN_IDENTITY = 0.8
 SLICE_BYTES = 2 << 20
 PLACE_BITS = 26  # words a slice can have
@@ -184,10 +187,10 @@ def _parted(pair: str, high: str, low: str) -> list[Column]:
 
 
 def shared_seeds(seeds: DataFrame) -> DataFrame:
-    """``seed, doc, nth, at, holder, held, holder_at, more``: every place of the seeds that several documents have.
+    """``doc, at, seed, holder, holder_at, more``: every place of the seeds that several documents have.
 
-    ``holder``: the smallest document with the seed, ``held`` its number of places there, ``holder_at`` the first of
-    them; ``more``: three documents or more have it.
+    ``holder``: the smallest document with the seed (maybe this one), ``holder_at``: the place there that this one is
+    linked to; ``more``: three documents or more have the seed.
     """
     first = (
         seeds.where("nth = 0")  # one row per document
@@ -203,135 +206,218 @@ def shared_seeds(seeds: DataFrame) -> DataFrame:
     )
     # Written, so that both sides of the join are plain exchanges, whose hot partitions are split at run time.
     first = staged(first, "holders")
+    # Few seeds repeat inside a text: all their places in the holder are looked up.
+    several = first.where("held > 1").select("seed", F.col("holder").alias("doc"))
+    theirs = seeds.where("times > 1").join(several, ["seed", "doc"]).groupBy("seed").agg(F.sort_array(F.collect_set(_paired("nth", "at"))).alias("all_at"))
+    once = first.where("held = 1").withColumn("all_at", F.lit(None).cast("array<long>"))
+    holders = once.unionByName(first.where("held > 1").join(theirs, "seed"))
     places = seeds.select("seed", "doc", _paired("nth", "at").alias("place"))
-    joined = places.join(first, "seed")
-    return joined.select("seed", "doc", *_parted("place", "nth", "at"), "holder", "held", "holder_at", "more")
-
-
-def anchors(shared: DataFrame) -> DataFrame:
-    """``doc, at, holder, holder_at``: every place of a seed outside its holder."""
-    joined = shared.where("doc > holder")
-    once = joined.where("held = 1").select("doc", "at", "holder", "holder_at")
-    # Few seeds repeat inside a text: their places in the holder are looked up.
-    repeats = shared.where("doc = holder AND held > 1").select("seed", "holder", F.col("at").alias("holder_at"), "nth")
-    more = joined.where("held > 1").select("seed", "doc", "at", "holder", (F.col("nth") % F.col("held")).alias("nth"))
-    found = more.join(repeats.dropDuplicates(["seed", "holder", "nth"]), ["seed", "holder", "nth"])
-    return once.unionByName(found.select("doc", "at", "holder", "holder_at"))
-
-
-def _open_places(at: np.ndarray, seed: np.ndarray, asks: np.ndarray, more: np.ndarray, spans: list[tuple[int, int]], reach: int):
-    """Of one document's shared places, in order: those to link again, and the hash of the seeds of their neighbourhood."""
-    covered = np.zeros(len(at), dtype=bool)
-    for start, end in spans:
-        covered[np.searchsorted(at, start) : np.searchsorted(at, end - K, side="right")] = True
-    bare = at[asks & ~covered]
-    near = np.searchsorted(bare, at + reach, side="right") > np.searchsorted(bare, at - reach)
+    nth = (F.shiftright("place", 32) % F.col("held")).cast("int")
+    found = F.when(F.col("held") == 1, F.col("holder_at")).otherwise(F.get("all_at", nth).bitwiseAND((1 << 32) - 1).cast("int"))
+    return places.join(holders, "seed").select("doc", _parted("place", "nth", "at")[1], "seed", "holder", found.alias("holder_at"), "more")
+
+
+def by_document(shared: DataFrame) -> DataFrame:
+    """One row per document: its shared places in order, as arrays."""
+    kinds = dict(zip(SHARED, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()), strict=True))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches, 1):
+            doc, at = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+            # Repeated rows give a place twice.
+            own = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])])
+            doc = doc[own]
+            begun = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+            ends = pa.array(np.r_[begun, len(own)].astype(np.int32))
+            columns = [rows.column(i).to_numpy(zero_copy_only=False)[own] for i in range(1, len(SHARED))]
+            lists = [pa.ListArray.from_arrays(ends, pa.array(c, k)) for c, k in zip(columns, list(kinds.values())[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[begun]), *lists], names=SHARED)
+
+    placed = shared.repartition("doc").sortWithinPartitions("doc", "at")
+    return placed.mapInArrow(run, "doc long, at array<int>, seed array<long>, holder array<long>, holder_at array<int>, more array<boolean>")
+
+
+SHARED = ["doc", "at", "seed", "holder", "holder_at", "more"]
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Sorted rows in parts that hold all rows of an equal start of ``keys`` columns."""
+    carry: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy() for i in range(keys)]
+        last = np.logical_and.reduce([c == c[-1] for c in columns])
+        split = int(np.argmax(last))  # the last group goes on to the end
+        if not split and carry and all(carry[-1].column(i)[-1] == batch.column(i)[0] for i in range(keys)):
+            carry.append(batch)
+            continue
+        if carry or split:
+            yield pa.concat_batches([*carry, batch.slice(0, split)])
+        carry = [batch.slice(split)]
+    if carry:
+        yield pa.concat_batches(carry)
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all lists of a column, and the row each belongs to."""
+    sizes = column.value_lengths().fill_null(0).to_numpy()
+    return column.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(sizes)), sizes)
+
+
+def first_chains(shared: DataFrame, least: int) -> DataFrame:
+    """The chains (see ``chains``) of the links of every shared place to the first holder of its seed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            at, row = _flat(batch.column(1))
+            holder, holder_at = _flat(batch.column(2))[0], _flat(batch.column(3))[0]
+            doc = ids[row]
+            order = np.flatnonzero(doc > holder)
+            order = order[np.lexsort((holder_at[order], at[order], holder[order], row[order]))]
+            if len(order):
+                yield from _chained(doc[order], at[order], holder[order], holder_at[order], least)
+
+    return shared.select("doc", "at", "holder", "holder_at").mapInArrow(run, CHAIN_FIELDS)
+
+
+def _within(at: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Which places lie in one of the stretches, ends included."""
+    begun, end = np.searchsorted(at, low), np.searchsorted(at, high, side="right")
+    some = begun < end
+    change = np.bincount(begun[some], minlength=len(at) + 1) - np.bincount(end[some], minlength=len(at) + 1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def _open_groups(at: np.ndarray, seed: np.ndarray, asks: np.ndarray, more: np.ndarray, start: np.ndarray, end: np.ndarray, exact: np.ndarray, reach: int):
+    """Of shared places in order, where passages were found: their groups' first ones and contents, which places are open, and which are kept."""
     first = np.flatnonzero(np.r_[True, np.diff(at) > MAX_GAP])
-    group = np.cumsum(np.r_[False, np.diff(at) > MAX_GAP])
-    tokens = _mixed(seed.view(np.uint64) + (at - at[first][group]).astype(np.uint64) * _KMER_BASE)
-    content = _mixed(np.add.reduceat(tokens, first)).view(np.int64)
+    sizes = np.diff(np.r_[first, len(at)])
+    last = first + sizes - 1
+    bare = at[asks & more & ~_within(at, start, end - K)]
+    near = np.searchsorted(bare, at + reach, side="right") > np.searchsorted(bare, at - reach)
+    tokens = _mixed(seed.view(np.uint64) + (at - np.repeat(at[first], sizes)).astype(np.uint64) * _KMER_BASE)
     # A seed of two documents has had its one link; only with others around it can that become part of a longer chain.
-    again = np.logical_or.reduceat(near & asks & more, first)[group]
-    return near & asks & again, content[group]
+    opened = near & asks & np.repeat(np.logical_or.reduceat(near & asks & more, first), sizes)
+    # What lies well inside an equal passage, its smaller document has too.
+    start, end = start[exact], end[exact]
+    of = np.clip(np.searchsorted(at[first], start, side="right") - 1, 0, None), np.clip(np.searchsorted(at[first], end, side="right") - 1, 0, None)
+    low = np.where(at[first[of[0]]] < start, start + reach, start)
+    low = np.where((start > at[last[of[0]]]) | (at[first[of[0]]] >= start), start, low)
+    high = np.where(at[last[of[1]]] + K > end, end - reach, end) - K
+    return first, _mixed(np.add.reduceat(tokens, first)).view(np.int64), opened, near | ~_within(at, low, high)
 
 
 def neighbourhoods(shared: DataFrame, found: DataFrame, min_words: int) -> DataFrame:
-    """``seed, doc, at, content, open`` of the shared places.
+    """``doc, content, at, seed, open`` of the groups of shared places, in arrays; a group goes on up to gaps over ``MAX_GAP``.
 
     ``open``: the place is within ``min_words`` words of a shared one that no passage of ``found`` covers, and has
-    smaller documents. ``content``: one number for all seeds around it, up to gaps over ``MAX_GAP``, and their distances.
+    smaller documents. ``content``: one number for all its seeds and their distances. Left out are groups that lie
+    well inside passages that are equal word for word: the smaller document has them.
     """
-    long, no = F.lit(None).cast("long"), F.lit(False)
-    places = shared.select("doc", F.lit(0).alias("kind"), "at", F.lit(0).alias("end"), "seed", (F.col("doc") > F.col("holder")).alias("asks"), "more")
-    covers = found.select("doc", F.lit(1).alias("kind"), F.col("start").alias("at"), "end", long.alias("seed"), no.alias("asks"), no.alias("more"))
-    placed = places.unionByName(covers).repartition("doc").sortWithinPartitions("doc", "kind", "at", "seed")
+    spans = found.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "end", (F.col("identity") == 1).alias("exact")))).alias("spans"))
+    spans = spans.select("doc", *[F.col(f"spans.{c}").alias(c) for c in ("start", "end", "exact")])
+    packed = shared if dict(shared.dtypes)["at"] == "array<int>" else by_document(shared)
+    joined = packed.join(spans, "doc", "left").select(*SHARED, "start", "end", "exact")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["seed", "doc", "at", "content", "open"]
-
-        def out(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            doc, kind, at, end = (rows.column(i).to_numpy() for i in range(4))
-            seed = rows.column(4).fill_null(0).to_numpy()
-            asks, more = (rows.column(i).to_numpy(zero_copy_only=False) for i in (5, 6))
-            change = np.flatnonzero(doc[1:] != doc[:-1]) + 1
-            parts = []
-            for begun, stop in zip(np.r_[0, change], np.r_[change, len(doc)], strict=True):
-                last = begun + int(np.searchsorted(kind[begun:stop], 1))
-                if last == begun:
-                    continue
-                # Repeated rows give a place twice.
-                own = np.arange(begun, last)[np.r_[True, np.diff(at[begun:last]) > 0]]
-                spans = list(zip(at[last:stop].tolist(), end[last:stop].tolist(), strict=True))
-                opened, content = _open_places(at[own], seed[own], asks[own], more[own], spans, min_words)
-                parts.append((seed[own], doc[own], at[own], content, opened))
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=names)
-
-        carry: pa.Table | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = pa.Table.from_batches([batch])
-            rows = rows if carry is None else pa.concat_tables([carry, rows])
-            doc = rows.column(0).to_numpy()
-            split = int(np.argmax(doc == doc[-1]))  # the rows are sorted: the last document goes on to the end
-            carry = rows.slice(split)
-            if split:
-                yield from out(rows.slice(0, split))
-        if carry is not None:
-            yield from out(carry)
-
-    return placed.mapInArrow(run, "seed long, doc long, at int, content long, open boolean")
-
-
-def further_anchors(places: DataFrame) -> DataFrame:
-    """``doc, at, holder, holder_at``: links of the open places to every smaller document with the seed, by class.
-
-    Places of a seed with the same seeds around them are a class. The smallest document of a class stands for it: it is linked to
-    those of the other classes, and the rest of the class to it. Seeds of over ``CROWD`` classes, such as those of a
-    short line that many texts have, link the documents that share another seed too: one that is not crowded, or
-    a crowded one ``APART`` words or more, and up to a gap more, away.
+            ids = batch.column(0).to_numpy()
+            at, row = _flat(batch.column(1))
+            seed, holder, more = (_flat(batch.column(i))[0] for i in (2, 3, 5))
+            (start, span_row), end, exact = _flat(batch.column(6)), _flat(batch.column(7))[0], _flat(batch.column(8))[0].astype(bool)
+            # All documents on one line, further apart than anything reaches.
+            length = np.zeros(len(ids), dtype=np.int64)
+            np.maximum.at(length, row, at)
+            np.maximum.at(length, span_row, end)
+            begun = np.cumsum(length + 4 * (min_words + MAX_GAP)) - length
+            line, low, high = at + begun[row], start + begun[span_row], end + begun[span_row]
+            first, content, opened, kept = _open_groups(line, seed, ids[row] > holder, more, low, high, exact, min_words)
+            sizes = np.diff(np.r_[first, len(at)])
+            used = np.logical_or.reduceat(kept, first)
+            take = np.repeat(used, sizes)
+            ends = pa.array(np.r_[0, np.cumsum(sizes[used])].astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x[take])) for x in (at, seed, opened)]
+            columns = [pa.array(ids[row[first[used]]]), pa.array(content[used])]
+            yield pa.RecordBatch.from_arrays([*columns, *lists], names=["doc", "content", "at", "seed", "open"])
+
+    return joined.mapInArrow(run, "doc long, content long, at array<int>, seed array<long>, open array<boolean>")
+
+
+def further_anchors(groups: DataFrame) -> DataFrame:
+    """``doc, at, holder, holder_at``: links of the open places to smaller documents, linear in the places.
+
+    Groups with the same seeds at the same distances are a class. The smallest document of a class stands for it: the
+    rest of the class is linked to it, and it to others by its keys (see ``_keys``), each to the smallest
+    document with the key, the first and the last place of a key to those there.
     """
-    classes = staged(
-        places.groupBy("seed", "content").agg(
-            F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"), F.max("open").alias("open")
-        ),
-        "classes",
-    )
-    reps = classes.select("seed", "content", F.col("first.doc").alias("holder"), F.col("first.at").alias("holder_at"), "last", "open")
-    members = places.where("open").join(reps.where("holder < last").drop("last", "open"), ["seed", "content"]).where("doc > holder")
-    crowded = staged(reps.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("seed"), "crowded-seeds")
-    few = _between(reps.join(crowded, "seed", "left_anti"), ["seed"])
-    many = staged(reps.join(crowded, "seed", "left_semi"), "crowded")
-    pairs = few.select("doc", "holder").unionByName(_sharing_two(many)).distinct()
-    asking = _asking(many).join(pairs, "doc")
-    again = asking.join(many.select("seed", "content", "holder", "holder_at"), ["seed", "holder"]).where("own <> content")
+    classes = groups.groupBy("content").agg(F.min("doc").alias("holder"))
+    same, opened = F.col("doc") == F.col("holder"), F.array_contains("open", True)
+    placed = staged(groups.join(staged(classes, "classes"), "content").where(same | opened), "groups")
+    # A document may have a group twice.
+    reps = placed.where(same).groupBy("content", "doc").agg(F.min(F.struct("at", "seed", "open")).alias("g"))
+    reps = staged(reps.select("content", "doc", "g.*"), "representatives")
+    theirs = reps.select("content", F.col("at").alias("holder_at"))
+    members = placed.where(~same).join(theirs, "content").select("doc", "holder", F.inline(F.filter(F.arrays_zip("open", "at", "holder_at"), lambda x: x["open"])))
+    each = reps.select("doc", "content", F.inline(F.arrays_zip("at", "seed", "open")))
+    wanted = staged(each.where("open").select("seed").distinct(), "open-seeds")
+    keys = staged(_keys(each.join(wanted, "seed", "left_semi")), "keys")
+    first = keys.where("first").groupBy("key").agg(
+        F.min("doc").alias("holder"), F.max("doc").alias("last"), F.min_by(_paired("at", "end"), "doc").alias("held"), F.max("open").alias("open"),
+    )
+    first = first.where("holder < last AND open").select("key", "holder", *_parted("held", "holder_at", "holder_end"))
+    linked = keys.where("open").join(staged(first, "key-holders"), "key").where("doc > holder")
+    ends = F.array(*[F.struct(F.col(a).alias("at"), F.col(b).alias("holder_at")) for a, b in (("at", "holder_at"), ("end", "holder_end"))])
     columns = ["doc", "at", "holder", "holder_at"]
-    return few.select(*columns).unionByName(again.select(*columns)).unionByName(members.select(*columns))
-
+    return members.select(*columns).unionByName(linked.select("doc", "holder", F.inline(ends)).select(*columns).distinct())
 
-def _asking(reps: DataFrame) -> DataFrame:
-    renamed = {"content": "own", "holder": "doc", "holder_at": "at"}
-    return reps.where("open").drop("open", "last").withColumnsRenamed(renamed)
 
+def _keys(places: DataFrame) -> DataFrame:
+    """``key, doc, at, end, open, first`` of every place, within its group, and the last place of the key.
 
-def _between(reps: DataFrame, key: list[str]) -> DataFrame:
-    """The open classes of a key with all its classes of smaller documents."""
-    return _asking(reps).join(reps.drop("last", "open"), key).where("doc > holder AND own <> content")
-
+    Keys are all runs of ``RUNS`` seeds that follow each other, whatever words lie between, and pairs with the
+    first seeds that are ``APART`` words away. A long run is in those documents only
+    that have its words, a pair also where words between them differ. ``first``: the document's first place of the key.
+    """
 
-def _sharing_two(reps: DataFrame) -> DataFrame:
-    """``doc, holder``: documents that share two seeds so far apart that a chain of both is ``APART + K`` words at least."""
-    reach = APART + MAX_GAP
-    left = reps.withColumn("cell", F.expr(f"holder_at DIV {reach}"))
-    right = reps.select(
-        "holder", "content", F.col("seed").alias("second"), F.col("holder_at").alias("second_at"),
-        F.explode(F.expr(f"array(holder_at DIV {reach}, holder_at DIV {reach} - 1)")).alias("cell"),
-    )
-    both = left.join(right, ["holder", "content", "cell"]).where(f"second_at - holder_at >= {APART} AND second_at - holder_at < {reach}")
-    both = both.groupBy("seed", "second", "content", "holder").agg(F.max("open").alias("open"), F.min("holder_at").alias("holder_at"))
-    both = staged(both.withColumn("last", F.col("holder")), "crowded-twos")
-    return _between(both, ["seed", "second"]).select("doc", "holder")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_groups(batches, 1):
+            doc, content, at = (batch.column(i).to_numpy() for i in range(3))
+            seed, opened = batch.column(3).to_numpy().view(np.uint64), batch.column(4).to_numpy(zero_copy_only=False)
+            n = len(at)
+            begun = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (content[1:] != content[:-1]) | (np.diff(at) > MAX_GAP + max(APART))])
+            sizes = np.diff(np.r_[begun, n])
+            stop = np.repeat(begun + sizes, sizes)
+            # All groups on one line.
+            length = at[begun + sizes - 1] - at[begun] + 2 * max(APART)
+            line = at + np.repeat(np.cumsum(length) - length - at[begun], sizes)
+            parts = []
+            runs, size = _mixed(seed), 1
+            while 2 * size <= max(RUNS):
+                i = np.arange(max(0, n - 2 * size + 1))
+                runs = _mixed(runs[i] * _KMER_BASE + runs[i + size])
+                size *= 2
+                if size in RUNS:
+                    whole = i[i + size <= stop[i]]
+                    parts.append((size, runs[whole], whole, whole + size - 1))
+            for apart in APART:
+                j = np.searchsorted(line, line + apart)
+                i = np.flatnonzero(j < stop)
+                parts.append((100 + apart, seed[i] * _KMER_BASE + _mixed(seed[j[i]]), i, j[i]))
+            key = np.concatenate([_mixed(k + np.uint64(kind) * _WORD_BASE) for kind, k, _, _ in parts])
+            i, j = (np.concatenate([part[at_part] for part in parts]) for at_part in (2, 3))
+            order = np.lexsort((i, doc[i], key))
+            first = np.zeros(len(key), dtype=bool)
+            new = (key[order][1:] != key[order][:-1]) | (doc[i[order]][1:] != doc[i[order]][:-1])
+            first[order[np.flatnonzero(np.r_[len(key) > 0, new])]] = True
+            columns = [key.view(np.int64), doc[i], at[i], at[j], opened[i] | opened[j], first]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "doc", "at", "end", "open", "first"])
+
+    placed = places.repartition("doc").sortWithinPartitions("doc", "at").select("doc", "content", "at", "seed", "open")
+    return placed.mapInArrow(run, "key long, doc long, at int, end int, open boolean, first boolean")
 
 
 def chain(b: np.ndarray, a: np.ndarray) -> list[np.ndarray]:
@@ -386,48 +472,46 @@ def chain(b: np.ndarray, a: np.ndarray) -> list[np.ndarray]:
 CHAIN_FIELDS = "doc long, holder long, start int, end int, holder_start int, holder_end int, at array<int>, holder_at array<int>"
 
 
-def chains(anchor_rows: DataFrame, min_words: int) -> DataFrame:
-    """One row per chain that can be part of a passage of ``min_words`` words; ends are exclusive."""
+def _chained(doc: np.ndarray, at: np.ndarray, holder: np.ndarray, holder_at: np.ndarray, least: int, gap: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The chains of sorted anchors; with ``gap``, of those between wider gaps each, in the texts and between diagonals."""
+    names = [f.split()[0] for f in CHAIN_FIELDS.split(", ")]
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.list_(pa.int32()), pa.list_(pa.int32())]
+    apart = (doc[1:] != doc[:-1]) | (holder[1:] != holder[:-1])
+    if gap is not None and len(doc):
+        # A step of a chain skips ``gap`` words at most on either side, so it changes the diagonal by no more.
+        group, diagonal = np.cumsum(np.r_[False, apart]), at.astype(np.int64) - holder_at
+        order = np.lexsort((diagonal, group))
+        group, diagonal = group[order], diagonal[order]
+        band = np.empty(len(doc), dtype=np.int64)
+        band[order] = np.cumsum(np.r_[False, (group[1:] != group[:-1]) | (np.diff(diagonal) > gap)])
+        order = np.argsort(band, kind="stable")  # within a band still by place
+        doc, at, holder, holder_at, band = (x[order] for x in (doc, at, holder, holder_at, band))
+        apart = (band[1:] != band[:-1]) | (np.diff(at) > gap)
+    change = np.flatnonzero(apart) + 1
+    begins, ends = np.r_[0, change], np.r_[change, len(doc)]
+    wide = at[ends - 1] + K - at[begins] >= least
+    found = []
+    for begun, end in zip(begins[wide], ends[wide], strict=True):
+        b, a = at[begun:end], holder_at[begun:end]
+        for members in chain(b, a):
+            own, theirs = b[members], a[members]
+            if own[-1] + K - own[0] >= least and theirs[-1] + K - theirs[0] >= least:
+                found.append((doc[begun], holder[begun], own[0], own[-1] + K, theirs[0], theirs[-1] + K, own, theirs))
+    for at_row in range(0, len(found), 5000):
+        part = zip(*found[at_row : at_row + 5000], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(part, kinds, strict=True)], names=names)
+
+
+def chains(anchor_rows: DataFrame, least: int) -> DataFrame:
+    """One row per chain that spans ``least`` words in both documents; ends are exclusive."""
     placed = anchor_rows.repartition("doc").sortWithinPartitions("doc", "holder", "at", "holder_at")
-    least = max(K, min(LEAST_SPAN, min_words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in CHAIN_FIELDS.split(", ")]
-        kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.list_(pa.int32()), pa.list_(pa.int32())]
-
-        def out(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            doc, at, holder, holder_at = columns
-            change = np.flatnonzero((doc[1:] != doc[:-1]) | (holder[1:] != holder[:-1])) + 1
-            found = []
-            for begun, end in zip(np.r_[0, change], np.r_[change, len(doc)], strict=True):
-                if at[end - 1] + K - at[begun] < least:
-                    continue
-                b, a = at[begun:end], holder_at[begun:end]
-                for members in chain(b, a):
-                    own, theirs = b[members], a[members]
-                    if own[-1] + K - own[0] >= least and theirs[-1] + K - theirs[0] >= least:
-                        ends = (own[0], own[-1] + K, theirs[0], theirs[-1] + K)
-                        found.append((doc[begun], holder[begun], *ends, own, theirs))
-            for at_row in range(0, len(found), 5000):
-                part = zip(*found[at_row : at_row + 5000], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(part, kinds, strict=True)], names=names)
-
-        carry: list[np.ndarray] | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [c.to_numpy() for c in batch.columns]
-            if carry is not None:
-                columns = [np.concatenate(pair) for pair in zip(carry, columns, strict=True)]
-            last = (columns[0] == columns[0][-1]) & (columns[2] == columns[2][-1])
-            split = int(np.argmax(last))  # the rows are sorted: the last group goes on to the end
-            carry = [c[split:] for c in columns]
-            if split:
-                yield from out([c[:split] for c in columns])
-        if carry is not None:
-            yield from out(carry)
+        for rows in _whole_groups(batches, 2):
+            doc, holder, at, holder_at = (c.to_numpy() for c in rows.columns)
+            yield from _chained(doc, at, holder, holder_at, least, MAX_GAP)
 
-    return placed.select("doc", "at", "holder", "holder_at").mapInArrow(run, CHAIN_FIELDS)
+    return placed.select("doc", "holder", "at", "holder_at").mapInArrow(run, CHAIN_FIELDS)
 
 
 def segments(rows: DataFrame, chain_rows: DataFrame) -> DataFrame:
@@ -558,19 +642,21 @@ def shared_passages(
     min_words: int = MIN_WORDS,
     min_identity: float = MIN_IDENTITY,
 ) -> DataFrame:
-    """One row per passage of a document (by words, ends exclusive) that its holder, a document with a smaller id, has too."""
+    """One row per passage of a document (by words, ends exclusive) and holder, a document with a smaller id that has it too."""
     rows = _rows(docs, id_col, text_col)
     spark = docs.sparkSession
     with without_old_shuffles(spark):  # each step is written, and its exchanges are needed no more
         folder = fresh_dir(spark, "seeds")
         seeds = staged(seed_table(rows), "seeds", folder)
-        shared = staged(shared_seeds(seeds), "shared-seeds")
+        places = staged(shared_seeds(seeds), "shared-seeds", shared_folder := fresh_dir(spark, "shared-seeds"))
         remove_folder(spark, folder)  # most seeds are in one document only
-        chained = staged(chains(anchors(shared), min_words), "chains")
+        shared = staged(by_document(places), "documents")
+        remove_folder(spark, shared_folder)
+        chained = staged(first_chains(shared, max(K, min(LEAST_SPAN, min_words))), "chains")
         found = staged(_aligned(rows, chained, min_words, min_identity), "passages")
         # What the first holders do not account for is linked to the other documents that have its seeds.
-        places = staged(neighbourhoods(shared, found, min_words), "neighbourhoods")
-        further = staged(chains(further_anchors(places), min_words), "further-chains")
+        groups = staged(neighbourhoods(shared, found, min_words), "neighbourhoods")
+        further = staged(chains(further_anchors(groups), max(K, min(FURTHER_SPAN, min_words))), "further-chains")
         more = staged(_aligned(rows, further, min_words, min_identity), "further-passages")
     before = found.alias("b")
     within = [F.col(f"m.{c}") == F.col(f"b.{c}") for c in ("doc", "holder")]
