@@ -259,6 +259,13 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.R
         yield pa.concat_batches(carry)
 
 
+def _few_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row holds a document's arrays: some hundreds at a time, to bound the memory of a worker."""
+    for batch in batches:
+        for at_row in range(0, batch.num_rows, 512):
+            yield batch.slice(at_row, 512)
+
+
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The values of all lists of a column, and the row each belongs to."""
     sizes = column.value_lengths().fill_null(0).to_numpy()
@@ -269,7 +276,7 @@ def first_chains(shared: DataFrame, least: int) -> DataFrame:
     """The chains (see ``chains``) of the links of every shared place to the first holder of its seed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few_documents(batches):
             ids = batch.column(0).to_numpy()
             at, row = _flat(batch.column(1))
             holder, holder_at = _flat(batch.column(2))[0], _flat(batch.column(3))[0]
@@ -322,9 +329,7 @@ def neighbourhoods(shared: DataFrame, found: DataFrame, min_words: int) -> DataF
     joined = packed.join(spans, "doc", "left").select(*SHARED, "start", "end", "exact")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _few_documents(batches):
             ids = batch.column(0).to_numpy()
             at, row = _flat(batch.column(1))
             seed, holder, more = (_flat(batch.column(i))[0] for i in (2, 3, 5))
