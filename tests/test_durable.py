@@ -19,10 +19,11 @@ from tideload.operators.ranged import RangedTable
 from tideload.operators.sequences import KeyMap, Sequences
 from tideload.plans.billing import at_stage, receipts, stage_position
 from tideload.plans.loads import LoadSpec, run_all, run_full
-from tideload.plans.warehouse import FACT_KEYS, FactInputs, add_fact_delta, fact_delta, fact_of, fact_state, invoice_fact, merge_fact_delta
+from tideload.plans.warehouse import FACT_KEYS, FactInputs, HeadedInputs, add_fact_delta, fact_delta, fact_of, fact_state, invoice_fact, merge_fact_delta
 from tideload.queries.billing import filled_headers, open_headers, sponsors
 from tideload.queries.loading import skewed_lines
 from tideload.queries.registry import Tables
+from tideload.session import joins_by_some_keys
 from tideload.sources.cellstore import FileCells, write_mutations
 from tideload.sources.extract import balanced_predicates, read_split
 
@@ -318,3 +319,67 @@ def test_cells_are_exchanged_as_mutations(spark, scratch, monkeypatch):
     assert not [line for line in plan_of(read).splitlines() if "Exchange" in line and "qualifier" in line]
     assert read.rdd.getNumPartitions() > 20
     assert read.count() == 2 * 4997
+
+
+@pytest.mark.parametrize("each_admission", [True, False])
+def test_fact_delta_of_details_whose_heads_have_the_patient(spark, scratch, each_admission):
+    """The same fact; details are exchanged once, by their head, to be marked and joined, and sums are never hashed."""
+    rng = random.Random(5)
+    details = [(h, d, rng.randrange(3), 1, rng.randrange(2), rng.choice([None, rng.randrange(90)])) for h in [*range(30), None] for d in range(3)]
+    heads = [(h, rng.choice([None, *range(9)])) for h in [*range(28), 3, None]]
+    stays = [(rng.choice([None, *range(8)]), rng.choice(["flu", "cold", "other", None])) for _ in range(12)]
+    schema = "head int, detail int, service_id int, hospital_id int, doctor_id int, amount long"
+    measures = {"m": F.col("amount") * 2, "n": F.when(F.col("amount") > 40, 1)}
+
+    def given(rows_, admissions, apart):
+        lines, tops = spark.createDataFrame(rows_, schema), spark.createDataFrame(heads, "head int, patient_id int")
+        patients = spark.createDataFrame([(p,) for p in range(8)], "patient_id int")
+        known = spark.createDataFrame([("flu",), ("cold",)], "diagnosis_id string")
+        admitted = spark.createDataFrame(admissions, "patient_id int, diagnosis_id string")
+        if apart:
+            return HeadedInputs(lines, patients, admitted, known, tops, ["head"])
+        return FactInputs(lines.join(tops, "head"), patients, admitted, known)
+
+    now = [(*r[:5], None if r[5] is None else r[5] + 1) if r[1] == 1 else r for r in details if r[0] != 4] + [(6, 9, 1, 1, 1, 50)]
+    changed = spark.createDataFrame([(h, d) for h in range(30) for d in (0, 1, 2) if d == 1 or h == 4] + [(6, 9), (6, 9)], "head int, detail int")
+    moved = spark.createDataFrame([(p,) for p, _ in stays[:2]], "patient_id int")
+    before, after = (details, stays), (now, stays[2:])
+    want = rows(invoice_fact(*given(*after, False), measures, each_admission))
+    setting = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    held = {k: spark.conf.get(k) for k in setting}
+    try:
+        for key, value in setting.items():
+            spark.conf.set(key, value)
+        table = RangedTable(spark, f"{scratch}/fact", FACT_KEYS)
+        state = fact_state(given(*before, True), measures, each_admission, by_range=True)
+        table.create(state, placed=True, unique=True)
+        whole = rows(fact_delta(given(*before, False), given(*after, False), ["head", "detail"], changed, moved, measures, each_admission))
+        delta = fact_delta(given(*before, True), given(*after, True), ["head", "detail"], changed, moved, measures, each_admission, by_range=True)
+        assert rows(delta) == whole
+        assert merge_fact_delta(table, delta, "one", placed=True).written and merge_fact_delta(table, delta, "one", placed=True) is None
+        with joins_by_some_keys(spark):
+            plan = plan_of(delta.select("*"))
+    finally:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+    assert rows(fact_of(table.read(), list(measures))) == want
+    # Two for the distinct keys, none for the details.
+    assert sum("hashpartitioning(head" in line and "detail" in line for line in plan.splitlines()) == 2
+    assert not [line for line in [*plan.splitlines(), *plan_of(state).splitlines()] if "HashAggregate" in line and "sum(" in line and "_stays" in line and "n_rows" in line]
+    assert "SortAggregate" in plan and "SortAggregate" in plan_of(state)
+
+
+def test_small_numbers_in_one(spark):
+    """Any value comes back, those that do not fit too."""
+    from tideload.functions.numbers import Packed
+
+    small = Packed("p", "loose", {"a": 2, "b": 7, "c": 54})
+    values = [(True, 0, 0), (False, 126, 5), (None, None, None), (True, 127, 5), (True, -1, 5), (None, 3, (1 << 54) - 2), (None, 3, (1 << 54) - 1), (True, 1, (1 << 63) - 1), (False, -(1 << 63), -1)]
+    df = spark.createDataFrame(values, "a boolean, b long, c long")
+    packed = df.select("*", *small.pack({c: F.col(c) for c in "abc"}))
+    assert [r[0] for r in packed.select(F.col("p").isNotNull() & F.col("loose").isNull()).collect()] == [True, True, True, False, False, True, False, False, False]
+    assert packed.where(F.col("p").isNull() == F.col("loose").isNull()).count() == 0
+    got = packed.select((small.unpack("a") == 1).alias("a"), small.unpack("b"), small.unpack("c"))
+    assert sorted([tuple(r) for r in got.collect()], key=str) == sorted(values, key=str)
+    with pytest.raises(ValueError):
+        Packed("p", "loose", {"a": 60, "b": 4})

@@ -7,6 +7,7 @@ from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from tideload.operators.merge import merge_changes, merge_latest
+from tideload.operators import ranged
 from tideload.operators.ranged import RangedTable, interval_of
 
 CHANGES = "k int, v string, header__operation string, ts string"
@@ -122,3 +123,47 @@ def test_no_products_and_no_python_step(spark, table):
     plan = plan_of(table._sliced(feed, table._bounds(table.manifest.read()), 50))
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
     assert table.read_ranges_of(feed).count() <= 4000
+
+
+def test_stored_rows_are_added_to_where_they_lie(spark, scratch, monkeypatch):
+    """No exchange of a table's rows; its files and a delta of a few files meet one by one."""
+    table = RangedTable(spark, f"{scratch}/t", ["k"])
+    table.create(spark.range(1000).select("id", F.lit(1).alias("n")).withColumnsRenamed({"id": "k"}), files=8)
+    monkeypatch.setattr(table, "_placed", lambda *_, **__: pytest.fail("exchanged"))
+    delta = spark.createDataFrame([(-5, 1), (3, 4), (4, -1), (999, 1), (2000, 7), (2001, 0)], "k long, n int")
+    done = table.add(delta, "n", "run")
+    assert (done.files, done.rewritten, done.written) == (8, 2, 2) and table.tag() == "run"
+    want = {**dict.fromkeys(range(1000), 1), -5: 1, 3: 5, 999: 2, 2000: 7}
+    del want[4]
+    assert dict(rows(table.read())) == want and table.rows() == len(want)
+    assert table.add(delta.limit(0), "n").rewritten == 0 and table.rows() == len(want)
+
+
+@pytest.mark.parametrize("cells", [1 << 24, 12])
+def test_many_deltas_equal_plain_sums(spark, scratch, monkeypatch, cells):
+    """With files that one task takes and with files that are too large for it, NULL keys and keys below the lowest."""
+    monkeypatch.setattr(ranged, "ADDED_CELLS", cells)
+    rng = random.Random(cells)
+    table = RangedTable(spark, f"{scratch}/t", ["a", "b"])
+    schema = "a int, b string, n long, v long"
+    plain = {(a, b): [2, a] for a in range(20, 60, 2) for b in ("x", None)}
+    table.create(spark.createDataFrame([(*k, *v) for k, v in plain.items()], schema), files=4, unique=True)
+    for _ in range(3):
+        delta = {(rng.choice([None, *range(70)]), rng.choice(["x", "y", None])): [rng.choice([-2, 1]), rng.randrange(9)] for _ in range(30)}
+        table.add(spark.createDataFrame([(*k, *v) for k, v in delta.items()], schema), "n")
+        for k, v in delta.items():
+            plain[k] = [x + y for x, y in zip(plain.get(k, [0, 0]), v, strict=True)]
+        plain = {k: v for k, v in plain.items() if v[0] > 0}
+        assert rows(table.read()) == sorted([(*k, *v) for k, v in plain.items()], key=str)
+    assert table.rows() == len(plain)
+    gone = spark.createDataFrame([(*k, -n, 0) for k, (n, _) in plain.items()], schema)
+    table.add(gone, "n")
+    assert table.rows() == 0 and rows(table.read()) == []
+    table.add(spark.createDataFrame([(1, "x", 1, 1)], schema), "n")
+    assert rows(table.read()) == [(1, "x", 1, 1)]
+
+
+def test_a_file_out_of_order_is_not_committed(spark, table):
+    spark.range(10).select(F.col("id").cast("int").alias("k"), F.lit("v").alias("v"), F.lit(0).alias("_slice")).coalesce(1).orderBy(F.desc("k")).write.partitionBy("_slice").parquet(f"{table.path}/data/odd")
+    with pytest.raises(Exception, match="not in key order"):
+        table._files_in("odd", table._schema()).collect()
